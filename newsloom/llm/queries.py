@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from newsloom.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from newsloom.llm.fingerprints import op3_document_fingerprints
+from newsloom.llm.licenses import op4_license_scans, op4_sql
 from newsloom.llm.packing import op9_best_fit_packing
+from newsloom.llm.secrets import op10_secret_scans
 
 
 def queries() -> dict:
     return {
+        "op3_document_fingerprints": op3_document_fingerprints,
+        "op4_license_scans": op4_license_scans,
         "op5_exact_dedup": op5_exact_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_secret_scans": op10_secret_scans,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op4_license_scans": op4_sql(), "op5_exact_dedup": OP5_SQL}
