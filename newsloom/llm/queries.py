@@ -5,15 +5,19 @@ from __future__ import annotations
 from newsloom.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from newsloom.llm.fingerprints import op3_document_fingerprints
 from newsloom.llm.licenses import op4_license_scans, op4_sql
+from newsloom.llm.mixing import op1_mix_sources
 from newsloom.llm.packing import op9_best_fit_packing
+from newsloom.llm.quality import op7_quality_classifier
 from newsloom.llm.secrets import op10_secret_scans
 
 
 def queries() -> dict:
     return {
+        "op1_mix_sources": op1_mix_sources,
         "op3_document_fingerprints": op3_document_fingerprints,
         "op4_license_scans": op4_license_scans,
         "op5_exact_dedup": op5_exact_dedup,
+        "op7_quality_classifier": op7_quality_classifier,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scans": op10_secret_scans,
     }
