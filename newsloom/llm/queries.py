@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from newsloom.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from newsloom.llm.fingerprints import op3_document_fingerprints
+from newsloom.llm.jaccard import op8_ngram_jaccard_join
 from newsloom.llm.licenses import op4_license_scans, op4_sql
 from newsloom.llm.mixing import op1_mix_sources
 from newsloom.llm.packing import op9_best_fit_packing
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op4_license_scans": op4_license_scans,
         "op5_exact_dedup": op5_exact_dedup,
         "op7_quality_classifier": op7_quality_classifier,
+        "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scans": op10_secret_scans,
     }
