@@ -15,8 +15,10 @@ are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,24 +33,32 @@ from newsloom.llm.common import checkpointed, documents, small_batches, text_or_
 
 CAPACITY, END_ID, SALTS = 1024, 2, 16
 #: Entries of a worker's cache from chunk to ids.
-CACHED = 300_000
+CACHED = 800_000
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path), {}
 
 
 def _ids(tok, chunks: list[str]) -> list[bytes]:
-    return [np.asarray(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
+    return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
 #: The byte-level pattern starts a token at a blank after a non-blank character and looks
 #: behind nowhere, so a text can be cut there. Texts with other runs of blanks, or with a
 #: special token's string, are encoded whole.
-_UNSAFE = re.compile(r"\s |^ |<\|")
+_UNSAFE = re.compile(r"\s ")
+_PAIRS = tuple(f"{c} " for c in map(chr, range(128)) if c.isspace())
+
+
+def _unsafe(text: str) -> bool:
+    if not text or text[0] == " " or "<|" in text:
+        return True
+    return any(p in text for p in _PAIRS) if text.isascii() else _UNSAFE.search(text) is not None
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
@@ -57,7 +67,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     cut: list[list[str] | None] = []
     missing: set[str] = set()
     for text in texts:
-        if not text or _UNSAFE.search(text):
+        if _unsafe(text):
             cut.append(None)
             continue
         head, *rest = text.split(" ")
