@@ -10,11 +10,13 @@ from newsloom.llm.mixing import op1_mix_sources
 from newsloom.llm.packing import op9_best_fit_packing
 from newsloom.llm.quality import op7_quality_classifier
 from newsloom.llm.secrets import op10_secret_scans
+from newsloom.llm.suffix_dedup import op2_suffix_array_dedup
 
 
 def queries() -> dict:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_document_fingerprints": op3_document_fingerprints,
         "op4_license_scans": op4_license_scans,
         "op5_exact_dedup": op5_exact_dedup,
