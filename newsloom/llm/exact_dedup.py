@@ -2,7 +2,9 @@
 
 Every row's normalised bytes (text without ASCII white space) are range-partitioned at
 splitters that Spark samples, each partition is sorted externally, and the window
-compares neighbouring keys byte by byte; the best row of a run of equals stays.
+compares neighbouring keys byte by byte; the best row of a run of equals stays. The
+splitters are the first HEAD characters and a hash of the rest, so that the sample which
+the driver holds has short keys and texts with one common beginning still spread.
 
 A text that more than max(100, rows / HOT_SHARE) rows share is hot. At most HOT_SHARE
 texts can be hot at any size of input past 100 * HOT_SHARE rows (fewer below), so their
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.common import documents, partitions, text_or_empty
 
-HOT_SHARE, SALTS = 2000, 32
+HOT_SHARE, SALTS, HEAD = 2000, 32, 32
 WHITE = r"[\x20\x09-\x0D]"
 
 
@@ -39,9 +41,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     salted = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(-1))
 
     best = F.struct((-F.col("chars")).alias("neg"), F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))
-    run = Window.partitionBy("norm", "salt")
+    salted = salted.withColumn("head", F.substring("norm", 1, HEAD)).withColumn("rest", F.xxhash64("norm"))
+    run = Window.partitionBy("head", "rest", "salt", "norm")
     ranked = (
-        salted.repartitionByRange(partitions(spark), "norm", "salt")
+        salted.repartitionByRange(partitions(spark), "head", "rest", "salt")
         .withColumn("best", best)
         .withColumn("rank", F.row_number().over(run.orderBy(F.desc("chars"), F.col("id").asc_nulls_last())))
         .withColumn("first", F.first("best").over(run.orderBy(F.desc("chars"), F.col("id").asc_nulls_last())))
