@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from newsloom.llm.chaining import op6_substring_chaining
 from newsloom.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from newsloom.llm.fingerprints import op3_document_fingerprints
 from newsloom.llm.jaccard import op8_ngram_jaccard_join
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op3_document_fingerprints": op3_document_fingerprints,
         "op4_license_scans": op4_license_scans,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_substring_chaining": op6_substring_chaining,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_best_fit_packing": op9_best_fit_packing,
