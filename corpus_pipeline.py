@@ -1,8 +1,69 @@
-"""The corpus pipeline; its stages follow as their operators do."""
+"""The corpus pipeline: documents to packed training sequences.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir), works on all that the stage before kept, and returns
+the columns of documents; the last returns the packed pieces. Between stages the driver
+writes Parquet; run() writes nothing but checkpoints.
+
+Nulls, empty texts, repeated rows and empty tables are handled as each operator says.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from newsloom.llm.common import checkpointed
+from newsloom.llm.exact_dedup import exact_dedup, normal_digest
+from newsloom.llm.jaccard import one_of_each_class
+from newsloom.llm.mixing import mix_documents
+from newsloom.llm.packing import pack_documents
+from newsloom.llm.quality import THRESHOLD, fit_quality, score_quality
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labelled ones of docs, accepts."""
+    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = score_quality(docs, model, keep=tuple(docs.columns), score_col="_score")
+    return scored.where(F.col("_score") >= THRESHOLD).select(docs.columns)
+
+
+def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts equal but for white space, the row that exact dedup keeps."""
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
+    keyed = docs.withColumn("_sha", normal_digest("text"))
+    chosen = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    same = Window.partitionBy("doc_id", "_sha").orderBy(F.length("text").desc_nulls_last())  # rows with one id and one text
+    return chosen.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates (five words, 0.8)."""
+    return one_of_each_class(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: each document's words as often as they are drawn."""
+    return mix_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequence and offset."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("exact_dedup", keep_first_copies),
+    ("near_duplicates", keep_one_of_near_copies),
+    ("mix", mix),
+    ("pack", pack),
+]
+#: A trained network, MinHash, seeded draws and tokens: SQL can't express them.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,7 +19,7 @@ rows. Other columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import documents, partitions, text_or_empty
@@ -28,6 +28,11 @@ HOT_SHARE, SALTS, HEAD = 2000, 32, 32
 WHITE = r"[\x20\x09-\x0D]"
 
 
+def normal_digest(text_col: str) -> Column:
+    """text_sha256 of a text."""
+    return F.sha2(F.regexp_replace(text_or_empty(text_col), WHITE, "").cast("binary"), 256)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256."""
     spark = docs.sparkSession

@@ -78,7 +78,7 @@ def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLER
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, digest (of the shingle set), n (its size), signature, bands."""
+    """id, hash (of the text), digest (of the shingle set), n (its size), signature, bands."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -94,9 +94,9 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 marks.append(mark.tobytes())
                 keys = mark.reshape(BANDS, ROWS).view(np.int64)[:, 0] if len(grams) else []
                 bands.append([(int(v) * 1_000_003 + k) % 2**63 for k, v in enumerate(keys)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "digest", "n", "signature", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "hash", "digest", "n", "signature", "bands"])
 
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, f"id {kind}, digest binary, n long, signature binary, bands array<bigint>")
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.xxhash64(text_or_empty(text_col)).alias("hash")).mapInArrow(run, f"id {kind}, hash long, digest binary, n long, signature binary, bands array<bigint>")
 
 
 def pruned(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -121,8 +121,8 @@ def pruned(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
 def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """Verified links (a, b, similarity) of distinct shingle sets, a < b by digest.
 
-    sets: digest, rep (id of one document that has it), n, signature, bands.
-    texts: id, text.
+    sets: digest, rep (none, id, hash of one document that has it), n, signature, bands.
+    texts: id, hash, text.
     """
     banded = sets.where("n > 0").select("digest", "n", F.explode("bands").alias("band"))
     x, y = banded.alias("x"), banded.alias("y")
@@ -132,13 +132,13 @@ def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD
     pairs = pairs.join(marks.toDF("a", "sig_a"), "a").join(marks.toDF("b", "sig_b"), "b")
     left = checkpointed(pruned(pairs, threshold, tolerance))
     needed = left.select("a").union(left.select("b")).distinct().toDF("digest")
-    reps = sets.select("digest", "rep").join(needed, "digest").select("digest", "rep")
+    reps = sets.select("digest", "rep").join(needed, "digest").select("digest", "rep.id", "rep.hash").alias("r")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array([shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["digest", "grams"])
 
-    held = texts.join(reps, texts["id"] == reps["rep"]).groupBy("digest").agg(F.min("text").alias("text"))
+    held = texts.alias("t").join(reps, F.col("t.id").eqNullSafe(F.col("r.id")) & (F.col("t.hash") == F.col("r.hash"))).dropDuplicates(["digest"]).select("digest", "text")
     full = held.mapInArrow(grams, "digest binary, grams binary")
     both = left.join(full.toDF("a", "grams_a"), "a").join(full.toDF("b", "grams_b"), "b")
 
@@ -172,15 +172,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row a document: id, copy_id, copies, n_links, n_text_links, class_id, class_size.
+    """A row a document: id, copy_id, copies, n_links, n_text_links, class_id, class_size, stays, text_hash.
 
     copy_id: least id of the documents with the same shingle set; copies: how many.
     n_links: other documents at or above the threshold, copies included; n_text_links:
     different sets among them. class_id: least id of the connected class.
+    stays: the row is the one of its class with the least id (and hash of its text, text_hash).
     """
     found = checkpointed(sketches(docs, id_col, text_col))
-    sets = checkpointed(found.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")))
-    texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    sets = checkpointed(found.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("hash"), text_or_empty(text_col).alias("text"))
     links = similar_sets(sets, texts, threshold, tolerance)
     weight = sets.select("digest", "copies")
     ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -188,15 +189,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     roots = components(links)
     small = sets.select("digest", "rep", "copies").join(degree.withColumnRenamed("a", "digest"), "digest", "left").join(roots, "digest", "left")
     small = small.withColumn("root", F.coalesce("root", "digest"))
-    classes = small.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
-    info = small.join(classes, "root").select("digest", F.col("rep").alias("copy_id"), "copies", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"), "class_id", "class_size")
-    return found.select("id", "digest").join(info, "digest").drop("digest").withColumnRenamed("id", id_col)
+    classes = small.groupBy("root").agg(F.min("rep").alias("first"), F.sum("copies").alias("class_size"))
+    info = small.join(classes, "root").select("digest", F.col("rep.id").alias("copy_id"), "copies", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"), F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"), "first", "class_size")
+    out = found.select("id", "hash", "digest").join(info, "digest")
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
+    return out.select(F.col("id").alias(id_col), "copy_id", "copies", "n_links", "n_text_links", F.col("first.id").alias("class_id"), "class_size", stays.alias("stays"), F.col("hash").alias("text_hash"))
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each class: the least id, and of equal ids one row."""
-    kept = near_duplicates(docs, id_col=id_col, text_col=text_col).where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    return docs.dropDuplicates([id_col]).join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    """docs with one document of each class: the one that stays, and of equal rows one."""
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col).where("stays").select(F.col(id_col).alias("_kept"), F.col("text_hash").alias("_kept_hash")).distinct()
+    keyed = docs.withColumn("_hash", F.xxhash64(text_or_empty(text_col))).dropDuplicates([id_col, "_hash"])
+    return keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi").drop("_hash")
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
