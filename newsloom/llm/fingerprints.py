@@ -3,7 +3,9 @@
 The canonical form is NFKC, case folded, NFKC again, with runs of white space as one blank
 and none at the ends. The fingerprint is the 128-bit xxhash of its UTF-8 bytes. Classes
 group the digest together with the (compressed) canonical bytes, so two texts share a class
-only if their bytes are equal, whatever the hash does; copies combine before the shuffle.
+only if their bytes are equal, whatever the hash does; copies combine before the shuffle,
+and bytes move only for digests that stand more than once. Those digests and their classes
+are broadcast while they are at most SMALL rows, and joined by a shuffle beyond.
 The likeness of two fingerprints is exact: 1.0 for equal canonical bytes, else 0.0.
 
 next_in_order() gives each row the text that follows in descending id order without one
@@ -27,7 +29,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import documents, partitions, small_batches, text_or_empty
+from newsloom.llm.common import checkpointed, documents, partitions, small_batches, text_or_empty
+
+
+#: Rows of some 100 bytes that may be broadcast.
+SMALL = 500_000
 
 
 def canonical(text: str) -> str:
@@ -41,8 +47,8 @@ def digest(form: str) -> str:
     return xxhash.xxh3_128_hexdigest(form.encode("utf-8", "surrogatepass"))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, text (null as empty), fingerprint, packed (compressed canonical bytes)."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", packed: bool = True) -> DataFrame:
+    """id, text (null as empty), fingerprint, packed (compressed canonical bytes, if wanted)."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("text", T.StringType()), T.StructField("fingerprint", T.StringType()), T.StructField("packed", T.BinaryType())])
@@ -51,18 +57,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             forms = [canonical(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([digest(f) for f in forms], pa.string()), pa.array([pack(f.encode()) for f in forms], pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([digest(f) for f in forms], pa.string()), pa.array([pack(f.encode()) if packed else None for f in forms], pa.binary())], names=schema.names)
 
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def fingerprint_classes(prints: DataFrame) -> DataFrame:
-    """fingerprint, packed_sha, class_id (smallest id), class_size: one row a class."""
-    return (
-        prints.groupBy("fingerprint", "packed")
-        .agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-        .select("fingerprint", F.sha2("packed", 256).alias("packed_sha"), "class_id", "class_size")
-    )
+def fingerprint_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
+    """(fingerprint, packed_sha, class_id (smallest id), class_size: a row a class of two or more; whether they are few)."""
+    light = fingerprints(docs, id_col, text_col, packed=False).select("fingerprint")
+    many = checkpointed(light.groupBy("fingerprint").count().where("count > 1").select("fingerprint"))
+    few = many.count() <= SMALL
+    prints = fingerprints(docs, id_col, text_col).select("id", "fingerprint", "packed")
+    prints = prints.join(F.broadcast(many) if few else many, "fingerprint", "left_semi")
+    grouped = prints.groupBy("fingerprint", "packed").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    return grouped.select("fingerprint", F.sha2("packed", 256).alias("packed_sha"), "class_id", "class_size"), few
 
 
 def next_in_order(rows: DataFrame, carry: list[str]) -> DataFrame:
@@ -109,9 +117,9 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n_chars"), b.column("edited_sha256"), b.column("fingerprint"), pa.array(marks, pa.string()), pa.array(near, pa.float64()), pa.array(after, pa.float64()), b.column("packed_sha")], names=schema.names)
 
     found = rows.mapInArrow(run, schema)
-    classes = fingerprint_classes(prints.select("id", "fingerprint", "packed"))
-    out = found.join(classes, ["fingerprint", "packed_sha"])
-    return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "class_id", "class_size")
+    classes, few = fingerprint_classes(docs, id_col, text_col)
+    out = found.join(F.broadcast(classes) if few else classes, ["fingerprint", "packed_sha"], "left")
+    return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from newsloom.plans import marts, monitoring, resolving
 
-
-def source_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "n_chars")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    return docs.join(labels, "doc_id", "left").groupBy("source").agg(
-        F.count("*").alias("articles"),
-        F.count("quality").alias("labelled"),
-        F.avg("quality").alias("avg_quality"),
-        F.avg("n_chars").alias("avg_chars"),
-    )
-
-
-SOURCE_QUALITY = """SELECT source, count(*) AS articles, count(quality) AS labelled, avg(quality) AS avg_quality, avg(n_chars) AS avg_chars
-FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source"""
+PLANS = [marts, monitoring, resolving]
 
 
 def queries() -> dict:
-    return {"source_quality": source_quality}
+    return {name: f for plan in PLANS for name, f in plan.Q.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"source_quality": SOURCE_QUALITY}
+    return {name: sql for plan in PLANS for name, sql in plan.SQL.items()}
