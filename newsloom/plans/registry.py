@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, resolving
+from newsloom.plans import marts, monitoring, reading, resolving
 
-PLANS = [marts, monitoring, resolving]
+PLANS = [marts, monitoring, resolving, reading]
 
 
 def queries() -> dict:
