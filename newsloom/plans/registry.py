@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, reading, resolving
+from newsloom.plans import marts, monitoring, reading, resolving, serving
 
-PLANS = [marts, monitoring, resolving, reading]
+PLANS = [marts, monitoring, resolving, reading, serving]
 
 
 def queries() -> dict:
