@@ -104,9 +104,9 @@ def missing_quotes(source: Column, output: Column) -> Column:
 
 
 def cited_handles(text: Column) -> Column:
-    """Handles in brackets, else handles before a colon."""
-    first = F.regexp_extract_all(text, F.lit(r"\[\s*@(\w+)\s*\]"), F.lit(1))
-    second = F.regexp_extract_all(text, F.lit(r"@(\w+)\s*:"), F.lit(1))
+    """Handles in brackets, else handles before a colon, with their @."""
+    first = F.regexp_extract_all(text, F.lit(r"\[\s*(@[A-Za-z0-9_]{1,15})\s*\]"), F.lit(1))
+    second = F.regexp_extract_all(text, F.lit(r"(@[A-Za-z0-9_]{1,15})\s*\)?\s*:"), F.lit(1))
     return F.when(F.size(first) > 0, first).otherwise(second)
 
 
@@ -122,15 +122,18 @@ def split_authors(value: Column) -> Column:
     return F.array_distinct(F.filter(names, lambda n: (n != "") & ~n.rlike("^https?://")))
 
 
-def humanize_age(seconds: Column) -> Column:
-    """just now, minutes, hours, days up to seven, else older."""
-    return (
-        F.when(seconds < 60, "just now")
-        .when(seconds < 3600, F.concat(F.floor(seconds / 60).cast("string"), F.lit(" min ago")))
-        .when(seconds < 86400, F.concat(F.floor(seconds / 3600).cast("string"), F.lit(" h ago")))
-        .when(seconds < 8 * 86400, F.concat(F.floor(seconds / 86400).cast("string"), F.lit(" d ago")))
-        .otherwise("older")
-    )
+def humanize_age(seconds: Column, day: Column) -> Column:
+    """Age in the reader's words up to seven days, then the day (yyyy-MM-dd)."""
+    ago = lambda unit, label: F.concat(F.floor(seconds / unit).cast("string"), F.lit(label))
+    return F.when(seconds < 60, "방금 전").when(seconds < 3600, ago(60, "분 전")).when(seconds < 86400, ago(3600, "시간 전")).when(seconds < 8 * 86400, ago(86400, "일 전")).otherwise(day)
+
+
+def day_label(day: Column, today: Column) -> Column:
+    """Today, yesterday, or month, day and weekday."""
+    ago = F.datediff(today, day)
+    weekday = F.element_at(F.array(*[F.lit(c) for c in "월화수목금토일"]), F.weekday(day) + 1)
+    long = F.concat(F.month(day).cast("string"), F.lit("월 "), F.day(day).cast("string"), F.lit("일 ("), weekday, F.lit(")"))
+    return F.when(ago == 0, "오늘").when(ago == 1, "어제").otherwise(long)
 
 
 def glossary_replace(c: Column, pairs: list[tuple[str, str]]) -> Column:

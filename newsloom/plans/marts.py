@@ -229,13 +229,22 @@ def author_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, CASE WHEN age < 60 THEN 'just now' WHEN age < 3600 THEN CAST(age // 60 AS VARCHAR) || ' min ago' WHEN age < 86400 THEN CAST(age // 3600 AS VARCHAR) || ' h ago'
-  WHEN age < 691200 THEN CAST(age // 86400 AS VARCHAR) || ' d ago' ELSE 'older' END AS age_label
-FROM (SELECT event_id, CAST(floor(epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(ts)) AS BIGINT) AS age FROM events)"""
+    """SELECT event_id, CASE WHEN age < 60 THEN '방금 전' WHEN age < 3600 THEN CAST(age // 60 AS VARCHAR) || '분 전' WHEN age < 86400 THEN CAST(age // 3600 AS VARCHAR) || '시간 전'
+  WHEN age < 691200 THEN CAST(age // 86400 AS VARCHAR) || '일 전' ELSE strftime(ts, '%Y-%m-%d') END AS age_label
+FROM (SELECT event_id, ts, CAST(floor(epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(ts)) AS BIGINT) AS age FROM events)"""
 )
 def humanize_when(spark: SparkSession, sf: str) -> DataFrame:
     micros = F.timestamp_diff("MICROSECOND", F.col("ts"), F.to_timestamp_ntz(F.lit("2024-01-31 00:00:00")))
-    return table(spark, sf, "events").select("event_id", X.humanize_age(F.floor(micros / 1_000_000)).alias("age_label"))
+    return table(spark, sf, "events").select("event_id", X.humanize_age(F.floor(micros / 1_000_000), F.date_format("ts", "yyyy-MM-dd")).alias("age_label"))
+
+
+@query(
+    """SELECT event_id, CASE ago WHEN 0 THEN '오늘' WHEN 1 THEN '어제' ELSE month(d) || '월 ' || day(d) || '일 (' || substring('월화수목금토일', isodow(d)::INTEGER, 1) || ')' END AS label
+FROM (SELECT event_id, CAST(ts + INTERVAL 9 HOUR AS DATE) AS d, date_diff('day', CAST(ts + INTERVAL 9 HOUR AS DATE), DATE '2024-01-31') AS ago FROM events)"""
+)
+def day_labels(spark: SparkSession, sf: str) -> DataFrame:
+    local = F.timestamp_add("HOUR", F.lit(9), F.col("ts")).cast("date")
+    return table(spark, sf, "events").select("event_id", X.day_label(local, F.lit("2024-01-31").cast("date")).alias("label"))
 
 
 @query("SELECT strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d') AS day, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event FROM events WHERE ts IS NOT NULL GROUP BY 1")

@@ -3,7 +3,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from newsloom.functions import adapters as A
 from newsloom.functions import html as H
+from newsloom.functions import news as N
 from newsloom.functions import text as X
 from newsloom.operators import monitor as M
 from newsloom.operators import resolve as R
@@ -48,8 +50,8 @@ def test_quotes_and_retention(spark):
 
 
 def test_handles_and_authors(spark):
-    assert one(spark, X.cited_handles(F.lit("deal [ @one ] @two: yes"))) == ["one"]
-    assert one(spark, X.cited_handles(F.lit("@two: yes"))) == ["two"]
+    assert one(spark, X.cited_handles(F.lit("deal [ @one ] @two: yes"))) == ["@one"]
+    assert one(spark, X.cited_handles(F.lit("Name (@two\n): yes"))) == ["@two"]
     assert one(spark, X.split_authors(F.lit("Ann Lee and Bo Ray, Ann Lee & https://x.test"))) == ["Ann Lee", "Bo Ray"]
 
 
@@ -115,3 +117,49 @@ def test_streams_agree_with_batch(spark, tmp_path):
     assert sorted(map(tuple, collect(feeds.revisions(items), "revisions"))) == sorted(map(tuple, S.revision_fold(batch, 2).collect()))
     assert sorted(r.content_hash for r in collect(feeds.first_landings(items), "firsts")) == [f"h{k}" for k in range(5)]
     assert sum(r.n for r in collect(feeds.volumes(items), "volumes", "complete")) == 30
+
+
+def test_payload_columns(spark):
+    elements = F.from_json(F.lit('[{"type":"image","assets":[{"file":"a","width":10},{"file":"b","width":90}]},{"type":"video","assets":[{"file":"v","width":1}]},{"type":"image","assets":[{"file":"b","width":5}]}]'), "array<struct<type:string,assets:array<struct<file:string,width:int>>>>")
+    assert one(spark, A.element_images(elements)) == ["b"]
+    assert one(spark, A.page_id(F.lit("https://x.test/news/big-deal-5aBcDeFgHiJk"))) == "5aBcDeFgHiJk"
+    assert one(spark, A.page_id(F.lit("https://x.test/news"))) is None
+    tags = lambda *t: F.array(*[F.lit(x) for x in t])
+    assert one(spark, A.accept_path(F.lit("News"), tags("Men", "Contract news"), F.lit("x"))) == "tag"
+    assert one(spark, A.accept_path(F.lit("News"), tags("Men"), F.lit("He signs on"))) == "title"
+    assert one(spark, A.accept_path(F.lit("News"), tags("Women"), F.lit("He signs on"))) is None
+    blocks = F.from_json(F.lit('[{"type":"TEXT","innerText":"","html":"<b>Lead</b> in"},{"type":"HEADER"},{"type":"TEXT","innerText":" two "}]'), "array<struct<type:string,innerText:string,html:string>>")
+    assert one(spark, A.blocks_body(blocks)) == "Lead in\n\ntwo"
+    assert one(spark, A.is_post_host(F.lit("https://mobile.twitter.com/a"))) and not one(spark, A.is_post_host(F.lit("https://notx.com/a")))
+    assert one(spark, A.post_url(F.lit("/index.php?document_srl=77"), "https://c.test/")) == "https://c.test/77"
+    assert one(spark, A.post_url(F.lit("/1234567?x"), "https://c.test")) == "https://c.test/1234567"
+    assert str(one(spark, A.post_published(F.lit("at 2024.03.01 08:30 x")))) == "2024-02-29 23:30:00"
+    assert one(spark, A.is_own_post(F.lit("ME"), "me", F.lit("go #afc now"))) and not one(spark, A.is_own_post(F.lit("me"), "me", F.lit("#AFCB")))
+    now = F.to_timestamp(F.lit("2024-01-01T12:00:00Z"))
+    assert one(spark, A.miss_suspect(F.lit("On loan"), F.lit("2024-01-01T09:00:00Z"), now))
+    assert not one(spark, A.miss_suspect(F.lit("On loan"), F.lit("2024-01-01T09:00:00"), now))
+    assert one(spark, A.coverage_breach(F.lit(5), F.lit(0))) == "no_men_tag"
+
+
+def test_roles(spark):
+    own, latin = F.array(F.lit("사카")), F.array(F.lit("saka"))
+
+    def role(title, original, body, said="subject"):
+        return one(spark, A.role(F.lit(title), F.lit(original), F.lit(body), own, latin, F.lit(said)))
+
+    assert role("사카 재계약", "x", "") == "subject"
+    assert role("사카 재계약", "x", "", "mention") == "mention"
+    assert role("다른 소식", "Sáka deal", "") == "subject"
+    assert role("사카의 대체자 영입", "Saka", "") == "mention"
+    assert role("소식", "x", "lead\n### 사카\n사카 이야기", "mention") == "subject"
+    assert role("소식", "x", "### 사카\n다른 이야기") == "mention"
+
+
+def test_news_columns(spark):
+    assert one(spark, N.protagonist(F.lit("Ann and Bob move on to Cid"), ["Ann", "Bob", "Cid"], ["move"])) == "Cid"
+    assert one(spark, N.protagonist(F.lit("Bob and Ann"), ["Ann", "Bob"], ["move"])) == "Bob"
+    assert one(spark, N.longest_name(F.lit("at New York City"), ["York", "New York"])) == "New York"
+    got = one(spark, N.parse_bracket(F.lit("[Post - Lee] (Exclusive) deal")))
+    assert tuple(got) == ("Post", "Lee", True)
+    assert one(spark, N.linked_label(F.lit("A|B|C"))) == "A and 2 more"
+    assert one(spark, N.gate_verdict(F.lit("5 up"), F.lit("5 down"))).ok
