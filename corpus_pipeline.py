@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import checkpointed
+from newsloom.llm.common import checkpointed, keyed, keys
 from newsloom.llm.exact_dedup import exact_dedup, normal_digest
 from newsloom.llm.jaccard import one_of_each_class
 from newsloom.llm.mixing import mix_documents
@@ -29,11 +29,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for white space, the row that exact dedup keeps."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")).distinct()
-    keyed = docs.withColumn("_sha", normal_digest("text"))
-    chosen = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
-    same = Window.partitionBy("doc_id", "_sha").orderBy(F.length("text").desc_nulls_last())  # rows with one id and one text
-    return chosen.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").select(docs.columns)
+    kept = exact_dedup(docs).where("kept")
+    kept = keyed(kept, "doc_id", F.col("text_sha256")).select(keys(3)).distinct()
+    rows = keyed(docs, "doc_id", normal_digest("text")).join(kept, keys(3), "left_semi")
+    same = Window.partitionBy(keys(3)).orderBy(F.length("text").desc_nulls_last())  # rows with one id and one text
+    return rows.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").select(docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

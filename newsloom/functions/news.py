@@ -81,3 +81,53 @@ def gate_verdict(source: Column, output: Column) -> Column:
 def level_route(level: Column, source_lang: Column) -> Column:
     """Which queue a row goes to."""
     return F.when(level == 1, "rewrite").when(F.coalesce(source_lang, F.lit("en")) == "en", "translate").otherwise("summarise")
+
+
+#: Fixed value: a round-up's mark of where an item comes from.
+_ATTRIBUTION = r"\(\s*([^()]{2,60}?)\s*(?:,\s*external\s*\)|\)\s*,\s*external)"
+
+
+def attributions(text: Column) -> Column:
+    """Sources that a round-up names, in order and as often as it does, without additions."""
+    labels = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_ATTRIBUTION), F.lit(1))
+    return F.filter(F.transform(labels, lambda x: F.trim(F.split(x, r"\s+-\s+|,\s+|\s+via\s+")[0])), lambda x: x != "")
+
+
+def omitted_sources(source: Column, output: Column) -> Column:
+    """Sources that the output names less often than the round-up."""
+    named, out = attributions(source), F.coalesce(output, F.lit(""))
+    times = lambda x: (F.length(out) - F.length(F.replace(out, x, F.lit("")))) / F.length(x)
+    return F.filter(F.array_distinct(named), lambda x: times(x) < F.size(F.filter(named, lambda y: y == x)))
+
+
+#: Words before a surname that make no name.
+NAME_STOP = "a after an and as at before breaking but by can could deal exclusive for from had has have he her his how if in is it its latest new news not now of official on over report she that the their they this to under was we were what when where who why will with would you".split()
+
+
+def has_name(text: Column, surname: str) -> Column:
+    """A capitalised word that is no stop word stands before the surname."""
+    before = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\b([A-Z][a-z]+)[\s-]+\Q{surname}\E\b"), F.lit(1))
+    return F.exists(before, lambda w: ~F.lower(w).isin(NAME_STOP))
+
+
+def title_mistranslation(title: Column, original: Column, names: dict[str, str], source: Column, loan: str = "임대") -> Column:
+    """Why a translated title doesn't fit: names (translated to original) all gone, or a loan from nowhere."""
+    folded, context = X.fold_latin(F.coalesce(original, F.lit(""))), F.concat_ws(" ", original, source)
+    lost, held = [], F.lit(False)
+    for surname in dict.fromkeys(names.values()):
+        own = [k for k, v in names.items() if v == surname]
+        named = folded.rlike(rf"\b\Q{surname.lower()}\E\b") & has_name(context, surname)
+        kept = F.exists(F.array(*[F.lit(k) for k in own]), lambda k: F.contains(title, k))
+        held = held | (named & kept)
+        lost.append(F.when(named & ~kept, F.lit(f"name:{surname}")))
+    gone = F.filter(F.array(*lost), lambda r: r.isNotNull()) if lost else F.array().cast("array<string>")
+    borrowed = F.contains(title, F.lit(loan)) & ~F.contains(original, F.lit(loan)) & ~original.rlike(r"(?i)\bloan")
+    reasons = F.concat(F.when(held, F.array().cast("array<string>")).otherwise(gone), F.when(borrowed, F.array(F.lit("loan"))).otherwise(F.array().cast("array<string>")))
+    return F.when(F.coalesce(title, F.lit("")).eqNullSafe("") | F.coalesce(original, F.lit("")).eqNullSafe(""), F.array().cast("array<string>")).otherwise(reasons)
+
+
+def unfounded_names(title: Column, source: Column, names: dict[str, str]) -> Column:
+    """Names of a translated title that the source has in neither form."""
+    folded = X.fold_latin(F.coalesce(source, F.lit("")))
+    parts = [F.when(F.contains(title, F.lit(own)) & ~F.contains(folded, F.lit(latin.lower())) & ~F.contains(F.coalesce(source, F.lit("")), F.lit(own)), F.lit(own)) for own, latin in names.items()]
+    return F.filter(F.array(*parts), lambda r: r.isNotNull())

@@ -39,3 +39,16 @@ def text_or_empty(col: str) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keyed(df: DataFrame, id_col: str, *more: Column) -> DataFrame:
+    """df with non-null key columns _k0 (id as text), _k1 (whether it is null), _k2, ...
+
+    Joins and groups on these columns share one shuffle, which a null-safe comparison doesn't.
+    """
+    own = [F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(id_col).isNull(), *more]
+    return df.withColumns({f"_k{i}": c for i, c in enumerate(own)})
+
+
+def keys(n: int) -> list[str]:
+    return [f"_k{i}" for i in range(n)]

@@ -26,7 +26,7 @@ class BucketQueues:
         self.files: dict[int, object] = {}
 
     def push(self, symbol: int, positions: np.ndarray, prefix: np.ndarray) -> None:
-        block = np.empty(len(positions), [("at", np.int64), ("lcp", np.int32)])
+        block = np.empty(len(positions), [("at", np.int64), ("lcp", np.int16)])
         block["at"], block["lcp"] = positions, prefix
         self.held.setdefault(symbol, []).append(block)
         self.used += block.nbytes
@@ -42,10 +42,10 @@ class BucketQueues:
         self.used -= sum(b.nbytes for b in blocks)
         if f := self.files.pop(symbol, None):
             f.seek(0)
-            blocks = [np.fromfile(f, [("at", np.int64), ("lcp", np.int32)]), *blocks]
+            blocks = [np.fromfile(f, [("at", np.int64), ("lcp", np.int16)]), *blocks]
             f.close()
         if not blocks:
-            return np.empty(0, np.int64), np.empty(0, np.int32)
+            return np.empty(0, np.int64), np.empty(0, np.int16)
         both = np.concatenate(blocks)
         return np.ascontiguousarray(both["at"]), np.ascontiguousarray(both["lcp"])
 
@@ -77,12 +77,10 @@ def types(text: np.ndarray) -> np.ndarray:
     s = np.zeros(n, bool)
     if n < 2:
         return s
-    change = np.flatnonzero(text[:-1] != text[1:])
-    if not len(change):
-        return s
-    nearest = np.searchsorted(change, np.arange(n - 1))
-    inside = nearest < len(change)
-    at = change[np.minimum(nearest, len(change) - 1)]
+    at = np.where(text[:-1] != text[1:], np.arange(n - 1), n)
+    at = np.minimum.accumulate(at[::-1])[::-1]  # where the run of equal symbols ends
+    inside = at < n
+    at = np.minimum(at, n - 2)
     s[:-1] = inside & (text[at] < text[at + 1])
     return s
 
@@ -103,7 +101,7 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
         order = np.argsort(d, kind="stable")
         k, before, d = k[order], before[order], d[order]
         first = np.flatnonzero(np.append(True, d[1:] != d[:-1])) if len(d) else []
-        near = np.zeros(len(k), np.int32)
+        near = np.zeros(len(k), np.int16)
         inner = np.ones(len(k), bool)
         inner[first] = False
         i = np.flatnonzero(inner)
@@ -123,7 +121,7 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
             k = k[text[turn[k] - 1] == symbol]
             if not len(k):
                 break
-            value = np.empty(len(k), np.int32)
+            value = np.empty(len(k), np.int16)
             value[1:] = np.minimum(range_min(near, k[:-1] + 1, k[1:]) + 1, cap)
             new = turn[k] - 1
             value[0] = prefix_length(text, int(turn[-1]), int(new[0]), cap)
@@ -139,13 +137,13 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
     for c in symbols.tolist():
         at, lcp = queues.pop(c)
         if c == text[last] and not is_s[last]:  # the whole text's end induces its last position first
-            at, lcp = np.append(last, at), np.append(0, np.append(1, lcp[1:]) if len(lcp) else lcp).astype(np.int32)
+            at, lcp = np.append(last, at), np.append(0, np.append(1, lcp[1:]) if len(lcp) else lcp).astype(np.int16)
         if len(lcp):
             lcp[0] = 0
         at, lcp = runs(c, at, lcp)
         l_parts.push(c, at, lcp)
         a, z = np.searchsorted(seed_symbol, [c, c + 1]) if len(seeds) else (0, 0)
-        own, near = seeds[a:z], seed_lcp[a:z].astype(np.int32)
+        own, near = seeds[a:z], seed_lcp[a:z].astype(np.int16)
         if len(own):
             near[0] = prefix_length(text, int(at[-1]), int(own[0]), cap) if len(at) else 0
         spread(queues, c, np.append(at, own), np.append(lcp, near), False)
@@ -155,7 +153,7 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
         down, lcp_down = runs(c, down, lcp_down)  # value: with the entry before it in the queue, the next larger
         low, lcp = l_parts.pop(c)
         up = down[::-1]
-        near = np.append(0, lcp_down[:0:-1]).astype(np.int32) if len(up) else np.empty(0, np.int32)
+        near = np.append(0, lcp_down[:0:-1]).astype(np.int16) if len(up) else np.empty(0, np.int16)
         if len(up) and len(low):
             near[0] = prefix_length(text, int(low[-1]), int(up[0]), cap)
         at, lcp = np.append(low, up), np.append(lcp, near)
@@ -165,40 +163,54 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
         yield at, lcp
 
 
-def rank_names(names: np.ndarray, lengths: np.ndarray, cap: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def rank_names(names: np.ndarray, places: np.ndarray, cap: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Order of the suffixes of a string of names, to `cap` symbols of the text below.
 
-    Prefix doubling in memory; also the ranks of each doubling. lengths: symbols that each
-    name moves on in the text.
+    Prefix doubling in memory, in which only names still tied within the cap are sorted again;
+    also the ranks (place of the first equal) of each doubling. places: of the names in the text.
     """
-    ranks = [names.astype(np.int64)]
     n, width = len(names), 1
     order = np.argsort(names, kind="stable")
-    shortest = max(1, int(lengths[:-1].min(initial=cap)))
-    while width * shortest < cap:
-        r = ranks[-1]
-        if n < 2 or r.max() == n - 1:
-            break
-        after = np.full(n, -1, np.int64)
-        after[:-width] = r[width:] if width < n else []
-        key = r * (n + 1) + after + 1
-        order = np.argsort(key, kind="stable")
-        fresh = np.empty(n, np.int64)
-        fresh[order] = np.cumsum(np.append(0, key[order][1:] != key[order][:-1]))
-        ranks.append(fresh)
+    sorted_ = names[order]
+    head = np.append(True, sorted_[1:] != sorted_[:-1])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    ranks = [rank]
+    while True:
+        tied = ~head
+        tied[:-1] |= ~head[1:]
+        end = np.minimum(order + width, n - 1)
+        live = np.flatnonzero(tied & (places[end] - places[order] < cap))
+        # whole groups of ties, so that their places stay theirs
+        if not len(live):
+            return order, ranks
+        group = np.zeros(n, bool)
+        group[rank[order[live]]] = True
+        live = np.flatnonzero(tied & group[rank[order]])
+        who = order[live]
+        after = np.full(len(who), -1, np.int64)
+        ahead = who + width < n
+        after[ahead] = rank[who[ahead] + width]
+        key = rank[who] * (n + 1) + after + 1
+        turn = np.argsort(key)
+        order[live], key = who[turn], key[turn]
+        fresh = np.append(True, key[1:] != key[:-1])
+        head[live] = fresh | head[live]
+        rank = rank.copy()
+        rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+        ranks.append(rank)
         width *= 2
-    return order, ranks
 
 
 def seed_order(text: np.ndarray, is_s: np.ndarray, cap: int, memory: int) -> tuple[np.ndarray, np.ndarray]:
     """Leftmost S positions in suffix order, and their common prefixes."""
     lms = np.flatnonzero(is_s & np.append(False, ~is_s[:-1]))
     if len(lms) < 2:
-        return lms, np.zeros(len(lms), np.int32)
+        return lms, np.zeros(len(lms), np.int16)
     rough = lms[np.argsort(text[lms], kind="stable")]
     is_lms = np.zeros(len(text), bool)
     is_lms[lms] = True
-    by_name = np.concatenate([at[is_lms[at]][::-1] for at, _ in buckets(text, is_s, rough, np.zeros(len(rough), np.int32), 1, memory)])[::-1]
+    by_name = np.concatenate([at[is_lms[at]][::-1] for at, _ in buckets(text, is_s, rough, np.zeros(len(rough), np.int16), 1, memory)])[::-1]
     number = np.empty(len(text), np.int64)
     number[lms] = np.arange(len(lms))
     length = np.append(np.diff(lms) + 1, len(text) - lms[-1])  # of the substring up to the next one
@@ -215,8 +227,7 @@ def seed_order(text: np.ndarray, is_s: np.ndarray, cap: int, memory: int) -> tup
         live = live[equal & (step < size[live])]
     names = np.empty(len(lms), np.int64)
     names[where] = np.cumsum(np.append(0, ~same))
-    move = np.append(np.diff(lms), len(text) - lms[-1])
-    order, ranks = rank_names(names, move, cap)
+    order, ranks = rank_names(names, lms, cap)
     seeds = lms[order]
     i, j = order[:-1].copy(), order[1:].copy()
     live = np.ones(len(i), bool)
@@ -242,11 +253,11 @@ def seed_order(text: np.ndarray, is_s: np.ndarray, cap: int, memory: int) -> tup
         open_ = open_[equal]
         lcp[open_] += 1
         open_ = open_[lcp[open_] < cap]
-    return seeds, np.minimum(lcp, cap).astype(np.int32)
+    return seeds, np.minimum(lcp, cap).astype(np.int16)
 
 
 def suffix_buckets(text: np.ndarray, cap: int, memory: int = 64 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Suffix order and common prefixes (up to cap), a bucket at a time from the last."""
+    """Suffix order and common prefixes (up to cap, below 2**15), a bucket at a time from the last."""
     if not len(text):
         return
     is_s = types(text)

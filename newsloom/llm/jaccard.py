@@ -1,17 +1,23 @@
 """N-gram Jaccard join with Bayesian candidate pruning (word shingles of WORDS words).
 
-1. Each text becomes its set of hashed shingles; HASHES 16-bit MinHash values and a 128-bit
-   digest of the set are kept. Copies (equal sets) meet first, so a text that a third of all
-   rows share counts once from here on.
+1. Each text becomes its set of hashed shingles; HASHES 8-bit MinHash values and a digest of
+   the set are kept. Copies (equal sets) meet first, so a text that a third of all rows
+   share counts once from here on.
 2. Sets are candidates if one of BANDS bands of ROWS values agrees. At similarity 0.8 all
-   bands miss with a chance of 5e-8. Members of a band are joined by key, which Spark can
-   split where a key is hot; each pair of different sets is kept once.
-3. MinHash values of a pair are compared STEP at a time. With m of n equal, the similarity's
-   posterior under a uniform prior is Beta(m + 1, n - m + 1); a pair is dropped as soon as
-   the chance of reaching the threshold falls below TOLERANCE. There is no cap on partners.
-4. What is left is verified exactly on the shingle sets.
-5. Links give classes: connected components by least neighbours and pointer jumping, cut by
-   checkpoint() each turn; only linked sets take part.
+   bands miss with a chance of 5e-8.
+3. The members of a band meet in units of about BLOCK, or in pairs of such blocks. Pairs are
+   compared inside the task, MinHash values STEP at a time: with m of n equal, the posterior
+   under a uniform prior is Beta(m + 1, n - m + 1), and a pair is dropped as soon as its
+   chance of reaching the threshold falls below TOLERANCE. A unit emits a spanning forest of
+   the pairs that stay, never all of them.
+4. The forests' connected components hold every candidate pair that stayed. A component's
+   sets meet once more, in blocks, and all pairs in it are verified exactly: a matrix product
+   counts common shingles. Out come each set's number of links and a spanning forest.
+5. Those forests give the classes: connected components by least neighbours and pointer
+   jumping, cut by checkpoint() each turn; only linked sets take part.
+
+There is no cap on partners, and rows grow with members, not with pairs: a group of g near
+copies sends each of them to g / BLOCK units.
 
 Words are lower-case runs of non-white-space. A text of one to four words is one shingle
 of its own. Defined cases: null and empty texts have no shingle; they are copies of each
@@ -31,10 +37,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import checkpointed, documents, small_batches, text_or_empty
+from newsloom.llm.common import checkpointed, documents, keyed, keys, partitions, small_batches, text_or_empty
 
 WORDS, THRESHOLD = 5, 0.8
-ROWS, BANDS, STEP, TOLERANCE = 4, 32, 16, 1e-5
+ROWS, BANDS, STEP, TOLERANCE, BLOCK = 4, 32, 16, 1e-5, 256
 HASHES = ROWS * BANDS
 
 _rng = np.random.default_rng(11)
@@ -58,7 +64,7 @@ def shingles(text: str) -> np.ndarray:
 
 
 def signature(grams: np.ndarray) -> np.ndarray:
-    """HASHES 16-bit MinHash values."""
+    """HASHES MinHash values of 16 bits."""
     low = (grams >> np.uint64(32)).astype(np.uint32)
     best = np.full(HASHES, 2**32 - 1, np.uint32)
     for k in range(0, len(low), 1024):
@@ -68,7 +74,10 @@ def signature(grams: np.ndarray) -> np.ndarray:
 
 
 def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> int:
-    """Fewest equal values of n with P(similarity >= threshold) >= tolerance."""
+    """Fewest equal values of n with P(similarity >= threshold) >= tolerance.
+
+    Values that agree by chance, one in 256, only add to the matches.
+    """
     below = 0.0  # P(Beta(m + 1, n - m + 1) >= t) = P(Binomial(n + 1, t) <= m)
     for m in range(n + 1):
         below += math.comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
@@ -91,7 +100,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 digest.append(xxhash.xxh3_128_digest(raw) + xxhash.xxh64_digest(raw, seed=9))
                 size.append(len(grams))
                 mark = signature(grams)
-                marks.append(mark.tobytes())
+                marks.append(mark.astype(np.uint8).tobytes())
                 keys = mark.reshape(BANDS, ROWS).view(np.int64)[:, 0] if len(grams) else []
                 bands.append([(int(v) * 1_000_003 + k) % 2**63 for k, v in enumerate(keys)])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "hash", "digest", "n", "signature", "bands"])
@@ -99,61 +108,187 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.xxhash64(text_or_empty(text_col)).alias("hash")).mapInArrow(run, f"id {kind}, hash long, digest binary, n long, signature binary, bands array<bigint>")
 
 
-def pruned(pairs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Pairs (a, b, ..., sig_a, sig_b) that the incremental comparison doesn't drop."""
+class Forest:
+    """Union-find over members of one unit; keeps the pairs that joined two trees."""
+
+    def __init__(self) -> None:
+        self.root: dict[int, int] = {}
+        self.edges: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        while (up := self.root.get(x, x)) != x:
+            self.root[x] = x = self.root.get(up, up)
+        return x
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        most = len(self.edges) + len(np.unique(np.concatenate([a, b]))) - 1
+        for p, q in zip(a.tolist(), b.tolist(), strict=True):
+            x, y = self.find(p), self.find(q)
+            if x != y:
+                self.root[x] = y
+                self.edges.append((p, q))
+                if len(self.edges) == most:
+                    return
+
+
+def in_units(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096) -> Iterator[pa.Table]:
+    """Rows of whole units (sorted by keys), some thousand at a time."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for b in batches:
+        held.append(b)
+        rows += b.num_rows
+        if rows < least:
+            continue
+        table = pa.Table.from_batches(held)
+        last = [table.column(k)[rows - 1].as_py() for k in keys]
+        same = np.ones(rows, bool)
+        for k, v in zip(keys, last, strict=True):
+            same &= table.column(k).to_numpy() == v
+        cut = int(np.argmax(same))
+        if cut:
+            yield table.slice(0, cut)
+            rest = table.slice(cut).combine_chunks().to_batches()
+            held, rows = rest, rows - cut
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def unit_pairs(table: pa.Table, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) row numbers of the pairs to compare, a unit's or many small units' at a time.
+
+    A unit (key, p, q) of two blocks compares block p with block q, a unit (key, p, p) all.
+    """
+    cols = [table.column(k).to_numpy() for k in keys]
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for c in cols:
+        new[1:] |= c[1:] != c[:-1]
+    starts = np.append(np.flatnonzero(new), table.num_rows)
+    sizes = np.diff(starts)
+    two = starts[:-1][sizes == 2]
+    if len(two):
+        yield _crossing(table, two, two + 1)
+    for s, n in zip(starts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        a, b = np.triu_indices(n, 1)
+        yield _crossing(table, a + s, b + s)
+
+
+def _crossing(table: pa.Table, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p, q, own = (table.column(c).to_numpy() for c in ("p", "q", "own"))
+    keep = (p[a] == q[a]) | (own[a] != own[b])
+    return a[keep], b[keep]
+
+
+def dealt_in_units(rows: DataFrame, key: str, size: str) -> DataFrame:
+    """rows with p, q and own: each row goes to the units of its block with every block of its group."""
+    blocks = F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK)).cast("int")
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("digest"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
+    return dealt.repartition(partitions(rows.sparkSession), key, "p", "q").sortWithinPartitions(key, "p", "q")
+
+
+def candidate_forest(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Edges (a, b) whose components hold all pairs that the incremental comparison keeps."""
     need = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
+    banded = sets.where("n > 0").select("digest", F.explode("bands").alias("band"))
+    sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    shared = banded.join(sizes, "band").join(sets.select("digest", "n", "signature"), "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
-            live = np.arange(b.num_rows)
-            equal = np.zeros(b.num_rows, np.int64)
-            for n, least in need:
-                equal[live] += (left[live, n - STEP : n] == right[live, n - STEP : n]).sum(1)
-                live = live[equal[live] >= least]
-            yield b.take(pa.array(live)).select(["a", "b"])
-
-    return pairs.mapInArrow(run, "a binary, b binary")
-
-
-def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """Verified links (a, b, similarity) of distinct shingle sets, a < b by digest.
-
-    sets: digest, rep (none, id, hash of one document that has it), n, signature, bands.
+        for table in in_units(batches, ["band", "p", "q"]):
+            marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
+            n = table.column("n").to_numpy()
+            out: list[tuple[int, int]] = []
+            for a, b in unit_pairs(table, ["band", "p", "q"]):
+                sized = (n[a] >= threshold * n[b]) & (n[b] >= threshold * n[a])
+                a, b = a[sized], b[sized]
+                equal = np.zeros(len(a), np.int64)
+                for k, least in need:
+                    equal += (marks[a, k - STEP : k] == marks[b, k - STEP : k]).sum(1)
+                    live = equal >= least
+                    a, b, equal = a[live], b[live], equal[live]
+                forest = Forest()
+                forest.join(a, b)
+                out += forest.edges
+            digest = table.column("digest").combine_chunks()
+            left, right = (pa.array([e[i] for e in out], pa.int64()) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([digest.take(left).cast(pa.binary()), digest.take(right).cast(pa.binary())], names=["a", "b"])
+
+    units = dealt_in_units(shared, "band", "members").select("band", "p", "q", "own", "digest", "n", "signature")
+    return checkpointed(units.mapInArrow(run, "a binary, b binary").distinct())
+
+
+def common_counts(grams: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each pair of sets has in common, by a matrix product over shared shingles."""
+    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    _, column, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    keep = times[column] > 1
+    owner, column = owner[keep], np.unique(column[keep], return_inverse=True)[1]
+    out = np.zeros((len(grams), len(grams)), np.float32)
+    for first in range(0, int(column.max(initial=-1)) + 1, 4096):
+        inside = (column >= first) & (column < first + 4096)
+        grid = np.zeros((len(grams), 4096), np.float32)
+        grid[owner[inside], column[inside] - first] = 1
+        out += grid @ grid.T
+    return out
+
+
+def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
+    """(degrees, forest) of the exact links between distinct sets.
+
+    degrees: a (digest), far (documents linked, copies included), n_text_links. forest: a, b.
+    sets: digest, rep (none, id, hash of one document that has it), copies, n, signature, bands.
     texts: id, hash, text.
     """
-    banded = sets.where("n > 0").select("digest", "n", F.explode("bands").alias("band"))
-    x, y = banded.alias("x"), banded.alias("y")
-    sized = (F.col("x.n") * threshold <= F.col("y.n")) & (F.col("y.n") * threshold <= F.col("x.n"))
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.digest") < F.col("y.digest")) & sized).select(F.col("x.digest").alias("a"), F.col("y.digest").alias("b")).distinct()
-    marks = sets.select("digest", "signature")
-    pairs = pairs.join(marks.toDF("a", "sig_a"), "a").join(marks.toDF("b", "sig_b"), "b")
-    left = checkpointed(pruned(pairs, threshold, tolerance))
-    needed = left.select("a").union(left.select("b")).distinct().toDF("digest")
-    reps = sets.select("digest", "rep").join(needed, "digest").select("digest", "rep.id", "rep.hash").alias("r")
+    groups = components(candidate_forest(sets, threshold, tolerance))
+    members = groups.groupBy("root").agg(F.count("*").alias("members"))
+    reps = sets.select("digest", "rep", "copies").join(groups, "digest").join(members, "root").select("digest", "root", "members", "copies", "rep.id", "rep.hash").alias("r")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array([shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())], names=["digest", "grams"])
+            found = pa.array([shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("digest", "root", "members", "copies")), found], names=["digest", "root", "members", "copies", "grams"])
 
-    held = texts.alias("t").join(reps, F.col("t.id").eqNullSafe(F.col("r.id")) & (F.col("t.hash") == F.col("r.hash"))).dropDuplicates(["digest"]).select("digest", "text")
-    full = held.mapInArrow(grams, "digest binary, grams binary")
-    both = left.join(full.toDF("a", "grams_a"), "a").join(full.toDF("b", "grams_b"), "b")
+    held = texts.alias("t").join(reps, F.col("t.id").eqNullSafe(F.col("r.id")) & (F.col("t.hash") == F.col("r.hash"))).dropDuplicates(["digest"]).select("digest", F.xxhash64("root").alias("root"), "members", "copies", "text")
+    full = held.mapInArrow(grams, "digest binary, root long, members long, copies long, grams binary")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for p, q in zip(b.column("grams_a"), b.column("grams_b"), strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                out.append(common / (len(p) + len(q) - common))
-            score = np.array(out)
-            live = pa.array(np.flatnonzero(score >= threshold))
-            yield pa.RecordBatch.from_arrays([b.column("a").take(live), b.column("b").take(live), pa.array(score, pa.float64()).take(live)], names=["a", "b", "similarity"])
-
-    return checkpointed(both.select("a", "b", "grams_a", "grams_b").mapInArrow(verify, "a binary, b binary, similarity double"))
+        for table in in_units(batches, ["root", "p", "q"], 512):
+            sets_ = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
+            copies = table.column("copies").to_numpy()
+            size = np.array([len(g) for g in sets_])
+            far, texts_, edges = np.zeros(len(sets_), np.int64), np.zeros(len(sets_), np.int64), []
+            for a, b in unit_pairs(table, ["root", "p", "q"]):
+                if not len(a):
+                    continue
+                if a[-1] == a[0] + 1 or (np.diff(a) >= 2).all():  # units of two
+                    common = np.array([len(np.intersect1d(sets_[x], sets_[y], assume_unique=True)) for x, y in zip(a, b, strict=True)])
+                else:
+                    low = min(a.min(), b.min())
+                    common = common_counts(sets_[low : max(a.max(), b.max()) + 1])[a - low, b - low]
+                live = common >= threshold * (size[a] + size[b] - common) - 1e-9
+                a, b = a[live], b[live]
+                np.add.at(far, a, copies[b])
+                np.add.at(far, b, copies[a])
+                np.add.at(texts_, a, 1)
+                np.add.at(texts_, b, 1)
+                forest = Forest()
+                forest.join(a, b)
+                edges += forest.edges
+            digest = table.column("digest").combine_chunks()
+            linked = pa.array(np.flatnonzero(texts_), pa.int64())
+            left, right = (pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1))
+            one, none = len(linked), len(edges)
+            a = pa.concat_arrays([digest.take(linked).cast(pa.binary()), digest.take(left).cast(pa.binary())])
+            b = pa.concat_arrays([pa.nulls(one, pa.binary()), digest.take(right).cast(pa.binary())])
+            pad = np.zeros(none, np.int64)
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(np.append(far[texts_ > 0], pad)), pa.array(np.append(texts_[texts_ > 0], pad))], names=["a", "b", "far", "n"])
+
+    units = dealt_in_units(full, "root", "members").select("root", "p", "q", "own", "digest", "copies", "grams")
+    found = checkpointed(units.mapInArrow(verify, "a binary, b binary, far long, n long"))
+    degrees = found.where("b IS NULL").groupBy("a").agg(F.sum("far").alias("far"), F.sum("n").alias("n_text_links"))
+    return degrees, found.where("b IS NOT NULL").select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -182,11 +317,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     found = checkpointed(sketches(docs, id_col, text_col))
     sets = checkpointed(found.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("hash"), text_or_empty(text_col).alias("text"))
-    links = similar_sets(sets, texts, threshold, tolerance)
-    weight = sets.select("digest", "copies")
-    ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = ends.join(weight.toDF("b", "copies"), "b").groupBy("a").agg(F.sum("copies").alias("far"), F.count("*").alias("n_text_links"))
-    roots = components(links)
+    degree, forest = similar_sets(sets, texts, threshold, tolerance)
+    roots = components(forest)
     small = sets.select("digest", "rep", "copies").join(degree.withColumnRenamed("a", "digest"), "digest", "left").join(roots, "digest", "left")
     small = small.withColumn("root", F.coalesce("root", "digest"))
     classes = small.groupBy("root").agg(F.min("rep").alias("first"), F.sum("copies").alias("class_size"))
@@ -198,9 +330,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each class: the one that stays, and of equal rows one."""
-    kept = near_duplicates(docs, id_col=id_col, text_col=text_col).where("stays").select(F.col(id_col).alias("_kept"), F.col("text_hash").alias("_kept_hash")).distinct()
-    keyed = docs.withColumn("_hash", F.xxhash64(text_or_empty(text_col))).dropDuplicates([id_col, "_hash"])
-    return keyed.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi").drop("_hash")
+    kept = near_duplicates(docs, id_col=id_col, text_col=text_col).where("stays")
+    kept = keyed(kept, id_col, F.col("text_hash")).select(keys(3)).distinct()
+    rows = keyed(docs, id_col, F.xxhash64(text_or_empty(text_col))).dropDuplicates(keys(3))
+    return rows.join(kept, keys(3), "left_semi").select(docs.columns)
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import checkpointed, documents, small_batches, text_or_empty
+from newsloom.llm.common import checkpointed, documents, keyed, keys, small_batches, text_or_empty
 
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 BLOCK, SLOTS, BUCKETS, SEED = 64, 1 << 18, 1024, 20
@@ -148,8 +148,9 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     offsets = checkpointed(word_offsets(docs, id_col, text_col, source_col))
     spans, _ = mix_spans(offsets)
     taken = spans.groupBy("id", "hash", "source_no", "start", "epoch").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))  # at most a document's own blocks
-    texts = docs.withColumn("_hash", F.xxhash64(text_or_empty(text_col))).dropDuplicates([id_col, "_hash"]).withColumnRenamed(id_col, "_id")
-    joined = taken.select(F.col("id").alias("_mid"), F.col("hash").alias("_mhash"), F.col("spans").alias("_spans")).join(texts, F.col("_mid").eqNullSafe(F.col("_id")) & (F.col("_mhash") == F.col("_hash")))
+    asked = keyed(taken, "id", F.col("hash")).select(*keys(3), F.col("spans").alias("_spans"))
+    texts = keyed(docs, id_col, F.xxhash64(text_or_empty(text_col))).dropDuplicates(keys(3))
+    joined = texts.join(asked, keys(3))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
@@ -172,7 +173,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     schema = T.StructType([docs.schema[id_col], *(docs.schema[c] for c in rest), T.StructField("_mixed", T.StringType())])
     small_batches(docs.sparkSession)
-    mixed = joined.select(F.col("_id").alias(id_col), *rest, text_or_empty(text_col).alias("_text"), "_spans").mapInArrow(cut, schema)
+    mixed = joined.select(id_col, *rest, text_or_empty(text_col).alias("_text"), "_spans").mapInArrow(cut, schema)
     if "n_chars" in rest:
         mixed = mixed.withColumn("n_chars", F.length("_mixed").cast(docs.schema["n_chars"].dataType))
     return mixed.withColumnRenamed("_mixed", text_col).select(docs.columns)

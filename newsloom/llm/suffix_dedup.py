@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import checkpointed, documents, partitions, small_batches, text_or_empty
@@ -62,25 +62,41 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(raw: bytes, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window, windows, whether a window may come again) of each run of windows with one key."""
-    data = np.frombuffer(raw, np.uint8)
-    if len(data) < window:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+def segments(raws: list[bytes], window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(text, key, first window, windows, whether a window may come again) of each run of windows with one key.
+
+    A window may come again in its segment only if the string with the least hash does.
+    """
+    data = np.frombuffer(b"".join(raws), np.uint8)
+    size = np.array([len(r) for r in raws], np.int64)
+    starts = np.cumsum(size) - size
+    held = np.flatnonzero(size >= window)
+    if not len(held):
+        return (np.empty(0, np.int64),) * 5
     h, width = gram_hashes(data, gram), window - gram + 1
     key = sliding_min(h, width)
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    n = np.diff(np.append(first, len(key)))
-    worst = np.zeros(width - 1, np.uint64)
-    largest = ~sliding_min(~np.concatenate([worst, key, worst]), width)  # of the keys of the windows that hold a string
-    least = np.flatnonzero(largest == h)  # strings that give some window its key
-    at, last = np.searchsorted(least, first), np.searchsorted(least, first + n + width - 1)
-    times, live = np.zeros(len(first), np.int64), np.flatnonzero(n > 1)
+    counts = size[held] - window + 1
+    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = inner + np.repeat(starts[held], counts)  # windows that lie in one text
+    owner = np.repeat(held, counts)
+    keys = key[at]
+    run = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]))
+    n = np.diff(np.append(run, len(keys)))
+    first, own_key = at[run], keys[run]
+    table = np.zeros(1 << 16, bool)
+    table[(own_key & np.uint64(0xFFFF)).astype(np.int64)] = True
+    least = np.flatnonzero(table[(h & np.uint64(0xFFFF)).astype(np.int64)])  # strings that may have the hash of a key
+    place, last = np.searchsorted(least, first), np.searchsorted(least, first + n + width - 1)
+    times, live = np.zeros(len(first), np.int64), np.flatnonzero((n > 1) & (place < last))
     while len(live):
-        times[live] += h[least[at[live]]] == key[first[live]]
-        at[live] += 1
-        live = live[(times[live] < 2) & (at[live] < last[live])]
-    return key[first], first, n, times > 1
+        times[live] += h[least[place[live]]] == own_key[live]
+        place[live] += 1
+        live = live[(times[live] < 2) & (place[live] < last[live])]
+    return owner[run], own_key.view(np.int64), first - starts[owner[run]], n, (times > 1).astype(np.int64)
+
+
+#: Bytes of texts that are hashed together.
+STRETCH = 256 << 10
 
 
 def find_segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
@@ -89,23 +105,22 @@ def find_segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            owner, cols, h1, h2 = [], [], [], []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                raw = text.encode()
-                key, first, n, own = segments(raw, window, gram)
-                if not len(key):
-                    continue
-                owner.append(np.full(len(key), i))
-                cols.append((key.view(np.int64), first, n, own.astype(np.int64)))
-                view = memoryview(raw)
-                wide = [xxhash.xxh3_128_digest(view[a : a + m + window - 1]) for a, m in zip(first.tolist(), n.tolist(), strict=True)]
-                two = np.frombuffer(b"".join(wide), np.int64).reshape(-1, 2)
-                h1.append(two[:, 0])
-                h2.append(two[:, 1])
-            if owner:
-                at = pa.array(np.concatenate(owner))
-                key, first, n, own = (pa.array(np.concatenate(c), pa.int64()) for c in zip(*cols, strict=True))
-                yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("hash").take(at), key, first, n, own, pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2))], names=["id", "hash", "key", "start", "n", "own", "h1", "h2"])
+            raws = [t.encode() for t in b.column("text").to_pylist()]
+            first = 0
+            while first < len(raws):
+                after, size = first, 0
+                while after < len(raws) and size < STRETCH:
+                    size += len(raws[after])
+                    after += 1
+                part = raws[first:after]
+                owner, *cols = segments(part, window, gram)
+                if len(owner):
+                    views = [memoryview(r) for r in part]
+                    wide = [xxhash.xxh3_128_digest(views[o][a : a + m + window - 1]) for o, a, m in zip(owner.tolist(), cols[1].tolist(), cols[2].tolist(), strict=True)]
+                    two = np.frombuffer(b"".join(wide), np.int64).reshape(-1, 2)
+                    at = pa.array(owner + first)
+                    yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("hash").take(at), *(pa.array(c, pa.int64()) for c in cols), pa.array(two[:, 0]), pa.array(two[:, 1])], names=["id", "hash", "key", "start", "n", "own", "h1", "h2"])
+                first = after
 
     return rows.mapInArrow(run, f"id {kind}, hash long, key long, start long, n long, own long, h1 long, h2 long")
 
@@ -164,8 +179,9 @@ def repeated_ranges(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     n_parts = partitions(rows.sparkSession)
     found = find_segments(rows, window, gram)
     kinds = found.groupBy("key", "h1", "h2", "n").agg(F.count("*").alias("seen"), F.max("own").alias("own"), F.min(F.struct("id", "hash", "start")).alias("rep"))
-    keys = kinds.groupBy("key").agg(F.sum("seen").alias("total"), F.count("*").alias("variety"), F.max("own").alias("any_own")).where("total > 1 OR any_own = 1").drop("any_own")
-    shared = checkpointed(kinds.join(keys, "key").select("key", "h1", "h2", "n", (F.col("seen") > 1).alias("many"), "rep", "variety"))
+    of_key = Window.partitionBy("key")
+    kinds = kinds.withColumns({"total": F.sum("seen").over(of_key), "variety": F.count("*").over(of_key), "any_own": F.max("own").over(of_key)})
+    shared = checkpointed(kinds.where("total > 1 OR any_own = 1").select("key", "h1", "h2", "n", (F.col("seen") > 1).alias("many"), "rep", "variety"))
     whole = shared.where("variety = 1 AND many").select("key", "h1", "h2", F.lit(0).cast("long").alias("first"), (F.col("n") + window - 1).alias("after"))
     wanted = shared.where("variety > 1 OR NOT many").groupBy("rep.id", "rep.hash").agg(F.collect_list(F.struct("key", "h1", "h2", "many", F.col("rep.start").alias("start"), "n")).alias("wanted"))  # at most a text's own segments
 

@@ -51,7 +51,7 @@ def test_empty(empty):
     assert J.one_of_each_class(empty).count() == 0
 
 
-def test_near_copies(spark):
+def near_copies(spark):
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in rng.integers(0, 500, 200)]
     rows = []
@@ -61,7 +61,16 @@ def test_near_copies(spark):
             words[at] = f"x{k}"
         rows.append((k, " ".join(words)))
     rows += [(100 + k, " ".join(f"v{i}" for i in rng.integers(0, 500, 30))) for k in range(20)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_near_copies(spark):
+    check(near_copies(spark))
+
+
+def test_near_copies_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 7)
+    check(near_copies(spark))
 
 
 def test_table(spark):

@@ -163,3 +163,16 @@ def test_news_columns(spark):
     assert tuple(got) == ("Post", "Lee", True)
     assert one(spark, N.linked_label(F.lit("A|B|C"))) == "A and 2 more"
     assert one(spark, N.gate_verdict(F.lit("5 up"), F.lit("5 down"))).ok
+
+
+def test_guards(spark):
+    text = "A (Sky Sports - in Italian) , external and B ( Sky Sports , external ) and C (£50m) and D (BBC, external)"
+    assert one(spark, N.attributions(F.lit(text))) == ["Sky Sports", "Sky Sports", "BBC"]
+    assert one(spark, N.omitted_sources(F.lit(text), F.lit("Sky Sports, BBC"))) == ["Sky Sports"]
+    names = {"사카": "Saka", "라이스": "Rice"}
+    wrong = lambda t, o, s="": one(spark, N.title_mistranslation(F.lit(t), F.lit(o), names, F.lit(s)))
+    assert wrong("조르제 영입", "Bukayo Saka joins") == ["name:Saka"]
+    assert wrong("사카 영입", "Bukayo Saka and Declan Rice") == []
+    assert wrong("소식", "With Saka") == []
+    assert wrong("사카 임대", "Bukayo Saka leaves") == ["loan"] and wrong("사카 임대", "Bukayo Saka on loan") == []
+    assert one(spark, N.unfounded_names(F.lit("사카와 라이스"), F.lit("Declan Rice"), names)) == ["사카"]
