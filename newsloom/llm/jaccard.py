@@ -8,12 +8,13 @@
 3. The members of a band meet in units of about BLOCK, or in pairs of such blocks. Pairs are
    compared inside the task, MinHash values STEP at a time: with m of n equal, the posterior
    under a uniform prior is Beta(m + 1, n - m + 1), and a pair is dropped as soon as its
-   chance of reaching the threshold falls below TOLERANCE. A unit emits a spanning forest of
-   the pairs that stay, never all of them.
-4. The forests' connected components hold every candidate pair that stayed. A component's
+   chance of reaching the threshold falls below TOLERANCE. A unit emits paths over what the
+   pairs that stay join, never the pairs; a unit of two blocks only what their own units
+   leave apart, so links grow with members.
+4. The paths' connected components hold every candidate pair that stayed. A component's
    sets meet once more, in blocks, and all pairs in it are verified exactly: a matrix product
-   counts common shingles. Out come each set's number of links and a spanning forest.
-5. Those forests give the classes: connected components by least neighbours and pointer
+   counts common shingles. Out come each set's number of links and such paths.
+5. Those paths give the classes: connected components by least neighbours and pointer
    jumping, cut by checkpoint() each turn; only linked sets take part.
 
 There is no cap on partners, and rows grow with members, not with pairs: a group of g near
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import checkpointed, documents, keyed, keys, partitions, small_batches, text_or_empty
 
 WORDS, THRESHOLD = 5, 0.8
-ROWS, BANDS, STEP, TOLERANCE, BLOCK = 4, 32, 16, 1e-5, 256
+ROWS, BANDS, STEP, TOLERANCE, BLOCK = 4, 32, 16, 1e-5, 512
 HASHES = ROWS * BANDS
 
 _rng = np.random.default_rng(11)
@@ -108,27 +109,35 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.xxhash64(text_or_empty(text_col)).alias("hash")).mapInArrow(run, f"id {kind}, hash long, digest binary, n long, signature binary, bands array<bigint>")
 
 
-class Forest:
-    """Union-find over members of one unit; keeps the pairs that joined two trees."""
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of 0..n-1 that each of them reaches by the pairs (a, b)."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        step = root.copy()
+        np.minimum.at(step, root[a], low)
+        np.minimum.at(step, root[b], low)
+        while (step[step] != step).any():
+            step = step[step]
+        root = step
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+    return root
 
-    def __init__(self) -> None:
-        self.root: dict[int, int] = {}
-        self.edges: list[tuple[int, int]] = []
 
-    def find(self, x: int) -> int:
-        while (up := self.root.get(x, x)) != x:
-            self.root[x] = x = self.root.get(up, up)
-        return x
+def links_beyond(a: np.ndarray, b: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that join what (a, b) joins, where the inner pairs are joined anyway.
 
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        most = len(self.edges) + len(np.unique(np.concatenate([a, b]))) - 1
-        for p, q in zip(a.tolist(), b.tolist(), strict=True):
-            x, y = self.find(p), self.find(q)
-            if x != y:
-                self.root[x] = y
-                self.edges.append((p, q))
-                if len(self.edges) == most:
-                    return
+    A path in row order over the inner trees: no row gets more than two links, and units
+    with the same rows give the same links.
+    """
+    rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    before, after = joined(len(rows), a[inner], b[inner]), joined(len(rows), a, b)
+    heads = np.flatnonzero(before == np.arange(len(rows)))
+    heads = heads[np.argsort(after[heads], kind="stable")]
+    same = after[heads[1:]] == after[heads[:-1]]
+    return rows[heads[:-1][same]], rows[heads[1:][same]]
 
 
 def in_units(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096) -> Iterator[pa.Table]:
@@ -154,42 +163,41 @@ def in_units(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 40
         yield pa.Table.from_batches(held)
 
 
-def unit_pairs(table: pa.Table, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b) row numbers of the pairs to compare, a unit's or many small units' at a time.
+def unit_pairs(table: pa.Table, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, inner): row numbers of the pairs to compare, a unit's or many small units' at a time.
 
-    A unit (key, p, q) of two blocks compares block p with block q, a unit (key, p, p) all.
+    A unit (key, p, p) has the pairs of block p. A unit (key, p, q) has those between p and q,
+    and, marked as inner, those that the blocks' own units have too.
     """
-    cols = [table.column(k).to_numpy() for k in keys]
+    p, q, own = (table.column(c).to_numpy() for c in ("p", "q", "own"))
     new = np.zeros(table.num_rows, bool)
     new[0] = True
-    for c in cols:
+    for c in (table.column(k).to_numpy() for k in keys):
         new[1:] |= c[1:] != c[:-1]
     starts = np.append(np.flatnonzero(new), table.num_rows)
     sizes = np.diff(starts)
     two = starts[:-1][sizes == 2]
     if len(two):
-        yield _crossing(table, two, two + 1)
+        yield two, two + 1, (p[two] != q[two]) & (own[two] == own[two + 1])
     for s, n in zip(starts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
         a, b = np.triu_indices(n, 1)
-        yield _crossing(table, a + s, b + s)
-
-
-def _crossing(table: pa.Table, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    p, q, own = (table.column(c).to_numpy() for c in ("p", "q", "own"))
-    keep = (p[a] == q[a]) | (own[a] != own[b])
-    return a[keep], b[keep]
+        a, b = a + s, b + s
+        yield a, b, (p[a] != q[a]) & (own[a] == own[b])
 
 
 def dealt_in_units(rows: DataFrame, key: str, size: str) -> DataFrame:
-    """rows with p, q and own: each row goes to the units of its block with every block of its group."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col(size) / BLOCK)).cast("int")
+    """rows with p, q and own: each row goes to the units of its block with every block of its group.
+
+    Block counts are powers of two, so that sets which meet in several groups mostly share blocks.
+    """
+    blocks = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.ceil(F.log2(F.col(size) / BLOCK)))).cast("int")
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("digest"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
-    return dealt.repartition(partitions(rows.sparkSession), key, "p", "q").sortWithinPartitions(key, "p", "q")
+    return dealt.repartition(partitions(rows.sparkSession), key, "p", "q").sortWithinPartitions(key, "p", "q", "digest")
 
 
-def candidate_forest(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Edges (a, b) whose components hold all pairs that the incremental comparison keeps."""
+def candidate_paths(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """Links (a, b) whose components hold all pairs that the incremental comparison keeps."""
     need = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
     banded = sets.where("n > 0").select("digest", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
@@ -199,20 +207,18 @@ def candidate_forest(sets: DataFrame, threshold: float, tolerance: float) -> Dat
         for table in in_units(batches, ["band", "p", "q"]):
             marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
             n = table.column("n").to_numpy()
-            out: list[tuple[int, int]] = []
-            for a, b in unit_pairs(table, ["band", "p", "q"]):
+            links: list[tuple[np.ndarray, np.ndarray]] = []
+            for a, b, inner in unit_pairs(table, ["band", "p", "q"]):
                 sized = (n[a] >= threshold * n[b]) & (n[b] >= threshold * n[a])
-                a, b = a[sized], b[sized]
+                a, b, inner = a[sized], b[sized], inner[sized]
                 equal = np.zeros(len(a), np.int64)
                 for k, least in need:
                     equal += (marks[a, k - STEP : k] == marks[b, k - STEP : k]).sum(1)
                     live = equal >= least
-                    a, b, equal = a[live], b[live], equal[live]
-                forest = Forest()
-                forest.join(a, b)
-                out += forest.edges
+                    a, b, inner, equal = a[live], b[live], inner[live], equal[live]
+                links.append(links_beyond(a, b, inner))
             digest = table.column("digest").combine_chunks()
-            left, right = (pa.array([e[i] for e in out], pa.int64()) for i in (0, 1))
+            left, right = (pa.array(np.concatenate([e[i] for e in links] or [np.empty(0, np.int64)]), pa.int64()) for i in (0, 1))
             yield pa.RecordBatch.from_arrays([digest.take(left).cast(pa.binary()), digest.take(right).cast(pa.binary())], names=["a", "b"])
 
     units = dealt_in_units(shared, "band", "members").select("band", "p", "q", "own", "digest", "n", "signature")
@@ -235,13 +241,14 @@ def common_counts(grams: list[np.ndarray]) -> np.ndarray:
 
 
 def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
-    """(degrees, forest) of the exact links between distinct sets.
+    """(degrees, paths) of the exact links between distinct sets.
 
-    degrees: a (digest), far (documents linked, copies included), n_text_links. forest: a, b.
+    degrees: a (digest), far (documents linked, copies included), n_text_links. paths: a, b,
+    with the components of the links.
     sets: digest, rep (none, id, hash of one document that has it), copies, n, signature, bands.
     texts: id, hash, text.
     """
-    groups = components(candidate_forest(sets, threshold, tolerance))
+    groups = components(candidate_paths(sets, threshold, tolerance))
     members = groups.groupBy("root").agg(F.count("*").alias("members"))
     reps = sets.select("digest", "rep", "copies").join(groups, "digest").join(members, "root").select("digest", "root", "members", "copies", "rep.id", "rep.hash").alias("r")
 
@@ -258,28 +265,25 @@ def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD
             sets_ = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
             copies = table.column("copies").to_numpy()
             size = np.array([len(g) for g in sets_])
-            far, texts_, edges = np.zeros(len(sets_), np.int64), np.zeros(len(sets_), np.int64), []
-            for a, b in unit_pairs(table, ["root", "p", "q"]):
-                if not len(a):
-                    continue
-                if a[-1] == a[0] + 1 or (np.diff(a) >= 2).all():  # units of two
+            far, texts_ = np.zeros(len(sets_), np.int64), np.zeros(len(sets_), np.int64)
+            links: list[tuple[np.ndarray, np.ndarray]] = []
+            for a, b, inner in unit_pairs(table, ["root", "p", "q"]):
+                if (np.diff(a) >= 2).all():  # units of two
                     common = np.array([len(np.intersect1d(sets_[x], sets_[y], assume_unique=True)) for x, y in zip(a, b, strict=True)])
                 else:
-                    low = min(a.min(), b.min())
-                    common = common_counts(sets_[low : max(a.max(), b.max()) + 1])[a - low, b - low]
+                    common = common_counts(sets_[a[0] : b[-1] + 1])[a - a[0], b - a[0]]
                 live = common >= threshold * (size[a] + size[b] - common) - 1e-9
-                a, b = a[live], b[live]
+                a, b, inner = a[live], b[live], inner[live]
+                links.append(links_beyond(a, b, inner))
+                a, b = a[~inner], b[~inner]
                 np.add.at(far, a, copies[b])
                 np.add.at(far, b, copies[a])
                 np.add.at(texts_, a, 1)
                 np.add.at(texts_, b, 1)
-                forest = Forest()
-                forest.join(a, b)
-                edges += forest.edges
             digest = table.column("digest").combine_chunks()
             linked = pa.array(np.flatnonzero(texts_), pa.int64())
-            left, right = (pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1))
-            one, none = len(linked), len(edges)
+            left, right = (pa.array(np.concatenate([e[i] for e in links] or [np.empty(0, np.int64)]), pa.int64()) for i in (0, 1))
+            one, none = len(linked), len(left)
             a = pa.concat_arrays([digest.take(linked).cast(pa.binary()), digest.take(left).cast(pa.binary())])
             b = pa.concat_arrays([pa.nulls(one, pa.binary()), digest.take(right).cast(pa.binary())])
             pad = np.zeros(none, np.int64)
@@ -317,8 +321,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     found = checkpointed(sketches(docs, id_col, text_col))
     sets = checkpointed(found.groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash")).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bands").alias("bands")))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("hash"), text_or_empty(text_col).alias("text"))
-    degree, forest = similar_sets(sets, texts, threshold, tolerance)
-    roots = components(forest)
+    degree, paths = similar_sets(sets, texts, threshold, tolerance)
+    roots = components(paths)
     small = sets.select("digest", "rep", "copies").join(degree.withColumnRenamed("a", "digest"), "digest", "left").join(roots, "digest", "left")
     small = small.withColumn("root", F.coalesce("root", "digest"))
     classes = small.groupBy("root").agg(F.min("rep").alias("first"), F.sum("copies").alias("class_size"))
