@@ -1,7 +1,7 @@
 """Secret scans by assignment-aware lexing.
 
 Lines with an assignment are lexed into (name, expression) pairs in source (`a = "x" + b`,
-`a := x`, `'a' => 'x'`) and configuration syntax (`a: x`, `"a": "x"`). An expression is a
+`a := x`, `'a' => 'x'`, `a: str = "x"`, `a["b"] = "x"`) and configuration syntax (`a: x`, `"a": "x"`). An expression is a
 chain of literals and names; names that stand for literals assigned earlier in the same
 document are replaced by them (constants propagate). A literal's score is the weight of the
 most sensitive word in the name of any target that it reaches, times how secret-like its
@@ -36,7 +36,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 1.0, "apikey": 1.0, "credential": 1.0, "credentials": 1.0, "key": 0.7, "auth": 0.7, "bearer": 0.8, "private": 0.7, "signature": 0.6}
 THRESHOLD = 0.5
 
-_TARGET = re.compile(r"""(?<![\w.$-])(?:(?P<name>[A-Za-z_$][\w.$-]*)|"(?P<dq>[^"\n]{1,80})"|'(?P<sq>[^'\n]{1,80})')[ \t]*(?::=|=>|[=:])(?![=>])[ \t]*""")
+_TYPE = r"""[A-Za-z_$][\w.$]*(?:[ \t]*[\[<][\w.$ \t,|\[\]<>]*[\]>])?"""
+_TARGET = re.compile(
+    r"""(?<![\w.$-])(?:(?P<name>[A-Za-z_$][\w.$-]*)|"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)')(?:[ \t]*\])?[ \t]*"""
+    rf"""(?:\??:[ \t]*(?P<type>{_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*(?==(?![=>])))?(?::=|=>|[=:])(?![=>])[ \t]*"""
+)
 _TERM = re.compile(r"""[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)|([^\s,;#"'`(){}\[\]+]+)""")
 _JOIN = re.compile(r"[ \t]*\+[ \t]*")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -57,28 +61,42 @@ def value_weight(value: str) -> float:
     return min(1.0, bits / 48) if re.search(r"\d", value) else min(1.0, bits / 96)
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int, str]]]]:
-    """(target, literals with their places), names replaced by the literals they stand for."""
-    known: dict[str, list[tuple[int, int, str]]] = {}
+def assignments(text: str) -> Iterator[tuple[float, list[tuple[int, int, str]]]]:
+    """(weight, literals with their places) of each assignment, last first.
+
+    The weight is that of the most sensitive target that the assignment's value reaches. An
+    assignment refers to the earlier ones whose names it holds and hands its weight on to
+    them, so each reference is followed once and no literal is copied.
+    """
+    known: dict[str, int] = {}
+    found: list[tuple[list[tuple[int, int, str]], set[int]]] = []
+    weights: list[float] = []
     at = 0
     while m := _TARGET.search(text, at):
         name = m["name"] or m["dq"] or m["sq"]
-        at, value = m.end(), []
+        if m["type"]:  # a type, or the value of `name: value = ...`
+            found.append(([(*m.span("type"), m["type"])], set()))
+            weights.append(name_weight(name))
+        at, literals, refs = m.end(), [], set()
         while t := _TERM.match(text, at):
             quoted = next((k for k in (1, 2, 3) if t[k] is not None), 0)
             at = t.end()
-            if quoted:
-                value.append((*t.span(quoted), t[quoted]))
-            elif t[4] in known:
-                value += known[t[4]]
+            if not quoted and t[4] in known:
+                refs.add(known[t[4]])
             else:
-                value.append((*t.span(4), t[4]))
+                literals.append((*t.span(quoted or 4), t[quoted or 4]))
             if not (j := _JOIN.match(text, at)):
                 break
             at = j.end()
-        if value:
-            known[name] = value[:64]
-            yield name, value
+        if literals or refs:
+            known[name] = len(found)
+            found.append((literals, refs))
+            weights.append(name_weight(name))
+    for i in range(len(found) - 1, -1, -1):
+        literals, refs = found[i]
+        for j in refs:
+            weights[j] = max(weights[j], weights[i])
+        yield weights[i], literals
 
 
 def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int, float]]:
@@ -91,8 +109,7 @@ def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int, f
         out |= {(m.start(), 1, m.end()): 1.0 for m in ACCESS.finditer(text)}
     out |= {(m.start(), 2, m.end()): 1.0 for m in HEX.finditer(text)}
     if ("=" in text or ":" in text) and any(w in low for w in SENSITIVE):
-        for name, literals in assignments(text):
-            weight = name_weight(name)
+        for weight, literals in assignments(text):
             for start, end, value in literals if weight else ():
                 score = weight * value_weight(value)
                 if score >= threshold:

@@ -100,3 +100,16 @@ def test_secrets_query_digest(spark, tmp_path):
     got = {r.doc_id: r for r in S.op10_secret_scans(spark, path).collect()}
     for i, t in enumerate(CODE):
         assert got[i].base_sha256 == hashlib.sha256(brute_secrets(t).encode()).hexdigest()
+
+
+def test_secrets_annotated_subscripts_and_many_pieces():
+    literal = lambda t: [t[s:e] for s, k, e, _ in S.scan(t) if k == 3]
+    value = "A1b2C3d4E5f6G7h8J9"
+    for target in ("password: str =", "const apiKey: string =", "token: Optional[str] = ", "let secret?: string | null =", 'os.environ["API_TOKEN"] =', "config['password'] =", "cfg['db']['password'] =", f'"{"x" * 90} password" :'):
+        assert literal(f'{target} "{value}"') == [value], target
+    assert literal(f"password: {value} = 1") == [value]
+    pieces = [f"A1b2C3d4E5f6G7h8J9{k:03}" for k in range(100)]
+    joined = " + ".join(f'"{p}"' for p in pieces)
+    assert literal(f"a = {joined}\nclient_secret = a") == pieces
+    doubled = f'a = "{value}"\n' + "a = a + a\n" * 200 + "token = a"
+    assert literal(doubled) == [value]
