@@ -8,6 +8,13 @@ cannot match. A candidate then passes the length filter (block has at least `lea
 of the template vocabulary) and the positional filter (what follows the first shared
 prefix word on both sides can still reach `least`) before the overlap is counted.
 
+A notice that is wrapped over lines is found by windows, too: as many consecutive words of
+the whole text as the template has, across line breaks and comment marks. A template that
+passes the same filters on the text's whole set is slid over the places of its words. Each
+run of windows that hold `least` distinct words of it gives a match (block: the line of the
+best window's first template word), unless a line that the run touches holds as many.
+op4_sql has the lines only, so it agrees where no notice is wrapped, as in the given tables.
+
 Base phrases are places of consecutive words anywhere in the text, across lines.
 
 The vocabulary's counts are the only thing that comes to the driver: one number for each
@@ -93,6 +100,7 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
         for place, w in enumerate(sorted(ordered[t])[: len(words) - need[t] + 1]):
             index.setdefault(w, []).append((t, place))
     labels = [label for label, _ in sets]
+    lengths = [len(words.split()) for _, words in templates]
     bases = _base_patterns(phrases)
 
     def block_matches(words: list[int]) -> list[tuple[int, float]]:
@@ -109,6 +117,31 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
                     out.append((t, common / len(ordered[t])))
         return out
 
+    def window_matches(hits: list[tuple[int, int, int]], by_line: list[dict]) -> list[dict]:
+        """hits: (place, rank, line) of the vocabulary's words in the whole text, in order."""
+        out = []
+        for t, _ in block_matches(sorted({w for _, w, _ in hits})):
+            own = [h for h in hits if h[1] in ordered[t]]
+            taken = {m["block"]: m["containment"] for m in by_line if m["label"] == labels[t]}
+            more = lambda run, size=len(ordered[t]), taken=taken: all(taken.get(k, 0.0) < run[0] / size for k in range(run[2], run[3] + 1))
+            inside: Counter = Counter()
+            low, run = 0, None  # run: (most words, line of the best window, first line, last line)
+            for at, w, line in own:
+                inside[w] += 1
+                while at - own[low][0] >= lengths[t]:
+                    inside[own[low][1]] -= 1
+                    inside += Counter()
+                    low += 1
+                n, first = len(inside), own[low][2]
+                if run and (n < need[t] or first > run[3]):
+                    out += [(t, run)] if more(run) else []
+                    run = None
+                if n >= need[t]:
+                    best = max(run[:2], (n, first), key=lambda x: x[0]) if run else (n, first)
+                    run = (*best, run[2] if run else first, line)
+            out += [(t, run)] if run and more(run) else []
+        return [{"block": run[1], "label": labels[t], "containment": run[0] / len(ordered[t])} for t, run in out]
+
     match = T.ArrayType(T.StructType([T.StructField("block", T.LongType()), T.StructField("label", T.StringType()), T.StructField("containment", T.DoubleType())]))
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *[T.StructField(n, T.LongType()) for n in ("n_words", "n_base", "first_word", "last_word")], T.StructField("base_labels", T.ArrayType(T.StringType())), T.StructField("matches", match)])
     arrow_match = pa.list_(pa.struct([("block", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))
@@ -118,13 +151,16 @@ def license_matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATE
             n_words, n_base, first, last, base, matches = [], [], [], [], [], []
             for text in b.column(1).to_pylist():
                 raw = text.encode().lower()
-                n, found = 0, []
+                n, found, hits = 0, [], []
                 for k, line in enumerate(raw.split(b"\n")):
                     words = _WORD.findall(line)
-                    n += len(words)
                     shared = vocabulary.intersection(words)
                     if shared:
+                        hits += [(n + at, rank[w], k) for at, w in enumerate(words) if w in shared]
                         found += [{"block": k, "label": labels[t], "containment": c} for t, c in block_matches(sorted(rank[w] for w in shared))]
+                    n += len(words)
+                if hits and hits[0][2] != hits[-1][2]:
+                    found = sorted(found + window_matches(hits, found), key=lambda m: m["block"])
                 places = [(m.start(), label) for head, pattern, label in bases if head in raw for m in pattern.finditer(raw)]
                 n_words.append(n)
                 n_base.append(len(places))

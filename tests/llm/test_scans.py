@@ -113,3 +113,19 @@ def test_secrets_annotated_subscripts_and_many_pieces():
     assert literal(f"a = {joined}\nclient_secret = a") == pieces
     doubled = f'a = "{value}"\n' + "a = a + a\n" * 200 + "token = a"
     assert literal(doubled) == [value]
+
+
+def test_licenses_wrapped(spark):
+    wrapped = []
+    for label, words in L.TEMPLATES:
+        words = words.split()
+        for width in (3, 6, 9):
+            lines = [" * " + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            wrapped.append((label, len(lines), "/*\n" + "\n".join(lines) + "\n */\nint main() {}"))
+    far = "permission is hereby granted\n" + "\n".join(["filler of other kinds"] * 40) + "\nfree charge to any person obtaining copy this software and associated documentation files"
+    df = spark.createDataFrame([(k, t) for k, (_, _, t) in enumerate(wrapped)] + [(99, far), (100, "released\nunder the\nmit\nlicense\n" + "x\n" * 20 + "released under\nthe mit license")], "doc_id long, text string")
+    got = {r.doc_id: r.matches for r in L.license_matches(df).collect()}
+    for k, (label, _, _) in enumerate(wrapped):
+        assert max(m.containment for m in got[k] if m.label == label) == 1.0, (label, wrapped[k][2], got[k])
+    assert got[99] == []
+    assert [(m.block, m.label) for m in got[100]] == [(0, "mit-release"), (24, "mit-release")]
