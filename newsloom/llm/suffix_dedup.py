@@ -7,8 +7,10 @@
 2. A key with one segment content, seen more than once, repeats as a whole.
 3. The distinct segments of any other key form shards by key. A shard's suffixes are put
    in order by induced sorting (newsloom.llm.induced), whose queues of (position, common
-   prefix) are disk-backed, so a shard may be larger than memory; two neighbours with a
-   common prefix of WINDOW bytes are a repeated string, and both are marked.
+   prefix) are disk-backed. All else of a shard is in memory, and a key is never split, so a
+   shard (SHARD bytes, or a key's distinct segments if they are more) must fit in a task's
+   memory; two neighbours with a common prefix of WINDOW bytes are a repeated string, and
+   both are marked.
 4. Marked ranges return to every place of their segment, and each text drops their union.
 
 Strings are judged on the input: windows are compared before anything is removed, and a
