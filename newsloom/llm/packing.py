@@ -5,8 +5,9 @@ lengths, at most `capacity` numbers however large the corpus: a bin is filled gr
 from the longest length left, then its smallest piece gives way to two unpacked lengths
 that fill the widened gap more tightly, and the same bin is repeated while the histogram
 lasts. Each repeat uses up a length, so the plan stays a few thousand bins. A piece finds
-its slot by its length and its rank among pieces of that length; ranks are counted in
-SALTS parts, so a length that a third of the rows share has no task of its own.
+its slot by its length and its rank among pieces of that length; pieces are numbered where
+they lie and counts by partition are added, so a length that a third of the rows share has
+no task of its own, and nothing is sorted.
 
 Defined cases: null text is empty and gives one piece with the end token alone. Repeated
 rows and equal ids are pieces of their own. An empty table gives no rows. Other columns
@@ -25,15 +26,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.llm.common import checkpointed, documents, small_batches, text_or_empty
 
-CAPACITY, END_ID, SALTS = 1024, 2, 16
-#: Entries of a worker's cache from chunk to ids.
-CACHED = 800_000
+CAPACITY, END_ID = 1024, 2
+#: Entries of a worker's caches from chunk and from token to ids; a batch's own may be more.
+CACHED = 500_000
 
 
 @lru_cache(maxsize=2)
@@ -41,7 +43,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    return Tokenizer.from_file(path), {}, {}
 
 
 def _ids(tok, chunks: list[str]) -> list[bytes]:
@@ -61,29 +63,60 @@ def _unsafe(text: str) -> bool:
     return any(p in text for p in _PAIRS) if text.isascii() else _UNSAFE.search(text) is not None
 
 
+#: The byte-level pattern's tokens in text of ASCII and Latin letters. Other text is left to the tokenizer.
+_LATIN = r"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(rf"[\x00-\x7f{_LATIN}]*")
+_TOKENS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^\sA-Za-z0-9{_LATIN}]+|\s+(?!\S)|\s+", re.ASCII)
+
+
+def _learn(tok, known: dict[str, bytes], of_token: dict[str, bytes], chunks: list[str]) -> None:
+    """Put the ids of all chunks into known; a token is encoded when it is first met."""
+    missing = [c for c in chunks if c not in known]
+    tokens = [_TOKENS.findall(c) if _PLAIN.fullmatch(c) else [c] for c in missing]
+    fresh = list({t for ts in tokens for t in ts if t not in of_token})
+    for cache, wanted, more in ((known, chunks, missing), (of_token, (t for ts in tokens for t in ts), fresh)):
+        if len(cache) + len(more) > CACHED:
+            kept = {k: cache[k] for k in wanted if k in cache}
+            cache.clear()
+            cache.update(kept)
+    if fresh:
+        of_token.update(zip(fresh, _ids(tok, fresh), strict=True))
+    known.update((c, of_token[ts[0]] if len(ts) == 1 else b"".join([of_token[t] for t in ts])) for c, ts in zip(missing, tokens, strict=True))
+
+
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
-    """Little-endian 32-bit ids of each text, equal to the tokenizer's for the whole text."""
-    tok, cache = _tokenizer(path)
-    cut: list[list[str] | None] = []
-    missing: set[str] = set()
-    for text in texts:
-        if _unsafe(text):
-            cut.append(None)
-            continue
-        head, *rest = text.split(" ")
-        keys = [head, *[" " + x for x in rest]]
-        missing.update(k for k in keys if k not in cache)
-        cut.append(keys)
-    fresh = list(missing)
-    known = dict(zip(fresh, _ids(tok, fresh), strict=True)) if fresh else {}
-    if len(cache) + len(known) > CACHED:
-        known = {**{k: cache[k] for keys in cut if keys for k in keys if k in cache}, **known}
-        cache.clear()
-    if len(known) <= CACHED:
-        cache.update(known)
-        known = cache
-    whole = iter(_ids(tok, [t for t, keys in zip(texts, cut, strict=True) if keys is None]))
-    return [b"".join(map(known.__getitem__, keys)) if keys is not None else next(whole) for keys in cut]
+    """Little-endian 32-bit ids of each text, equal to the tokenizer's for the whole text.
+
+    A batch is split at blanks and dictionary-encoded in Arrow; each distinct chunk is looked
+    up once, and the ids of all chunks are gathered in one go.
+    """
+    tok, known, of_token = _tokenizer(path)
+    whole = [_unsafe(t) for t in texts]
+    out: list[bytes | None] = [None] * len(texts)
+    for i, raw in zip(np.flatnonzero(whole).tolist(), _ids(tok, [t for t, w in zip(texts, whole, strict=True) if w]), strict=True):
+        out[i] = raw
+    cut = [t for t, w in zip(texts, whole, strict=True) if not w]
+    if cut:
+        parts = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        coded = parts.flatten().dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.asarray(parts.offsets)
+        none, blank = (pa.scalar(x, pa.large_string()) for x in ("", " "))
+        chunks = pc.binary_join_element_wise(none, coded.dictionary, blank).to_numpy(zero_copy_only=False).tolist()
+        codes[starts[:-1]] = len(chunks) + np.arange(len(cut))  # no blank before a text's first chunk
+        chunks += [t.split(" ", 1)[0] for t in cut]
+        _learn(tok, known, of_token, chunks)
+        pool = [known[c] for c in chunks]
+        length = np.array([len(x) // 4 for x in pool], np.int64)
+        first = np.cumsum(length) - length
+        times = length[codes]
+        ends = np.cumsum(times)
+        at = np.arange(ends[-1]) + np.repeat(first[codes] - ends + times, times)
+        ids = np.frombuffer(b"".join(pool), "<u4")[at]
+        edges = np.append(0, ends)[starts]
+        for i, low, high in zip(np.flatnonzero(~np.array(whole)).tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            out[i] = ids[low:high].tobytes()
+    return out
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -156,30 +189,60 @@ def plan_bins(histogram: dict[int, int], capacity: int) -> list[tuple[list[int],
     return bins
 
 
-def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece", "start")) -> DataFrame:
-    """pieces (with a column length) plus sequence_id and offset."""
+#: Counts by input partition and length that may be broadcast.
+SMALL = 1_000_000
+
+
+def best_two_fit(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """pieces (with a column length) plus sequence_id and offset.
+
+    Pieces of one length are ranked by input partition and, inside it, as they come: rows are
+    numbered where they are, and only counts by partition and length are summed up.
+    """
     spark = pieces.sparkSession
-    salted = checkpointed(pieces.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int")))
-    counts = salted.groupBy("length", "_salt").count().collect()  # capacity * SALTS rows at most
-    histogram: Counter = Counter()
-    before = []
-    for r in sorted(counts):
-        before.append((r["length"], r["_salt"], histogram[r["length"]]))
-        histogram[r["length"]] += r["count"]
+    row = pieces.select(F.struct("*").alias("row"), F.col("length").cast("long").alias("length"), F.spark_partition_id().alias("part"))
+    schema = T.StructType([*row.schema, T.StructField("rank", T.LongType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(capacity + 1, np.int64)
+        for b in batches:
+            size = b.column("length").to_numpy()
+            order = np.argsort(size, kind="stable")
+            times = np.bincount(size, minlength=capacity + 1)
+            rank = np.empty(len(size), np.int64)
+            rank[order] = np.arange(len(size)) + np.repeat(seen - np.cumsum(times) + times, times)
+            seen += times
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rank)], names=schema.names)
+
+    numbered = checkpointed(row.mapInArrow(number, schema))
+    counts = numbered.groupBy("length", "part").count()
+    up_to = F.sum("count").over(Window.partitionBy("length").orderBy("part"))  # a row a partition
+    before = checkpointed(counts.select("length", "part", (up_to - F.col("count")).alias("before")))
+    few = before.count() <= SMALL
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}  # capacity rows at most
     slots, used, base = [], Counter(), 0
     for lengths, repeats in plan_bins(histogram, capacity):
         at = 0
         for size in lengths:
-            slots.append((size, used[size], used[size] + repeats, base, at))
+            slots.append((size, used[size], base, at))
             used[size] += repeats
             at += size
         base += repeats
-    before_df = spark.createDataFrame(before, "length long, _salt int, _before long")
-    slots_df = spark.createDataFrame(slots, "length long, _from long, _to long, _base long, offset long")
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*order)) - 1)
-    ranked = ranked.join(F.broadcast(before_df), ["length", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    placed = ranked.join(F.broadcast(slots_df), "length").where("_rank >= _from AND _rank < _to")
-    return placed.select(*pieces.columns, (F.col("_base") + F.col("_rank") - F.col("_from")).alias("sequence_id"), "offset")
+    of, since, seq, offset = (np.array(c, np.int64) for c in zip(*sorted(slots), strict=True)) if slots else (np.empty(0, np.int64),) * 4
+    group = np.searchsorted(of, np.arange(capacity + 2))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
+            slot = np.empty(len(size), np.int64)
+            for n in np.unique(size).tolist():
+                own = size == n
+                slot[own] = group[n] + np.searchsorted(since[group[n] : group[n + 1]], rank[own], "right") - 1
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(seq[slot] + rank - since[slot]), pa.array(offset[slot])], names=["row", "sequence_id", "offset"])
+
+    ranked = numbered.join(F.broadcast(before) if few else before, ["length", "part"]).select("row", "length", (F.col("rank") + F.col("before")).alias("rank"))
+    placed = ranked.mapInArrow(place, T.StructType([schema["row"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]))
+    return placed.select("row.*", "sequence_id", "offset")
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

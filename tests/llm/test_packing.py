@@ -55,7 +55,7 @@ def test_table_packs_tightly(small):
     assert bins <= least * 1.02 + 1
 
 
-@given(st.lists(st.text(alphabet=st.sampled_from(list("ab 's'\n\t1é東\u0085\u001c.<|>")), max_size=30), max_size=5))
+@given(st.lists(st.text(alphabet=st.sampled_from(list("ab 's'\n\t1éß×東\u0085\u001c.<|>")), max_size=30), max_size=5))
 @settings(max_examples=200, deadline=None)
 def test_cut_texts_encode_alike(texts):
     tok = Tokenizer.from_file(PATH)
@@ -71,3 +71,50 @@ def test_plan_uses_every_piece_once(histogram):
         for x in lengths:
             used[x] += repeats
     assert used == Counter(histogram)
+
+
+def best_two_fit_by_hand(lengths, capacity):
+    """The method piece by piece: the bins, each as sorted lengths."""
+    left, bins = sorted(lengths), []
+    while left:
+        own, gap = [], capacity
+        for x in reversed(list(left)):
+            if x <= gap:
+                own.append(x)
+                left.remove(x)
+                gap -= x
+        if gap and len(own) > 1:
+            room = gap + own[-1]
+            pairs = [(a + b, -a, -b) for i, a in enumerate(left) for b in left[:i] if own[-1] < a + b <= room]
+            if pairs:
+                _, a, b = max(pairs)
+                left = sorted([*left, own.pop()])
+                for x in (-a, -b):
+                    left.remove(x)
+                    own.append(x)
+        bins.append(tuple(sorted(own)))
+    return bins
+
+
+@given(st.lists(st.integers(1, 40), max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_plan_fills_bins_as_tightly_as_piece_by_piece(lengths):
+    plan = [tuple(sorted(b)) for b, times in P.plan_bins(Counter(lengths), 40) for _ in range(times)]
+    by_hand = best_two_fit_by_hand(lengths, 40)
+    assert Counter(x for b in plan for x in b) == Counter(x for b in by_hand for x in b)
+    if plan:
+        assert sum(plan[0]) == sum(by_hand[0])
+    assert abs(len(plan) - len(by_hand)) <= 1
+
+
+def test_slots_over_partitions(spark):
+    rng = np.random.default_rng(3)
+    sizes = [1024] * 400 + rng.integers(1, 1025, 600).tolist()
+    rows = spark.createDataFrame([(k, int(n)) for k, n in enumerate(sizes)], "doc_id long, length long").repartition(7)
+    got = P.best_two_fit(rows).collect()
+    assert Counter((r.doc_id, r.length) for r in got) == Counter(enumerate(sizes))
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    plan = Counter(tuple(b) for b, times in P.plan_bins(Counter(sizes), 1024) for _ in range(times))
+    assert Counter(tuple(n for _, n in sorted(b)) for b in bins.values()) == plan
