@@ -42,8 +42,9 @@ def is_relevant(title: Column, body: Column, terms: list[str], names: list[str])
 
 
 def is_womens(title: Column, body: Column) -> Column:
-    pattern = "(?i)women|wsl"
-    return title.rlike(pattern) | F.substring(body, 1, 400).rlike(pattern)
+    """A mark of the women's team in the title or the first 400 characters of the body."""
+    pattern = "(?i)women|wsl|여자"
+    return F.coalesce(title, F.lit("")).rlike(pattern) | F.substring(F.coalesce(body, F.lit("")), 1, 400).rlike(pattern)
 
 
 def parse_bracket(title: Column) -> Column:
@@ -101,12 +102,12 @@ def omitted_sources(source: Column, output: Column) -> Column:
 
 
 #: Words before a surname that make no name.
-NAME_STOP = "a after an and as at before breaking but by can could deal exclusive for from had has have he her his how if in is it its latest new news not now of official on over report she that the their they this to under was we were what when where who why will with would you".split()
+NAME_STOP = ["a", "after", "an", "and", "as", "at", "before", "breaking", "but", "by", "can", "could", "deal", "exclusive", "for", "from", "had", "has", "have", "he", "her", "his", "how", "if", "in", "is", "it", "its", "latest", "new", "news", "not", "now", "of", "official", "on", "over", "report", "she", "that", "the", "their", "they", "this", "to", "under", "was", "we", "were", "what", "when", "where", "who", "why", "will", "with", "would", "you"]
 
 
 def has_name(text: Column, surname: str) -> Column:
     """A capitalised word that is no stop word stands before the surname."""
-    before = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\b([A-Z][a-z]+)[\s-]+\Q{surname}\E\b"), F.lit(1))
+    before = F.regexp_extract_all(X.strip_marks(F.coalesce(text, F.lit(""))), F.lit(rf"\b([A-Z][a-z]+)[\s-]+\Q{surname}\E\b"), F.lit(1))
     return F.exists(before, lambda w: ~F.lower(w).isin(NAME_STOP))
 
 
@@ -131,3 +132,63 @@ def unfounded_names(title: Column, source: Column, names: dict[str, str]) -> Col
     folded = X.fold_latin(F.coalesce(source, F.lit("")))
     parts = [F.when(F.contains(title, F.lit(own)) & ~F.contains(folded, F.lit(latin.lower())) & ~F.contains(F.coalesce(source, F.lit("")), F.lit(own)), F.lit(own)) for own, latin in names.items()]
     return F.filter(F.array(*parts), lambda r: r.isNotNull())
+
+
+def ko_present(text: Column, name: Column | str) -> Column:
+    """The name stands in the text without a Hangul syllable right before it."""
+    name = F.lit(name) if isinstance(name, str) else name
+    return F.regexp_like(text, F.concat(F.lit(r"(?:^|[^가-힣])\Q"), name, F.lit(r"\E")))
+
+
+def injected(output: Column, source: Column, names: dict[str, list[str]]) -> Column:
+    """Names of the output for which the source has neither the name, nor another name with the same aliases, nor an alias as a word."""
+    source = F.coalesce(source, F.lit(""))
+    folded = X.fold_latin(source)
+    found = []
+    for name, aliases in names.items():
+        same = [k for k, v in names.items() if set(v) == set(aliases)]
+        grounded = F.lit(False)
+        for k in same:
+            grounded = grounded | ko_present(source, k)
+        for alias in aliases:
+            grounded = grounded | F.regexp_like(folded, F.concat(F.lit(r"\b\Q"), X.fold_latin(F.lit(alias)), F.lit(r"\E\b")))
+        found.append(F.when(ko_present(output, name) & ~grounded, F.lit(name)))
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+
+
+#: Polite sentence endings, and quotes, in which they are right.
+_POLITE = r"((?<!아)니다|해요|예요|에요|세요|네요|군요|는데요|어요|아요|지요|죠)\s*$"
+_QUOTED = r"""\"[^\"]*\"|“[^”]*”|「[^」]*」|『[^』]*』|'[^']*'"""
+
+
+def has_polite_ending(text: Column) -> Column:
+    """A sentence outside quotes ends politely."""
+    return F.exists(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), _QUOTED, ""), r"[.!?…\n]+"), lambda s: F.trim(s).rlike(_POLITE))
+
+
+def roster_surnames(names: list[str], least: int = 3) -> list[str]:
+    """Last words, of `least` letters at least, of names of two words or more."""
+    last = [n.split()[-1] for n in names if n and len(n.split()) > 1]
+    return sorted({n for n in last if len(n) >= least})
+
+
+def serving_kept(title: Column, title_ko: Column, body: Column, linked: Column, terms: list[str], names: list[str]) -> Column:
+    """A community item stays if either title, its body, a surname or a link to a player speaks for it."""
+    both = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(title_ko, F.lit("")))
+    surnames = roster_surnames(names)
+    kept = is_relevant(title, body, terms, names) | is_relevant(title_ko, F.lit(""), terms, names) | F.coalesce(linked, F.lit(False))
+    return kept | is_relevant(both, F.lit(""), [], surnames) if surnames else kept
+
+
+#: What an incoming move says in a title's first clause.
+INBOUND = ["아스날 이적", "아스날 합류", "아스날행", "아스날로"]
+
+
+def other_club(title: Column, key: Column, subject: str, clubs: list[str], inbound: list[str] = INBOUND) -> Column:
+    """The club from whose side a title speaks; null if it is the subject's own or names none."""
+    title = F.coalesce(title, F.lit(""))
+    clause = first_clause(title)
+    ours = F.startswith(F.ltrim(title), F.lit(subject))
+    for sign in inbound:
+        ours = ours | F.contains(clause, F.lit(sign))
+    return F.when(~ours & (key.isNull() | F.contains(clause, key)), longest_name(clause, clubs))

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom.functions import vocab as V
 
 
+#: Months, and how publish dates and clock times stand in a text.
+MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
+PUBLISH_TIME = rf"(?i)(?:{MONTHS})\.?\s+\d{{1,2}}\s*,?\s*\d{{4}}|(?:Updated\s+)?\d{{1,2}}:\d{{2}}\s*[ap]m"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def squeezed(c: Column) -> Column:
     """Runs of white space as one blank, none at the ends."""
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " "))
@@ -62,8 +75,9 @@ def domain_suffix(host: Column, domain: Column) -> Column:
 
 
 def number_tokens(text: Column) -> Column:
-    """Digit runs outside URLs, thousands commas dropped."""
-    plain = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"https?://\S+", " "), r"(?<=\d),(?=\d{3}(?!\d))", "")
+    """Digit runs outside URLs, publish dates and clock times, thousands commas dropped."""
+    quiet = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"https?://\S+", " "), PUBLISH_TIME, " ")
+    plain = F.regexp_replace(quiet, r"(?<=\d),(?=\d{3}(?!\d))", "")
     return F.regexp_extract_all(plain, F.lit(r"(\d+)"), F.lit(1))
 
 
@@ -83,15 +97,21 @@ def missing_numbers(source: Column, output: Column) -> Column:
 
 
 def char_ngrams(text: Column, n: int = V.NGRAM) -> Column:
-    s = squeezed(text)
-    starts = F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(s, i, F.lit(n))))
+    """Distinct runs of n characters. Text becomes an array of characters first, as a place in
+    UTF-8 is only found by counting from the start.
+    """
+
+    def grams(chars: Column) -> Column:
+        starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), "")))
+
+    return let(F.split(squeezed(text), "(?<=.)(?=.)"), grams)
 
 
 def ngram_retention(source: Column, output: Column, n: int = V.NGRAM) -> Column:
     """Share of output's character n-grams that source has; 0 for a short output."""
-    out = char_ngrams(output, n)
-    return F.when(F.size(out) > 0, F.size(F.array_intersect(out, char_ngrams(source, n))) / F.size(out)).otherwise(0.0)
+    share = lambda out: F.when(F.size(out) > 0, F.size(F.array_intersect(out, char_ngrams(source, n))) / F.size(out)).otherwise(0.0)
+    return let(char_ngrams(output, n), share)
 
 
 def quote_spans(text: Column) -> Column:
@@ -143,8 +163,28 @@ def glossary_replace(c: Column, pairs: list[tuple[str, str]]) -> Column:
     return c
 
 
+def _marked_letters() -> tuple[str, str]:
+    """Latin letters with marks and the letters without."""
+    marked, plain = [], []
+    for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]):
+        base = unicodedata.normalize("NFD", c)[0]
+        if base != c and base.isascii():
+            marked.append(c)
+            plain.append(base)
+    return "".join(marked), "".join(plain)
+
+
+_MARKED, _UNMARKED = _marked_letters()
+
+
+def strip_marks(c: Column) -> Column:
+    """Latin letters without their marks, in their case; ae, ss and o for letters that have no mark."""
+    out = F.translate(F.regexp_replace(c, r"\p{Mn}", ""), _MARKED + "øØ", _UNMARKED + "oO")
+    for letter, plain in (("æ", "ae"), ("Æ", "AE"), ("ß", "ss")):
+        out = F.replace(out, F.lit(letter), F.lit(plain))
+    return out
+
+
 def fold_latin(c: Column) -> Column:
-    """Lower case without common Latin marks; ae, oe, ss and o for their letters."""
-    marked = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
-    plain = "aaaaaaceeeeiiiinoooooouuuuyy"
-    return F.replace(F.replace(F.translate(F.lower(c), marked, plain), F.lit("æ"), F.lit("ae")), F.lit("ß"), F.lit("ss"))
+    """Lower case without marks of Latin letters."""
+    return F.lower(strip_marks(F.lower(c)))

@@ -32,11 +32,17 @@ def _micros(c: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), F.col(c))
 
 
-def top_stories(rows: DataFrame, event: str, mains: int = 4) -> DataFrame:
-    """Slots 1 (lead) and 2 to mains + 1 (latest first) among recent rows of the top tiers, one an event."""
-    last = rows.agg(F.max("published_at").alias("last"))  # one row
-    recent = rows.where(F.col("tier").isin(V.TOP_TIERS)).join(F.broadcast(last)).where(F.timestamp_diff("MICROSECOND", F.col("published_at"), F.col("last")) <= V.TOP_HORIZON_DAYS * 86_400_000_000)
-    key = F.struct(F.col("tier").alias("t"), (-lead_rank()).alias("r"), (-_micros("published_at")).alias("p"), (-F.col("n_chars")).alias("n"), F.col("doc_id").alias("doc_id"))
+def top_stories(rows: DataFrame, event: str, now: str, mains: int = 4) -> DataFrame:
+    """Slots 1 (lead) and 2 to mains + 1 (latest first) among recent rows of the top tiers, one an event.
+
+    Recent: TOP_HORIZON_DAYS whole days before now at most. Order: the subject opens the title,
+    tier, stage, latest, has an image. rows: doc_id, tier, stage, published_at, subject, image, and the event.
+    """
+    clock = F.to_timestamp_ntz(F.lit(now))
+    days = F.floor(F.timestamp_diff("MICROSECOND", F.col("published_at"), clock) / 86_400_000_000)
+    recent = rows.where(F.col("tier").isin(V.TOP_TIERS) & (days <= V.TOP_HORIZON_DAYS))
+    first = lambda c: F.when(F.col(c), 0).otherwise(1)
+    key = F.struct(first("subject").alias("s"), F.col("tier").alias("t"), (-lead_rank()).alias("r"), (-_micros("published_at")).alias("p"), first("image").alias("i"), F.col("doc_id").alias("doc_id"))
     firsts = recent.groupBy(event).agg(F.min(key).alias("k"))
     few = firsts.orderBy("k").limit(mains + 1)  # a handful of rows from here on
     placed = few.withColumn("place", F.row_number().over(Window.orderBy("k")))

@@ -14,10 +14,14 @@ def facet_counts(rows: DataFrame, axes: list[str]) -> DataFrame:
     return rows.select(F.explode(entries).alias("f")).where("f.value IS NOT NULL").groupBy("f.axis", "f.value").agg(F.count("*").alias("n"))
 
 
-def fold_aliases(words: DataFrame) -> DataFrame:
-    """For each folded key the spelling that wins: most often, then not upper case, then least."""
-    spellings = words.groupBy(X.fold_latin(F.col("word")).alias("key"), "word").agg(F.count("*").alias("n"))
-    upper = F.when(F.col("word") == F.upper("word"), 1).otherwise(0)
+def fold_aliases(names: DataFrame, registered: list[str] = ()) -> DataFrame:
+    """For each key (case and blanks folded) the spelling that wins: in most articles, then not upper case, then least.
+
+    names: word, a row an article and spelling. Registered names have their own spelling and are left out.
+    """
+    key = X.norm_alias(F.col("word"))
+    spellings = names.where(~key.isin(list(registered))).groupBy(key.alias("key"), "word").agg(F.count("*").alias("n"))
+    upper = F.when((F.col("word") == F.upper("word")) & (F.col("word") != F.lower("word")), 1).otherwise(0)
     rank = F.struct((-F.col("n")).alias("n"), upper.alias("u"), F.col("word").alias("word"))
     return spellings.groupBy("key").agg(F.min(rank).alias("best"), F.sum("n").alias("n"), F.count("*").alias("spellings")).select("key", F.col("best.word").alias("spelling"), "n", "spellings")
 
@@ -43,3 +47,58 @@ def page(rows: DataFrame, order: list[Column], size: int, number: int) -> DataFr
 def blocks_that_match(rows: DataFrame, block: str, predicate: Column) -> DataFrame:
     """A block stays if any of its members matches; hits counts them."""
     return rows.groupBy(block).agg(F.count_if(predicate).alias("hits"), F.count("*").alias("members")).where("hits > 0")
+
+
+def source_facets(rows: DataFrame) -> DataFrame:
+    """axis, value, n: tiers, outlets, each author of an article, stages of the reader's filter, and the rest.
+
+    rows: tier, outlet, journalists (array), stage, direction. A stage counts if the deal is in or
+    out, or collapsed; no stage and `other` count as other.
+    """
+    shown = (F.col("stage") == "collapsed") | F.col("direction").isin("in", "out")
+    is_other = F.col("stage").isNull() | (F.col("stage") == "other")
+    entry = lambda axis, value: F.struct(F.lit(axis).alias("axis"), value.cast("string").alias("value"))
+    single = F.array(entry("tier", tier_key(F.col("tier"))), entry("outlet", F.col("outlet")), entry("stage", F.when(~is_other & shown, F.col("stage"))), entry("other", F.when(is_other, F.lit("other"))))
+    names = F.transform(F.array_distinct("journalists"), lambda j: entry("journalist", j))
+    return rows.select(F.explode(F.concat(single, names)).alias("f")).where("f.value <> ''").groupBy("f.axis", "f.value").agg(F.count("*").alias("n"))
+
+
+def tier_key(tier: Column) -> Column:
+    """The short form of a tier: 1, 1.5, or nothing."""
+    return F.coalesce(F.regexp_replace(tier.cast("double").cast("string"), r"\.0$", ""), F.lit(""))
+
+
+def facet_bucket(tier: Column, n: Column, least: int) -> Column:
+    """Where a facet's row stands: in its tier's group on the first screen, or folded away for too few articles."""
+    return F.when(n >= least, F.concat(F.lit("tier "), tier_key(tier))).otherwise("more")
+
+
+def reader_match(outlets: list[str] = (), journalists: list[str] = (), tiers: list[str] = (), stages: list[str] = (), other: bool = False, text: str = "") -> Column:
+    """The reader's filter over outlet, journalists, tier, stage, direction and search_text.
+
+    Outlets and journalists are one group: any of either. Without a choice a group lets all pass.
+    Other items show if asked for, or if a source is chosen and no stage; a chosen stage shows
+    deals in or out, and collapsed ones.
+    """
+    by_source = bool(outlets or journalists)
+    out = F.contains(F.col("search_text"), F.lit(text.strip().lower())) if text.strip() else F.lit(True)
+    if by_source:
+        out = out & (F.col("outlet").isin(list(outlets)) | F.arrays_overlap("journalists", F.array(*[F.lit(j) for j in journalists]).cast("array<string>")))
+    if tiers:
+        out = out & tier_key(F.col("tier")).isin(list(tiers))
+    moved = (F.col("stage") == "collapsed") | F.col("direction").isin("in", "out")
+    is_other = F.col("stage").isNull() | (F.col("stage") == "other")
+    staged = F.col("stage").isin(list(stages)) & moved if stages else F.lit(True)
+    return out & F.when(is_other, F.lit(bool(other or (by_source and not stages)))).otherwise(staged)
+
+
+def revealed(rows: DataFrame, day: str, steps: int, days: int = 7) -> DataFrame:
+    """Rows that `steps` presses show: each opens the days from the newest hidden one back over `days` days."""
+    hidden, shown = rows, None
+    for _ in range(steps):
+        newest = hidden.agg(F.max(day).alias("_newest"))  # one row
+        marked = hidden.join(F.broadcast(newest)).withColumn("_open", F.datediff("_newest", day) < days)
+        part = marked.where("_open").drop("_newest", "_open")
+        shown = part if shown is None else shown.unionByName(part)
+        hidden = marked.where("NOT _open").drop("_newest", "_open")
+    return shown

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import vocab as V
@@ -62,18 +62,19 @@ def latest_rows(df: DataFrame, run: str, runs: int = 1) -> DataFrame:
     return df.join(F.broadcast(last), run, "left_semi")  # `runs` rows
 
 
-def roster_staleness(links: DataFrame, players: DataFrame, least: int = 2) -> DataFrame:
-    """Players whose reported stages their roster status doesn't know yet."""
+def roster_staleness(cycle: DataFrame, recent: DataFrame, players: DataFrame, least: int = 2) -> DataFrame:
+    """Players whose reported stages their roster status doesn't know yet.
+
+    cycle: links of this run, of which one must trigger; recent: links of the last seven days,
+    of which `least` must. stages are those of this run, total is of the recent ones.
+    """
     status = F.col("status")
     early, finish = F.col("stage").isin(V.EARLY), F.col("stage").isin(V.ADVANCED + V.CLOSING)
     start = status.isin("in_done", "out_done")
     open_ = status.isin("in_link", "out_link")
-    hits = links.join(players, "player_id").where((start & early) | (open_ & finish))
-    per = hits.groupBy("player_id", "status", "stage").agg(F.count("*").alias("n"))
+    triggers = lambda links: links.join(players, "player_id").where((start & early) | (open_ & finish))
+    per = triggers(cycle).groupBy("player_id", "status", "stage").agg(F.count("*").alias("n"))
+    total = triggers(recent).groupBy("player_id").agg(F.count("*").alias("total")).where(F.col("total") >= least)
     said = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "stage", F.col("n").cast("string")))), ",")  # ten stages at most
-    out = per.groupBy("player_id", "status").agg(F.sum("n").alias("total"), said.alias("stages")).where(F.col("total") >= least)
+    out = per.groupBy("player_id", "status").agg(said.alias("stages")).join(total, "player_id")
     return out.select("player_id", F.when(status.isin("in_done", "out_done"), "start").otherwise("finish").alias("kind"), "total", "stages")
-
-
-def ranked_window(keys: list[str], *order: Column) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

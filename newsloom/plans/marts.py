@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import state as S
-from newsloom.plans.bridge import ARTICLES, RUNS, articles, registrar, runs, table, with_
+from newsloom.plans.bridge import ARTICLES, RUNS, articles, labelled_articles, registrar, runs, table, with_
 
 Q, SQL, query = registrar()
 
 
 @query(with_(ARTICLES) + "SELECT source, count(*) AS articles, avg(tier) AS avg_tier, count(*) FILTER (title_ko IS NULL) AS missing_translation, avg(n_chars) AS avg_chars FROM articles GROUP BY source")
 def source_quality(spark: SparkSession, sf: str) -> DataFrame:
-    return articles(spark, sf).groupBy("source").agg(F.count("*").alias("articles"), F.avg("tier").alias("avg_tier"), F.count_if(F.col("title_ko").isNull()).alias("missing_translation"), F.avg("n_chars").alias("avg_chars"))
+    return labelled_articles(spark, sf).groupBy("source").agg(F.count("*").alias("articles"), F.avg("tier").alias("avg_tier"), F.count_if(F.col("title_ko").isNull()).alias("missing_translation"), F.avg("n_chars").alias("avg_chars"))
 
 
 @query(with_(ARTICLES) + "SELECT tier, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM articles GROUP BY tier")
@@ -45,12 +45,12 @@ def slo_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(with_(ARTICLES) + "SELECT doc_id, source, title FROM articles WHERE title_ko IS NULL")
 def work_queue(spark: SparkSession, sf: str) -> DataFrame:
-    return articles(spark, sf).where("title_ko IS NULL").select("doc_id", "source", "title")
+    return labelled_articles(spark, sf).where("title_ko IS NULL").select("doc_id", "source", "title")
 
 
 @query(with_(ARTICLES) + "SELECT source, count(*) FILTER (title_ko IS NULL) AS pending_title, count(*) FILTER (stage = 'other') AS pending_stage FROM articles GROUP BY source")
 def pending_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return articles(spark, sf).groupBy("source").agg(F.count_if(F.col("title_ko").isNull()).alias("pending_title"), F.count_if(F.col("stage") == "other").alias("pending_stage"))
+    return labelled_articles(spark, sf).groupBy("source").agg(F.count_if(F.col("title_ko").isNull()).alias("pending_title"), F.count_if(F.col("stage") == "other").alias("pending_stage"))
 
 
 @query(
@@ -67,7 +67,7 @@ def dq_checks(spark: SparkSession, sf: str) -> DataFrame:
     repeated = lambda c: a.groupBy(c).count().where("count > 1")
     orphans = table(spark, sf, "labels").select("doc_id").join(table(spark, sf, "documents").select("doc_id"), "doc_id", "left_anti")
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).join(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", "left_anti")
-    failing = {"unique_doc_id": repeated("doc_id"), "unique_url": repeated("url"), "not_null_title_ko": a.where("title_ko IS NULL"), "accepted_stage": a.where(~F.col("stage").isin(V.DISPLAYABLE)), "relationship_labels": orphans, "relationship_orders": lines}
+    failing = {"unique_doc_id": repeated("doc_id"), "unique_url": repeated("url"), "not_null_title_ko": labelled_articles(spark, sf).where("title_ko IS NULL"), "accepted_stage": a.where(~F.col("stage").isin(V.DISPLAYABLE)), "relationship_labels": orphans, "relationship_orders": lines}
     parts = [df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check_name"), "failures") for name, df in failing.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -108,15 +108,17 @@ def raw_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles as they arrive; two of three carry their source's one title, so that contents come again."""
     a = articles(spark, sf)
-    return a.select("url", F.col("doc_id").alias("seq"), F.substring("title", 1, 3).alias("content_hash"), F.col("lang").alias("source_id"), "body_level")
+    title = F.when(F.col("doc_id") % 3 == 0, F.col("title")).otherwise(F.col("source"))
+    return a.select("url", F.col("doc_id").alias("seq"), X.content_hash(title, F.col("url")).alias("content_hash"), F.col("lang").alias("source_id"), "body_level")
 
 
 _FOLD = (
     "WITH RECURSIVE "
     + ARTICLES
     + """,
-a AS (SELECT url, doc_id AS seq, substring(title, 1, 3) AS h, lang AS s, body_level AS lv, row_number() OVER (PARTITION BY url ORDER BY doc_id) AS n FROM articles),
+a AS (SELECT url, doc_id AS seq, sha256(CASE WHEN doc_id % 3 = 0 THEN trim(regexp_replace(title, '\\s+', ' ', 'g')) ELSE source END || '|' || url) AS h, lang AS s, body_level AS lv, row_number() OVER (PARTITION BY url ORDER BY doc_id) AS n FROM articles),
 f AS (SELECT url, seq, n, 'new' AS decision, 1 AS revision, h, s, lv FROM a WHERE n = 1
 UNION ALL SELECT a.url, a.seq, a.n,
   CASE WHEN f.s = a.s THEN CASE WHEN f.h = a.h THEN 'duplicate' ELSE 'changed' END WHEN a.lv > f.lv THEN 'upgrade' ELSE 'blocked' END,
@@ -140,7 +142,7 @@ def dedup_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 def _mart(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """First and last article of each url as old and new rows of the mart."""
-    a = articles(spark, sf).select("url", "doc_id", "title", "tier", "title_ko", "stage")
+    a = labelled_articles(spark, sf).select("url", "doc_id", "title", "tier", "title_ko", "stage")
     old = S.first_by(a.where("doc_id % 2 = 0"), ["url"], [F.col("doc_id")])
     new = S.first_by(a.where("doc_id % 3 = 0"), ["url"], [F.desc("doc_id")])
     return old, new.withColumn("title_ko", F.lit(None).cast("string"))

@@ -11,6 +11,7 @@ from newsloom.plans.bridge import LINKS, PLAYERS, SOURCE_DAYS, links, players, r
 
 Q, SQL, query = registrar()
 CLOCK = "2024-01-30 11:00:00"
+CYCLE, RECENT = "2001-01-01 00:00:00", "2000-01-01 00:00:00"
 
 _SOURCE = "event_type || '-' || CAST(user_id % 5 AS VARCHAR)"
 _AGE = "(epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(w)) / 3600"
@@ -97,11 +98,19 @@ _IN = lambda xs: ", ".join(f"'{x}'" for x in xs)
 
 
 @query(
-    with_(LINKS, PLAYERS, f"h AS (SELECT player_id, status, stage, count(*) AS n FROM links JOIN players USING (player_id) WHERE (status IN ('in_done', 'out_done') AND stage IN ({_IN(V.EARLY)})) OR (status IN ('in_link', 'out_link') AND stage IN ({_IN(V.ADVANCED + V.CLOSING)})) GROUP BY 1, 2, 3)")
-    + "SELECT player_id, CASE WHEN status IN ('in_done', 'out_done') THEN 'start' ELSE 'finish' END AS kind, CAST(sum(n) AS BIGINT) AS total, string_agg(stage || ':' || n, ',' ORDER BY stage || ':' || n) AS stages FROM h GROUP BY player_id, status HAVING sum(n) >= 2"
+    with_(
+        LINKS,
+        PLAYERS,
+        f"x AS (SELECT player_id, status, stage, extracted_at FROM links JOIN players USING (player_id) WHERE (status IN ('in_done', 'out_done') AND stage IN ({_IN(V.EARLY)})) OR (status IN ('in_link', 'out_link') AND stage IN ({_IN(V.ADVANCED + V.CLOSING)})))",
+        f"h AS (SELECT player_id, status, stage, count(*) AS n FROM x WHERE extracted_at >= TIMESTAMP '{CYCLE}' GROUP BY 1, 2, 3)",
+        f"w AS (SELECT player_id, count(*) AS total FROM x WHERE extracted_at >= TIMESTAMP '{RECENT}' GROUP BY 1 HAVING count(*) >= 2)",
+    )
+    + "SELECT player_id, CASE WHEN status IN ('in_done', 'out_done') THEN 'start' ELSE 'finish' END AS kind, total, string_agg(stage || ':' || n, ',' ORDER BY stage || ':' || n) AS stages FROM h JOIN w USING (player_id) GROUP BY player_id, status, total"
 )
 def roster_staleness(spark: SparkSession, sf: str) -> DataFrame:
-    return M.roster_staleness(links(spark, sf).select("player_id", "stage"), players(spark, sf).select("player_id", "status"))
+    """The cycle and the recent days begin at CYCLE and RECENT."""
+    since = lambda at: links(spark, sf).where(F.col("extracted_at") >= F.to_timestamp_ntz(F.lit(at))).select("player_id", "stage")
+    return M.roster_staleness(since(CYCLE), since(RECENT), players(spark, sf).select("player_id", "status"))
 
 
 @query(with_(LINKS, PLAYERS) + "SELECT player_id, stage, count(*) AS n FROM links JOIN players USING (player_id) WHERE confirmed AND extracted_at >= TIMESTAMP '2001-01-01 00:00:00' GROUP BY 1, 2")

@@ -9,7 +9,7 @@ from newsloom.functions import html as H
 from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import facets as A
-from newsloom.plans.bridge import ARTICLES, articles, registrar, table, with_
+from newsloom.plans.bridge import ARTICLES, articles, labelled_articles, registrar, table, with_
 
 Q, SQL, query = registrar()
 
@@ -22,7 +22,7 @@ Q, SQL, query = registrar()
 WHERE value IS NOT NULL GROUP BY axis, value"""
 )
 def facet_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return A.facet_counts(articles(spark, sf).withColumn("quality", F.col("quality").cast("int")), ["source", "lang", "stage", "direction", "body_level", "quality"])
+    return A.facet_counts(labelled_articles(spark, sf).withColumn("quality", F.col("quality").cast("int")), ["source", "lang", "stage", "direction", "body_level", "quality"])
 
 
 @query(with_(ARTICLES) + "SELECT author, count(*) AS n, count(DISTINCT source) AS sources, min(tier) AS best_tier FROM (SELECT DISTINCT doc_id, source, tier, unnest([split_part(title, ' ', 1), split_part(title, ' ', 2)]) AS author FROM articles) WHERE author <> '' GROUP BY author")
@@ -33,16 +33,18 @@ def facet_multivalue(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("author").agg(F.count("*").alias("n"), F.count_distinct("source").alias("sources"), F.min("tier").alias("best_tier"))
 
 
-_FOLD = "replace(replace(translate(lower(word), 'àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ', 'aaaaaaceeeeiiiinoooooouuuuyy'), 'æ', 'ae'), 'ß', 'ss')"
+REGISTERED = ["the", "of", "and"]
 
 
 @query(
-    f"""WITH w AS (SELECT unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS word FROM documents), s AS (SELECT {_FOLD} AS key, word, count(*) AS n FROM w GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, (word = upper(word))::INTEGER, word) AS i, sum(n) OVER (PARTITION BY key) AS total, count(*) OVER (PARTITION BY key) AS spellings FROM s)
+    f"""WITH w AS (SELECT unnest(list_distinct(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))) AS word FROM documents), s AS (SELECT lower(word) AS key, word, count(*) AS n FROM w WHERE lower(word) NOT IN ({", ".join(f"'{r}'" for r in REGISTERED)}) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, (word = upper(word) AND word <> lower(word))::INTEGER, word) AS i, sum(n) OVER (PARTITION BY key) AS total, count(*) OVER (PARTITION BY key) AS spellings FROM s)
 SELECT key, word AS spelling, CAST(total AS BIGINT) AS n, spellings FROM r WHERE i = 1"""
 )
 def alias_folding(spark: SparkSession, sf: str) -> DataFrame:
-    return A.fold_aliases(table(spark, sf, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("([A-Za-zÀ-ÿ]+)"), F.lit(1))).alias("word")))
+    """Each word of a document counts as a name of one of its authors."""
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit("([A-Za-zÀ-ÿ]+)"), F.lit(1)))
+    return A.fold_aliases(table(spark, sf, "documents").select(F.explode(words).alias("word")), REGISTERED)
 
 
 @query(with_(ARTICLES) + "SELECT doc_id, source, tier FROM articles WHERE lang IN ('en', 'fr') AND direction IN ('in', 'out') AND contains(lower(title || ' ' || source), 'the') AND contains(lower(title || ' ' || source), 'src1')")
@@ -69,7 +71,7 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 TURNS = "t AS (SELECT a.conv_id, a.turn, a.text AS source, b.text AS output FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"
-_NUMBERS = lambda c: rf"regexp_extract_all(regexp_replace(regexp_replace(regexp_replace({c}, 'https?://\S+', ' ', 'g'), '(\d),(\d{{3}})\b', '\1\2', 'g'), '(\d),(\d{{3}})\b', '\1\2', 'g'), '\d+')"
+_NUMBERS = lambda c: rf"regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, 'https?://\S+', ' ', 'g'), '{X.PUBLISH_TIME}', ' ', 'g'), '(\d),(\d{{3}})\b', '\1\2', 'g'), '(\d),(\d{{3}})\b', '\1\2', 'g'), '\d+')"
 
 
 @query(

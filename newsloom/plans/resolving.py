@@ -124,7 +124,8 @@ def cluster_representative(spark: SparkSession, sf: str) -> DataFrame:
     return C.representatives(rows, "cluster", "doc_id").select("cluster", "doc_id", "members", "gossip")
 
 
-_STORY = f"s AS (SELECT *, row_number() OVER (ORDER BY tier, {_RANK} DESC, published_at DESC, n_chars DESC, doc_id) AS place FROM articles WHERE tier IN (0, 1, 1.5) AND published_at >= (SELECT max(published_at) FROM articles) - INTERVAL 10 DAY)"
+STORY_CLOCK = "2024-01-12 02:00:00"
+_STORY = f"s AS (SELECT *, row_number() OVER (ORDER BY starts_with(ltrim(title), 'The') DESC, tier, {_RANK} DESC, published_at DESC, n_chars > 1000 DESC, doc_id) AS place FROM articles WHERE tier IN (0, 1, 1.5) AND floor(epoch(TIMESTAMP '{STORY_CLOCK}' - published_at) / 86400) <= 10)"
 
 
 @query(
@@ -132,8 +133,10 @@ _STORY = f"s AS (SELECT *, row_number() OVER (ORDER BY tier, {_RANK} DESC, publi
     + "SELECT doc_id, CASE WHEN k = 1 THEN 1 ELSE 1 + row_number() OVER (PARTITION BY k > 1 ORDER BY published_at DESC, doc_id) END::INTEGER AS slot FROM t WHERE k <= 5"
 )
 def top_stories(spark: SparkSession, sf: str) -> DataFrame:
-    """One lead and four more of the last ten days, one a URL."""
-    return C.top_stories(articles(spark, sf).select("doc_id", "url", "tier", "stage", "published_at", "n_chars"), "url").select("doc_id", "slot")
+    """One lead and four more of the last ten whole days, one a URL. Long articles have an image, `The` is the subject."""
+    subject = F.startswith(F.ltrim("title"), F.lit("The")).alias("subject")
+    rows = articles(spark, sf).select("doc_id", "url", "tier", "stage", "published_at", subject, (F.col("n_chars") > 1000).alias("image"))
+    return C.top_stories(rows, "url", STORY_CLOCK).select("doc_id", "slot")
 
 
 _GROUP = "CASE stage WHEN 'agreed' THEN 'agreed' WHEN 'medical' THEN 'agreed' WHEN 'negotiating' THEN 'talks' WHEN 'personal_terms' THEN 'talks' ELSE stage END"

@@ -55,9 +55,11 @@ def html_list(spark: SparkSession, path: str, source_id: str, base_url: str, hre
 
 
 def timeline(spark: SparkSession, path: str, source_id: str) -> DataFrame:
-    """Landed posts of a social timeline, each status once."""
+    """Landed posts of a social timeline, each status as it stands first: by file, then line."""
     rows = spark.read.schema("status_id string, author string, text string, created_at string, card_href string").json(path)
-    first = rows.dropDuplicates(["status_id"])
+    at = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))  # ids rise along a file
+    rest = [c for c in rows.columns if c != "status_id"]
+    first = rows.select("status_id", at.alias("at"), F.struct(*rest).alias("row")).groupBy("status_id").agg(F.min_by("row", "at").alias("row")).select("status_id", "row.*")
     url = F.coalesce("card_href", F.concat(F.lit("https://x.test/status/"), F.col("status_id")))
     return _items(first, source_id, url=url, title=F.col("text"), published=F.col("created_at"), body=F.col("text"))
 
