@@ -68,3 +68,46 @@ def current_stage(rows: DataFrame) -> DataFrame:
     turn = F.when(done & (stage == "official"), 0).when(backed, 1).otherwise(2)
     key = F.struct(turn.alias("turn"), (-_micros("extracted_at")).alias("x"), F.col("article_id").alias("a"), F.col("line").alias("l"), stage.alias("stage"))
     return rows.where((stage != "other") & ~denied).groupBy("player_id").agg(F.min(key).alias("k")).select("player_id", "k.stage")
+
+
+def event_cards(rows: DataFrame, cluster: str, row_id: str) -> DataFrame:
+    """A row a cluster: members, representative, ending card and how many other reports each side has.
+
+    rows: cluster, id, tier, stage, published_at, subject and club, the other club from whose
+    side a report speaks. The ending is the latest such report in a named stage.
+    """
+    late = lambda c: F.struct((-_micros("published_at")).alias("p"), F.col(row_id).alias("id"), F.col(c).alias("club"))
+    ends = F.col("club").isNotNull() & (lead_rank() >= 1)
+    per = rows.groupBy(cluster).agg(F.min(F.when(ends, late("club"))).alias("ending"), F.count_if(F.col("club").isNull()).alias("own"), F.count_if(F.col("club").isNotNull()).alias("other"))
+    best = representatives(rows, cluster, row_id)
+    clubs = rows.select(F.col(row_id).alias("_id"), F.col("club").isNotNull().alias("_other"))
+    joined = best.join(per, cluster).join(clubs, F.col(row_id) == F.col("_id"))
+    same = F.col("ending.id").eqNullSafe(F.col(row_id))
+    other_gone = F.col("_other").cast("int") + (F.col("ending").isNotNull() & ~same).cast("int")
+    return joined.select(cluster, "members", row_id, F.col("ending.id").alias("ending_id"), F.col("ending.club").alias("ending_club"), (F.col("own") - (~F.col("_other")).cast("int")).alias("own_side"), (F.col("other") - other_gone).alias("other_side"))
+
+
+def player_entries(rows: DataFrame) -> DataFrame:
+    """A row a player with links beyond mentions: n, last_day, stages, and the collapsed report that the roster backs.
+
+    rows: player_id, status, article_id, line, stage, role, tier, extracted_at.
+    """
+    own = rows.where("role <> 'mention'")
+    backed = (F.col("stage") == "collapsed") & F.col("status").isin("link_dropped", "other_club")
+    key = F.struct(F.coalesce("tier", F.lit(99.0)).alias("t"), (-_micros("extracted_at")).alias("x"), F.col("article_id").alias("article_id"), F.col("line").alias("line"))
+    stages = F.array_join(F.array_sort(F.collect_set("stage")), ",")  # ten at most
+    per = own.groupBy("player_id").agg(F.count("*").alias("n"), F.date_format(F.max("extracted_at"), "yyyy-MM-dd").alias("last_day"), stages.alias("stages"), F.min(F.when(backed, key)).alias("ended"), F.count_if(backed).alias("ended_n"))
+    return per.select("player_id", "n", "last_day", "stages", F.col("ended.article_id").alias("ended_article"), F.when(F.col("ended_n") > 0, F.col("ended_n")).alias("ended_n"))
+
+
+def day_blocks(rows: DataFrame, block: str, row_id: str) -> DataFrame:
+    """Blocks by the day of their latest report: blocks and that day's reports without those marked dup, and whether all are.
+
+    rows: block, id, published_at, day, dup (of the latest report counts).
+    """
+    latest = F.struct((-_micros("published_at")).alias("p"), F.col(row_id).alias("id"), F.col("day").alias("day"), F.col("dup").alias("dup"))
+    days = rows.groupBy(block, "day").agg(F.count("*").alias("n"), F.min(latest).alias("first"))  # combined before blocks meet
+    per = days.groupBy(block).agg(F.min("first").alias("rep"), F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("by_day"))
+    own = per.select(F.col("rep.day").alias("day"), F.col("rep.dup").alias("dup"), F.element_at("by_day", F.col("rep.day")).alias("n"))
+    reports = F.sum(F.when(F.col("dup"), 0).otherwise(F.col("n"))).alias("reports")
+    return own.groupBy("day").agg(F.count_if(~F.col("dup")).alias("blocks"), reports, F.bool_and("dup").alias("all_dup")).withColumn("day", F.date_format("day", "yyyy-MM-dd"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections import Counter
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
@@ -82,3 +85,75 @@ def round_robin(rows: DataFrame, key: str, order: list[Column], limit: int) -> D
     turn = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     top = rows.withColumn("turn", turn).where(F.col("turn") <= limit)
     return top.orderBy("turn", key).limit(limit)
+
+
+@dataclass(frozen=True)
+class Registry:
+    """Tiers by folded name, and the outlets of journalists who have one."""
+
+    journalists: dict[str, float]
+    outlets: dict[str, float]
+    affiliations: dict[str, str]
+
+
+def folded_key(name: str) -> str:
+    return "".join(name.split()).lower()
+
+
+def registry(journalists: list[dict], outlets: list[dict]) -> Registry:
+    """The lookup of a credibility dimension of some hundred entries: name, aliases, tier, outlet.
+
+    An entry without a tier has no rank. An alias that two ranked entries of a kind share is an
+    error; spellings that fold to one key keep the first. Journalists count by name as well.
+    """
+    tiers: list[dict[str, float]] = []
+    for entries in (journalists, outlets):
+        ranked = [(alias, e["tier"]) for e in entries if e.get("tier") is not None for alias in e["aliases"]]
+        twice = [a for a, n in Counter(a.lower() for a, _ in ranked).items() if n > 1]
+        if twice:
+            raise ValueError(f"duplicate alias: {twice[0]}")
+        found: dict[str, float] = {}
+        for alias, tier in ranked:
+            found.setdefault(folded_key(alias), float(tier))
+        tiers.append(found)
+    for e in journalists:
+        if e.get("tier") is not None:
+            tiers[0].setdefault(folded_key(e["name"]), float(e["tier"]))
+    own = {}
+    for e in journalists:
+        for name in (e["name"], *e["aliases"]) if e.get("outlet") else ():
+            own.setdefault(folded_key(name), e["outlet"])
+    return Registry(*tiers, own)
+
+
+def directory(spark: SparkSession, entries: list[dict]) -> DataFrame:
+    """key, name, outlet: every name and alias of a dimension, folded; the first entry wins."""
+    rows: dict[str, tuple] = {}
+    for e in entries:
+        for name in (e["name"], *e["aliases"]):
+            rows.setdefault(folded_key(name), (e["name"], e.get("outlet")))
+    return spark.createDataFrame([(k, *v) for k, v in rows.items()], "key string, name string, outlet string")
+
+
+def _lookup(entries: dict, key: Column) -> Column:
+    return F.create_map(*[F.lit(x) for kv in entries.items() for x in kv])[key] if entries else F.lit(None).cast("double")
+
+
+def resolve_tier(mode: Column, text: Column, title: Column, body: Column, outlet: Column, fallback: Column, tier: Column, source_outlet: Column, journalist: Column, known: Registry) -> Column:
+    """Tier of an item by its source's mode; null items are dropped by the caller.
+
+    x_mentions: the least tier of registered handles, else the outlet's, else the fallback.
+    fmkorea: the least tier of journalists in title or body, else of outlets in the title, else 4.
+    Any other: the source's own, or a registered journalist's if lower and affiliated with the source.
+    The registry is a dimension of literals, so nothing is joined.
+    """
+    handles = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(@\w+)"), F.lit(1)), X.squashed)
+    cited = F.array_min(F.array_compact(F.transform(handles, lambda h: _lookup(known.journalists, h))))
+    mentioned = F.coalesce(cited, _lookup(known.outlets, X.norm_alias(F.coalesce(outlet, F.lit("")))), fallback)
+    filled = lambda c: F.coalesce(c, F.lit(""))
+    named = tier_by_substring(F.concat(filled(title), F.lit("\n"), filled(body)), list(known.journalists.items()))
+    found = F.coalesce(named, tier_by_substring(filled(title), list(known.outlets.items())), F.lit(4.0))
+    key = X.norm_alias(journalist)
+    affiliated = _lookup(known.affiliations, key).cast("string") == source_outlet
+    fixed = F.when(affiliated & _lookup(known.journalists, key).isNotNull(), F.least(tier, _lookup(known.journalists, key))).otherwise(tier)
+    return F.when(mode == "x_mentions", mentioned).when(mode == "fmkorea", found).otherwise(fixed)

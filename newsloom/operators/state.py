@@ -41,30 +41,47 @@ def classify(last: tuple | None, content: str, source: str, level: int) -> tuple
     return "blocked", last
 
 
-def revision_fold(arrivals: DataFrame, partitions: int | None = None) -> DataFrame:
-    """url, seq, decision and revision of every arrival, in order of seq.
+def revision_fold(arrivals: DataFrame, partitions: int | None = None, seen: DataFrame | None = None, last_sources: list[str] = ()) -> DataFrame:
+    """url, seq, decision and revision of every arrival, in order of seq, those of last_sources after all others.
 
-    arrivals: url, seq, content_hash, source_id, body_level. A partition is sorted by (url,
-    seq) and folded as it streams by, so a url's history is never held, however long it is.
+    arrivals: url, seq, content_hash, source_id, body_level. seen: the stored state that the fold
+    goes on from, a row a url: url, content_hash, revision, source_id, body_level. A partition is
+    sorted by (url, turn, seq) and folded as it streams by, so a url's history is never held,
+    however long it is.
     """
-    rows = arrivals.select("url", "seq", "content_hash", "source_id", "body_level")
+    turn = F.when(F.col("source_id").isin(list(last_sources)), 2).otherwise(1)
+    rows = arrivals.select("url", "seq", "content_hash", "source_id", "body_level", turn.alias("turn"), F.lit(None).cast("int").alias("revision"))
+    if seen is not None:
+        none = F.lit(None).cast(arrivals.schema["seq"].dataType)
+        rows = rows.unionByName(seen.select("url", none.alias("seq"), "content_hash", "source_id", "body_level", F.lit(0).alias("turn"), F.col("revision").cast("int").alias("revision")))
     dealt = rows.repartition(partitions, "url") if partitions else rows.repartition("url")
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, state = None, None
         for b in batches:
-            urls, hashes, owners, levels = (b.column(c).to_pylist() for c in ("url", "content_hash", "source_id", "body_level"))
-            decisions, revisions = [], []
-            for u, h, s, n in zip(urls, hashes, owners, levels, strict=True):
+            columns = (b.column(c).to_pylist() for c in ("url", "content_hash", "source_id", "body_level", "turn", "revision"))
+            decisions, revisions, arrived = [], [], []
+            for i, (u, h, s, n, t, r) in enumerate(zip(*columns, strict=True)):
                 if u != at:
                     at, state = u, None
+                if t == 0:
+                    state = (h, r, s, n)
+                    continue
                 decision, state = classify(state, h, s, n)
                 decisions.append(decision)
                 revisions.append(state[1])
-            yield pa.RecordBatch.from_arrays([b.column("url"), b.column("seq"), pa.array(decisions, pa.string()), pa.array(revisions, pa.int32())], names=["url", "seq", "decision", "revision"])
+                arrived.append(i)
+            which = pa.array(arrived, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("url").take(which), b.column("seq").take(which), pa.array(decisions, pa.string()), pa.array(revisions, pa.int32())], names=["url", "seq", "decision", "revision"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return dealt.sortWithinPartitions("url", "seq").mapInArrow(fold, f"url {kinds['url']}, seq {kinds['seq']}, decision string, revision int")
+    return dealt.sortWithinPartitions("url", "turn", "seq").mapInArrow(fold, f"url {kinds['url']}, seq {kinds['seq']}, decision string, revision int")
+
+
+def newest_links(old: DataFrame, new: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """An upsert on a composite key: of old and new rows with one key the newest stays, new before old."""
+    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return first_by(both, keys, [F.desc("_new"), F.desc(at)]).drop("_new")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, hash_col: str, taken: list[str], reset: list[str], kept: list[str]) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, reading, resolving, serving
+from newsloom.plans import marts, monitoring, reading, resolving, serving, views
 
-PLANS = [marts, monitoring, resolving, reading, serving]
+PLANS = [marts, monitoring, resolving, reading, serving, views]
 
 
 def queries() -> dict:
