@@ -4,7 +4,14 @@ Each stage takes (spark, docs, sf_dir), works on all that the stage before kept,
 the columns of documents; the last returns the packed pieces. Between stages the driver
 writes Parquet; run() writes nothing but checkpoints.
 
-Nulls, empty texts, repeated rows and empty tables are handled as each operator says.
+Defined cases: null texts count as empty ones, and null ids are ids of their own. Empty
+tables give empty ones. A column's name may be any but those of documents twice. The stages
+- quality: scores every row by its text alone, so repeated rows stay or go together;
+- exact_dedup: of equal texts the longest, then least id stays; of rows with one id and one
+  text but for blanks, the longest; rows with one id and other texts all stay;
+- near_duplicates: of a class the least id stays, null ids last; of equal rows one;
+- mix: rows with equal id and text are one document, taken as often as drawn, an epoch a row;
+- pack: every row gives its pieces, an empty text one with the end token alone.
 """
 
 from __future__ import annotations
@@ -23,8 +30,8 @@ from newsloom.llm.quality import THRESHOLD, fit_quality, score_quality
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labelled ones of docs, accepts."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = score_quality(docs, model, keep=tuple(docs.columns), score_col="_score")
-    return scored.where(F.col("_score") >= THRESHOLD).select(docs.columns)
+    scored = score_quality(docs.select(F.struct("*").alias("row"), "text"), model, keep=("row",))
+    return scored.where(F.col("score") >= THRESHOLD).select("row.*")
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +39,8 @@ def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     kept = exact_dedup(docs).where("kept")
     kept = keyed(kept, "doc_id", F.col("text_sha256")).select(keys(3)).distinct()
     rows = keyed(docs, "doc_id", normal_digest("text")).join(kept, keys(3), "left_semi")
-    same = Window.partitionBy(keys(3)).orderBy(F.length("text").desc_nulls_last())  # rows with one id and one text
-    return rows.withColumn("_rank", F.row_number().over(same)).where("_rank = 1").select(docs.columns)
+    same = Window.partitionBy(keys(3)).orderBy(F.length("row.text").desc_nulls_last())  # rows with one id and one text
+    return rows.withColumn("rank", F.row_number().over(same)).where("rank = 1").select("row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,12 +23,14 @@ def small_batches(spark: SparkSession) -> None:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the folder that the cluster names in spark.checkpoint.dir.
 
-    A folder of our own is set only where none is named, as in tests.
+    A folder of our own is set only where none is named and all runs in one process, as in tests.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="newsloom-checkpoint-"))
     return df.checkpoint()
 
@@ -42,12 +44,12 @@ def partitions(spark: SparkSession) -> int:
 
 
 def keyed(df: DataFrame, id_col: str, *more: Column) -> DataFrame:
-    """df with non-null key columns _k0 (id as text), _k1 (whether it is null), _k2, ...
+    """row (df's columns in one struct, so that no name clashes) with non-null key columns _k0 (id as text), _k1 (whether it is null), _k2, ...
 
     Joins and groups on these columns share one shuffle, which a null-safe comparison doesn't.
     """
     own = [F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(id_col).isNull(), *more]
-    return df.withColumns({f"_k{i}": c for i, c in enumerate(own)})
+    return df.select(F.struct("*").alias("row"), *[c.alias(k) for c, k in zip(own, keys(len(own)), strict=True)])
 
 
 def keys(n: int) -> list[str]:

@@ -337,7 +337,7 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = near_duplicates(docs, id_col=id_col, text_col=text_col).where("stays")
     kept = keyed(kept, id_col, F.col("text_hash")).select(keys(3)).distinct()
     rows = keyed(docs, id_col, F.xxhash64(text_or_empty(text_col))).dropDuplicates(keys(3))
-    return rows.join(kept, keys(3), "left_semi").select(docs.columns)
+    return rows.join(kept, keys(3), "left_semi").select("row.*")
 
 
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

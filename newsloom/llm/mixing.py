@@ -148,7 +148,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     offsets = checkpointed(word_offsets(docs, id_col, text_col, source_col))
     spans, _ = mix_spans(offsets)
     taken = spans.groupBy("id", "hash", "source_no", "start", "epoch").agg(F.array_sort(F.collect_list(F.struct("first_word", "n_words"))).alias("spans"))  # at most a document's own blocks
-    asked = keyed(taken, "id", F.col("hash")).select(*keys(3), F.col("spans").alias("_spans"))
+    asked = keyed(taken, "id", F.col("hash")).select(*keys(3), F.col("row.spans").alias("spans"))
     texts = keyed(docs, id_col, F.xxhash64(text_or_empty(text_col))).dropDuplicates(keys(3))
     joined = texts.join(asked, keys(3))
 
@@ -158,7 +158,7 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pattern = re.compile(WORD)
         for b in batches:
             out = []
-            for text, spans in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
+            for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
                 places = [m.span() for m in pattern.finditer(text)]
                 runs: list[list[int]] = []
                 for s in spans:
@@ -167,16 +167,14 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     else:
                         runs.append([s["first_word"], s["first_word"] + s["n_words"]])
                 out.append(text if runs == [[0, len(places)]] else "\n".join(text[places[a][0] : places[z - 1][1]] for a, z in runs))
-            keep = [n for n in b.schema.names if n not in ("_text", "_spans")]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(out, pa.string())], names=[*keep, "_mixed"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.string())], names=["row", "mixed"])
 
-    rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    schema = T.StructType([docs.schema[id_col], *(docs.schema[c] for c in rest), T.StructField("_mixed", T.StringType())])
+    rest = T.StructType([f for f in docs.schema if f.name != text_col])
     small_batches(docs.sparkSession)
-    mixed = joined.select(id_col, *rest, text_or_empty(text_col).alias("_text"), "_spans").mapInArrow(cut, schema)
-    if "n_chars" in rest:
-        mixed = mixed.withColumn("n_chars", F.length("_mixed").cast(docs.schema["n_chars"].dataType))
-    return mixed.withColumnRenamed("_mixed", text_col).select(docs.columns)
+    asked_rows = joined.select(F.struct(*[F.col("row")[f.name].alias(f.name) for f in rest]).alias("row"), F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")).alias("text"), "spans")
+    mixed = asked_rows.mapInArrow(cut, T.StructType([T.StructField("row", rest), T.StructField("mixed", T.StringType())]))
+    own = {text_col: F.col("mixed"), "n_chars": F.length("mixed")}
+    return mixed.select(*[own.get(f.name, F.col("row")[f.name]).cast(f.dataType).alias(f.name) for f in docs.schema])
 
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

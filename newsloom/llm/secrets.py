@@ -1,11 +1,12 @@
 """Secret scans by assignment-aware lexing.
 
 Lines with an assignment are lexed into (name, expression) pairs in source (`a = "x" + b`,
-`a := x`, `'a' => 'x'`, `a: str = "x"`, `a["b"] = "x"`) and configuration syntax (`a: x`, `"a": "x"`). An expression is a
-chain of literals and names; names that stand for literals assigned earlier in the same
-document are replaced by them (constants propagate). A literal's score is the weight of the
-most sensitive word in the name of any target that it reaches, times how secret-like its
-value looks; spans of kind `literal` with a score of at least `threshold` are reported at the
+`a := x`, `'a' => 'x'`, `a: str = "x"`, `a["b"] = "x"`) and configuration syntax (`a: x`,
+`"a": "x"`, `a: |` with a block of lines). An expression is a chain of literals and names,
+joined by + or side by side, and goes on over lines in brackets or after a backslash; names
+that stand for literals assigned earlier in the same document are replaced by them (constants
+propagate). A literal's score is the weight of the most sensitive word in the name of any
+target that it reaches, times how secret-like it or all that it is joined to looks; spans of kind `literal` with a score of at least `threshold` are reported at the
 place where the literal is written. Base patterns are reported beside them.
 
 Scanning is narrow: one Arrow pass over whole texts, no shuffle. Places are code points.
@@ -41,8 +42,12 @@ _TARGET = re.compile(
     r"""(?<![\w.$-])(?:(?P<name>[A-Za-z_$][\w.$-]*)|"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)')(?:[ \t]*\])?[ \t]*"""
     rf"""(?:\??:[ \t]*(?P<type>{_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*(?==(?![=>])))?(?::=|=>|[=:])(?![=>])[ \t]*"""
 )
-_TERM = re.compile(r"""[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)|([^\s,;#"'`(){}\[\]+]+)""")
-_JOIN = re.compile(r"[ \t]*\+[ \t]*")
+_QUOTED = re.compile(r"""[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
+_BARE = re.compile(r"""[^\s,;#"'`(){}\[\]+][^\s,;"'`(){}\[\]]*""")
+_BLANK = re.compile(r"(?:[ \t]|\\\r?\n)*")
+_INSIDE = re.compile(r"(?:\s|\\\r?\n|#[^\n]*|//[^\n]*)*")  # in brackets, lines go on
+_BLOCK = re.compile(r"[|>][+-]?\d?[+-]?[ \t]*(?:#[^\n]*)?\r?\n")
+_LINE = re.compile(r"([ \t]*)([^\r\n]*)(\r?\n|$)")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -61,7 +66,74 @@ def value_weight(value: str) -> float:
     return min(1.0, bits / 48) if re.search(r"\d", value) else min(1.0, bits / 96)
 
 
-def assignments(text: str) -> Iterator[tuple[float, list[tuple[int, int, str]]]]:
+def block_lines(text: str, at: int, indent: int) -> list[tuple[int, int, str]]:
+    """Lines of a block scalar from `at` on: those indented deeper than its name, without their blanks."""
+    out = []
+    while at < len(text) and (m := _LINE.match(text, at)):
+        value = m[2].rstrip()
+        if value and len(m[1]) <= indent:
+            break
+        if value:
+            out.append((m.start(2), m.start(2) + len(value), value))
+        at = m.end()
+    return out
+
+
+def expression(text: str, at: int, known: dict[str, int]) -> tuple[list[tuple[int, int, str, str]], set[int], int]:
+    """(literals, references, end) of the value that starts at `at`.
+
+    A value is a chain of literals and names, joined by + or, if quoted, side by side; inside
+    round or square brackets it goes on over lines, comments and commas. A literal is (first
+    place, place after, itself, all that it is joined to).
+    """
+    literals: list[tuple[int, int, str, str]] = []
+    refs: set[int] = set()
+    chain: list[tuple[int, int, str]] = []
+    depth, open_, beside = 0, True, False  # a term may follow; the last one was quoted
+
+    def close() -> None:
+        whole = "".join(v for _, _, v in chain)
+        literals.extend((a, z, v, whole) for a, z, v in chain)
+        chain.clear()
+
+    while True:
+        here = (_INSIDE if depth else _BLANK).match(text, at).end()
+        sign = text[here : here + 1]
+        if open_ and sign in ("(", "["):
+            depth, at = depth + 1, here + 1
+        elif depth and sign in (")", "]"):
+            depth, at, open_, beside = depth - 1, here + 1, False, False
+            if not depth:
+                close()
+        elif sign == "+" and not open_:
+            at, open_ = here + 1, True
+        elif depth and sign == "," and not open_:
+            close()
+            at, open_ = here + 1, True
+        elif (open_ or beside) and (m := _QUOTED.match(text, here)):
+            k = next(k for k in (1, 2, 3) if m[k] is not None)
+            chain.append((*m.span(k), m[k]))
+            at, open_, beside = m.end(), False, True
+        elif open_ and (m := _BARE.match(text, here)):
+            word = m[0].rstrip("+")
+            parts = word.split("+")
+            if any(p in known for p in parts):
+                place = here
+                for p in parts:
+                    if p in known:
+                        refs.add(known[p])
+                    elif p:
+                        chain.append((place, place + len(p), p))
+                    place += len(p) + 1
+            else:
+                chain.append((here, here + len(word), word))
+            at, open_, beside = here + len(word), False, False
+        else:
+            close()
+            return literals, refs, at
+
+
+def assignments(text: str) -> Iterator[tuple[float, list[tuple[int, int, str, str]]]]:
     """(weight, literals with their places) of each assignment, last first.
 
     The weight is that of the most sensitive target that the assignment's value reaches. An
@@ -69,25 +141,21 @@ def assignments(text: str) -> Iterator[tuple[float, list[tuple[int, int, str]]]]
     them, so each reference is followed once and no literal is copied.
     """
     known: dict[str, int] = {}
-    found: list[tuple[list[tuple[int, int, str]], set[int]]] = []
+    found: list[tuple[list[tuple[int, int, str, str]], set[int]]] = []
     weights: list[float] = []
     at = 0
     while m := _TARGET.search(text, at):
         name = m["name"] or m["dq"] or m["sq"]
         if m["type"]:  # a type, or the value of `name: value = ...`
-            found.append(([(*m.span("type"), m["type"])], set()))
+            found.append(([(*m.span("type"), m["type"], m["type"])], set()))
             weights.append(name_weight(name))
-        at, literals, refs = m.end(), [], set()
-        while t := _TERM.match(text, at):
-            quoted = next((k for k in (1, 2, 3) if t[k] is not None), 0)
-            at = t.end()
-            if not quoted and t[4] in known:
-                refs.add(known[t[4]])
-            else:
-                literals.append((*t.span(quoted or 4), t[quoted or 4]))
-            if not (j := _JOIN.match(text, at)):
-                break
-            at = j.end()
+        at = m.end()
+        if block := _BLOCK.match(text, at):
+            line = text.rfind("\n", 0, m.start()) + 1
+            indent = len(text[line : m.start()]) - len(text[line : m.start()].lstrip(" \t-"))
+            literals, refs, at = [(*x, x[2]) for x in block_lines(text, block.end(), indent)], set(), block.end()
+        else:
+            literals, refs, at = expression(text, at, known)
         if literals or refs:
             known[name] = len(found)
             found.append((literals, refs))
@@ -110,8 +178,8 @@ def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int, f
     out |= {(m.start(), 2, m.end()): 1.0 for m in HEX.finditer(text)}
     if ("=" in text or ":" in text) and any(w in low for w in SENSITIVE):
         for weight, literals in assignments(text):
-            for start, end, value in literals if weight else ():
-                score = weight * value_weight(value)
+            for start, end, value, whole in literals if weight else ():
+                score = weight * max(value_weight(value), value_weight(whole) if len(whole) > len(value) else 0.0)
                 if score >= threshold:
                     place = (start, 3, end)
                     out[place] = max(score, out.get(place, 0.0))

@@ -22,7 +22,7 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ODD, SCHEMA)
-    for clash in ("id", "norm", "salt", "length", "piece", "sha", "key", "size", "text_sha256", "hash", "stays"):
+    for clash in ("id", "norm", "salt", "length", "piece", "sha", "key", "size", "text_sha256", "hash", "stays", "_k0", "_k1", "_k2", "_score", "_mixed", "_text", "_spans", "_rank", "row", "rank", "spans", "mixed", "score"):
         df = df.withColumn(clash, F.lit("clash"))
     return df
 

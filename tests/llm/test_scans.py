@@ -129,3 +129,46 @@ def test_licenses_wrapped(spark):
         assert max(m.containment for m in got[k] if m.label == label) == 1.0, (label, wrapped[k][2], got[k])
     assert got[99] == []
     assert [(m.block, m.label) for m in got[100]] == [(0, "mit-release"), (24, "mit-release")]
+
+
+def planted_source(rng):
+    """Lines of source and configuration, and the literals that a sensitive name reaches."""
+    digits, letters = "0123456789", "abcdefghkmnpqrstvwxyzABCDEFGH"
+    fresh = lambda n=18: "".join(str(rng.choice(list(digits if i % 3 == 0 else letters))) for i in range(n))
+    lines, want = [], []
+    for k in range(40):
+        target = str(rng.choice(["client_secret", "dbPassword", "API_TOKEN", "auth-token", "private_key_secret"]))
+        a, b = fresh(), fresh()
+        form = int(rng.integers(0, 12))
+        many = {
+            0: (f'{target} = "{a}"', [a]),
+            1: (f"{target} = '{a}' + '{b}'", [a, b]),
+            2: (f"{target} = (\n    '{a}'  # first\n    '{b}'\n)", [a, b]),
+            3: (f"{target}: |\n  {a}\n  {b}\nplain: x", [a, b]),
+            4: (f"{target} = {a}+{b}/c", [f"{a}+{b}/c"]),
+            5: (f'{target} = \\\n  "{a}"', [a]),
+            6: (f'x{k} = "{a}"\n{target} = x{k}', [a]),
+            7: (f'x{k} = "{a}"\ny{k} = x{k}+"{b}"\n{target} = y{k}', [a, b]),
+            8: (f'{target} = ["{a}", "{b}"]', [a, b]),
+            9: (f'"{target}" => "{a}" "{b}"', [a, b]),
+            10: (f'colour{k} = "{a}"\nsize{k}: {b}', []),
+            11: (f'{target} = get("{a}")', []),
+        }
+        line, found = many[form]
+        lines += [line, str(rng.choice(["", "just words here, and more (of them)", "n = 3 + 4", "# a comment: nothing"]))]
+        want += found
+    return "\n".join(lines), sorted(want)
+
+
+def test_literals_against_planted_sources():
+    import numpy as np
+
+    for seed in range(30):
+        text, want = planted_source(np.random.default_rng(seed))
+        assert sorted(text[s:e] for s, k, e, _ in S.scan(text) if k == 3) == want, seed
+
+
+def test_short_pieces_of_one_secret():
+    literal = lambda t: [t[s:e] for s, k, e, _ in S.scan(t) if k == 3]
+    assert literal('secret = "q8Zr4T" + "x0Lm2V" + "n6Bw1K"') == ["q8Zr4T", "x0Lm2V", "n6Bw1K"]
+    assert literal("secret = ((((") == literal("secret = ()") == literal("secret: |\n") == []
