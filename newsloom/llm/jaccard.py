@@ -8,17 +8,17 @@
 3. The members of a band meet in units of about BLOCK, or in pairs of such blocks. Pairs are
    compared inside the task, MinHash values STEP at a time: with m of n equal, the posterior
    under a uniform prior is Beta(m + 1, n - m + 1), and a pair is dropped as soon as its
-   chance of reaching the threshold falls below TOLERANCE. A unit emits paths over what the
-   pairs that stay join, never the pairs; a unit of two blocks only what their own units
-   leave apart, so links grow with members.
-4. The paths' connected components hold every candidate pair that stayed. A component's
-   sets meet once more, in blocks, and all pairs in it are verified exactly: a matrix product
-   counts common shingles. Out come each set's number of links and such paths.
-5. Those paths give the classes: connected components by least neighbours and pointer
-   jumping, cut by checkpoint() each turn; only linked sets take part.
-
-There is no cap on partners, and rows grow with members, not with pairs: a group of g near
-copies sends each of them to g / BLOCK units.
+   chance of reaching the threshold falls below TOLERANCE. A pair belongs to the unit of the
+   first band in which it agrees, so it is taken up once. A unit emits the members that have
+   a pair left, never the pairs.
+4. These members' shingles meet in the same units, and just the pairs that stayed are verified
+   exactly: one by one, or by a matrix product of common shingles where a unit has many. Out
+   come each set's number of links, and paths over what the links join.
+5. The paths give the classes: connected components by least neighbours and pointer jumping,
+   cut by checkpoint() each turn; only linked sets take part.
+
+There is no cap on partners, and rows grow with members, not with pairs: a set goes to a unit
+with each block of a band's members, and its shingles only to those in which it has a pair.
 
 Words are lower-case runs of non-white-space. A text of one to four words is one shingle
 of its own. Defined cases: null and empty texts have no shingle; they are copies of each
@@ -77,7 +77,7 @@ def signature(grams: np.ndarray) -> np.ndarray:
 def least_matches(n: int, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> int:
     """Fewest equal values of n with P(similarity >= threshold) >= tolerance.
 
-    Values that agree by chance, one in 256, only add to the matches.
+    Values that agree by chance, one in 65536, only add to the matches.
     """
     below = 0.0  # P(Beta(m + 1, n - m + 1) >= t) = P(Binomial(n + 1, t) <= m)
     for m in range(n + 1):
@@ -101,7 +101,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 digest.append(xxhash.xxh3_128_digest(raw) + xxhash.xxh64_digest(raw, seed=9))
                 size.append(len(grams))
                 mark = signature(grams)
-                marks.append(mark.astype(np.uint8).tobytes())
+                marks.append(mark.tobytes())
                 keys = mark.reshape(BANDS, ROWS).view(np.int64)[:, 0] if len(grams) else []
                 bands.append([(int(v) * 1_000_003 + k) % 2**63 for k, v in enumerate(keys)])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(digest, pa.binary()), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "hash", "digest", "n", "signature", "bands"])
@@ -125,19 +125,13 @@ def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def links_beyond(a: np.ndarray, b: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that join what (a, b) joins, where the inner pairs are joined anyway.
-
-    A path in row order over the inner trees: no row gets more than two links, and units
-    with the same rows give the same links.
-    """
+def path(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that join what (a, b) joins: each component's rows in a line, so that no row gets more than two links."""
     rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b = at[: len(a)], at[len(a) :]
-    before, after = joined(len(rows), a[inner], b[inner]), joined(len(rows), a, b)
-    heads = np.flatnonzero(before == np.arange(len(rows)))
-    heads = heads[np.argsort(after[heads], kind="stable")]
-    same = after[heads[1:]] == after[heads[:-1]]
-    return rows[heads[:-1][same]], rows[heads[1:][same]]
+    root = joined(len(rows), at[: len(a)], at[len(a) :])
+    order = np.argsort(root, kind="stable")
+    same = root[order[1:]] == root[order[:-1]]
+    return rows[order[:-1][same]], rows[order[1:][same]]
 
 
 def in_units(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096) -> Iterator[pa.Table]:
@@ -163,66 +157,81 @@ def in_units(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 40
         yield pa.Table.from_batches(held)
 
 
-def unit_pairs(table: pa.Table, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(a, b, inner): row numbers of the pairs to compare, a unit's or many small units' at a time.
+def unit_pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b): row numbers of the pairs to compare, a unit's or many small units' at a time.
 
-    A unit (key, p, p) has the pairs of block p. A unit (key, p, q) has those between p and q,
-    and, marked as inner, those that the blocks' own units have too.
+    A unit (band, p, p) has the pairs of block p, a unit (band, p, q) those between p and q.
     """
     p, q, own = (table.column(c).to_numpy() for c in ("p", "q", "own"))
     new = np.zeros(table.num_rows, bool)
     new[0] = True
-    for c in (table.column(k).to_numpy() for k in keys):
+    for c in (table.column(k).to_numpy() for k in UNIT):
         new[1:] |= c[1:] != c[:-1]
     starts = np.append(np.flatnonzero(new), table.num_rows)
     sizes = np.diff(starts)
     two = starts[:-1][sizes == 2]
+    two = two[(p[two] == q[two]) | (own[two] != own[two + 1])]
     if len(two):
-        yield two, two + 1, (p[two] != q[two]) & (own[two] == own[two + 1])
+        yield two, two + 1
     for s, n in zip(starts[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
         a, b = np.triu_indices(n, 1)
         a, b = a + s, b + s
-        yield a, b, (p[a] != q[a]) & (own[a] == own[b])
+        across = (p[s] == q[s]) | (own[a] != own[b])
+        for k in range(0, len(a), 1 << 15):
+            part = slice(k, k + (1 << 15))
+            yield a[part][across[part]] if p[s] != q[s] else a[part], b[part][across[part]] if p[s] != q[s] else b[part]
 
 
-def dealt_in_units(rows: DataFrame, key: str, size: str) -> DataFrame:
-    """rows with p, q and own: each row goes to the units of its block with every block of its group.
-
-    Block counts are powers of two, so that sets which meet in several groups mostly share blocks.
-    """
-    blocks = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.ceil(F.log2(F.col(size) / BLOCK)))).cast("int")
+def staying_pairs(table: pa.Table, threshold: float, tolerance: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of the table's units that are the unit's own and that the incremental comparison keeps."""
+    need = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
+    marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
+    bands = marks.view(np.int64)  # ROWS values of 16 bits each
+    n, turn = table.column("n").to_numpy(), table.column("turn").to_numpy()
+    for a, b in unit_pairs(table):
+        sized = (n[a] >= threshold * n[b]) & (n[b] >= threshold * n[a])
+        a, b = a[sized], b[sized]
+        first = (bands[a] == bands[b]).argmax(1) == turn[a]
+        a, b = a[first], b[first]
+        equal = np.zeros(len(a), np.int64)
+        for k, least in need:
+            equal += (marks[a, k - STEP : k] == marks[b, k - STEP : k]).sum(1)
+            live = equal >= least
+            a, b, equal = a[live], b[live], equal[live]
+        yield a, b
+
+
+#: What names a unit.
+UNIT = ["band", "p", "q"]
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """rows with p, q and own: each row goes to the units of its block with every block of its band."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = rows.withColumn("own", F.pmod(F.xxhash64("digest"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
-    return dealt.repartition(partitions(rows.sparkSession), key, "p", "q").sortWithinPartitions(key, "p", "q", "digest")
+    return dealt.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
 
 
-def candidate_paths(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Links (a, b) whose components hold all pairs that the incremental comparison keeps."""
-    need = [(n, least_matches(n, threshold, tolerance)) for n in range(STEP, HASHES + 1, STEP)]
-    banded = sets.where("n > 0").select("digest", F.explode("bands").alias("band"))
+def together(rows: DataFrame) -> DataFrame:
+    return rows.repartition(partitions(rows.sparkSession), *UNIT).sortWithinPartitions(*UNIT, "digest")
+
+
+def candidate_members(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """band, turn (its number), p, q, own, digest: the members of each unit that have a pair left."""
+    banded = sets.where("n > 0").select("digest", F.posexplode("bands").alias("turn", "band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
     shared = banded.join(sizes, "band").join(sets.select("digest", "n", "signature"), "digest")
+    names = ["band", "turn", "p", "q", "own", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in in_units(batches, ["band", "p", "q"]):
-            marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-            n = table.column("n").to_numpy()
-            links: list[tuple[np.ndarray, np.ndarray]] = []
-            for a, b, inner in unit_pairs(table, ["band", "p", "q"]):
-                sized = (n[a] >= threshold * n[b]) & (n[b] >= threshold * n[a])
-                a, b, inner = a[sized], b[sized], inner[sized]
-                equal = np.zeros(len(a), np.int64)
-                for k, least in need:
-                    equal += (marks[a, k - STEP : k] == marks[b, k - STEP : k]).sum(1)
-                    live = equal >= least
-                    a, b, inner, equal = a[live], b[live], inner[live], equal[live]
-                links.append(links_beyond(a, b, inner))
-            digest = table.column("digest").combine_chunks()
-            left, right = (pa.array(np.concatenate([e[i] for e in links] or [np.empty(0, np.int64)]), pa.int64()) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([digest.take(left).cast(pa.binary()), digest.take(right).cast(pa.binary())], names=["a", "b"])
+        for table in in_units(batches, UNIT):
+            has = np.zeros(table.num_rows, bool)
+            for a, b in staying_pairs(table, threshold, tolerance):
+                has[a] = has[b] = True
+            yield from table.select(names).filter(pa.array(has)).to_batches()
 
-    units = dealt_in_units(shared, "band", "members").select("band", "p", "q", "own", "digest", "n", "signature")
-    return checkpointed(units.mapInArrow(run, "a binary, b binary").distinct())
+    units = together(in_blocks(shared).select(*names, "n", "signature"))
+    return checkpointed(units.mapInArrow(run, units.select(*names).schema))
 
 
 def common_counts(grams: list[np.ndarray]) -> np.ndarray:
@@ -240,6 +249,14 @@ def common_counts(grams: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def exact_common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of each pair have in common."""
+    rows = np.unique(np.concatenate([a, b]))
+    if len(a) <= 4 * len(rows):
+        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
+    return common_counts([sets[x] for x in rows])[np.searchsorted(rows, a), np.searchsorted(rows, b)]
+
+
 def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """(degrees, paths) of the exact links between distinct sets.
 
@@ -248,34 +265,31 @@ def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD
     sets: digest, rep (none, id, hash of one document that has it), copies, n, signature, bands.
     texts: id, hash, text.
     """
-    groups = components(candidate_paths(sets, threshold, tolerance))
-    members = groups.groupBy("root").agg(F.count("*").alias("members"))
-    reps = sets.select("digest", "rep", "copies").join(groups, "digest").join(members, "root").select("digest", "root", "members", "copies", "rep.id", "rep.hash").alias("r")
+    members = candidate_members(sets, threshold, tolerance)
+    reps = members.select("digest").distinct().join(sets.select("digest", "rep"), "digest").select("digest", "rep.id", "rep.hash").alias("r")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = pa.array([shingles(t).tobytes() for t in b.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("digest", "root", "members", "copies")), found], names=["digest", "root", "members", "copies", "grams"])
+            yield pa.RecordBatch.from_arrays([b.column("digest"), found], names=["digest", "grams"])
 
-    held = texts.alias("t").join(reps, F.col("t.id").eqNullSafe(F.col("r.id")) & (F.col("t.hash") == F.col("r.hash"))).dropDuplicates(["digest"]).select("digest", F.xxhash64("root").alias("root"), "members", "copies", "text")
-    full = held.mapInArrow(grams, "digest binary, root long, members long, copies long, grams binary")
+    held = texts.alias("t").join(reps, F.col("t.id").eqNullSafe(F.col("r.id")) & (F.col("t.hash") == F.col("r.hash"))).dropDuplicates(["digest"]).select("digest", "text")
+    full = held.mapInArrow(grams, "digest binary, grams binary")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in in_units(batches, ["root", "p", "q"], 512):
+        for table in in_units(batches, UNIT, 512):
             sets_ = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
             copies = table.column("copies").to_numpy()
             size = np.array([len(g) for g in sets_])
             far, texts_ = np.zeros(len(sets_), np.int64), np.zeros(len(sets_), np.int64)
             links: list[tuple[np.ndarray, np.ndarray]] = []
-            for a, b, inner in unit_pairs(table, ["root", "p", "q"]):
-                if (np.diff(a) >= 2).all():  # units of two
-                    common = np.array([len(np.intersect1d(sets_[x], sets_[y], assume_unique=True)) for x, y in zip(a, b, strict=True)])
-                else:
-                    common = common_counts(sets_[a[0] : b[-1] + 1])[a - a[0], b - a[0]]
+            for a, b in staying_pairs(table, threshold, tolerance):
+                if not len(a):
+                    continue
+                common = exact_common(sets_, a, b)
                 live = common >= threshold * (size[a] + size[b] - common) - 1e-9
-                a, b, inner = a[live], b[live], inner[live]
-                links.append(links_beyond(a, b, inner))
-                a, b = a[~inner], b[~inner]
+                a, b = a[live], b[live]
+                links.append(path(a, b))
                 np.add.at(far, a, copies[b])
                 np.add.at(far, b, copies[a])
                 np.add.at(texts_, a, 1)
@@ -289,10 +303,10 @@ def similar_sets(sets: DataFrame, texts: DataFrame, threshold: float = THRESHOLD
             pad = np.zeros(none, np.int64)
             yield pa.RecordBatch.from_arrays([a, b, pa.array(np.append(far[texts_ > 0], pad)), pa.array(np.append(texts_[texts_ > 0], pad))], names=["a", "b", "far", "n"])
 
-    units = dealt_in_units(full, "root", "members").select("root", "p", "q", "own", "digest", "copies", "grams")
-    found = checkpointed(units.mapInArrow(verify, "a binary, b binary, far long, n long"))
+    own = members.join(sets.select("digest", "copies", "n", "signature"), "digest").join(full, "digest")
+    found = checkpointed(together(own).mapInArrow(verify, "a binary, b binary, far long, n long"))
     degrees = found.where("b IS NULL").groupBy("a").agg(F.sum("far").alias("far"), F.sum("n").alias("n_text_links"))
-    return degrees, found.where("b IS NOT NULL").select("a", "b")
+    return degrees, found.where("b IS NOT NULL").select("a", "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
