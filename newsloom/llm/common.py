@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows in one Arrow batch. Texts can be long, so batches stay small.
 BATCH_ROWS = 512
@@ -54,3 +55,19 @@ def keyed(df: DataFrame, id_col: str, *more: Column) -> DataFrame:
 
 def keys(n: int) -> list[str]:
     return [f"_k{i}" for i in range(n)]
+
+
+def order_key(docs: DataFrame, col: str) -> Column:
+    """A whole number that never falls where the column rises: numbers and times as such, texts by their first 7 bytes, nulls largest."""
+    kind, c = docs.schema[col].dataType, F.col(col)
+    if isinstance(kind, T.IntegralType | T.BooleanType):
+        key = c.cast("long")
+    elif isinstance(kind, T.FractionalType):
+        key = F.floor(c).cast("long")
+    elif isinstance(kind, T.DateType):
+        key = F.unix_date(c).cast("long")
+    elif isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        key = F.unix_micros(c.cast("timestamp"))
+    else:
+        key = F.conv(F.rpad(F.hex(F.substring(F.encode(c.cast("string"), "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    return F.coalesce(key, F.lit(2**63 - 1))

@@ -3,14 +3,15 @@
 The canonical form is NFKC, case folded, NFKC again, with runs of white space as one blank
 and none at the ends. The fingerprint is the 128-bit xxhash of its UTF-8 bytes. Classes
 group the digest together with the (compressed) canonical bytes, so two texts share a class
-only if their bytes are equal, whatever the hash does; copies combine before the shuffle,
-and bytes move only for digests that stand more than once. Those digests and their classes
-are broadcast while they are at most SMALL rows, and joined by a shuffle beyond.
+only if their bytes are equal, whatever the hash does; bytes move only for texts whose digest
+stands more than once, and copies combine before the shuffle. Such rows and their classes are
+broadcast while they are at most SMALL, and joined by a shuffle beyond.
 The likeness of two fingerprints is exact: 1.0 for equal canonical bytes, else 0.0.
 
-next_in_order() gives each row the text that follows in descending id order without one
-global sort: quantile splitters deal ids to buckets, each bucket's window leads by one,
-and the first row of each bucket (one row a bucket) is also lent to the bucket before.
+Each text meets the one that follows in descending id order without one global sort: quantile
+splitters deal ids to buckets by binary search, the first row of each bucket (one row a
+bucket) is also lent to the bucket before, and a pass over the sorted buckets, in which each
+text is made canonical once, edits every text with the next one.
 
 Defined cases: null text is empty and has a fingerprint like any other. Equal ids follow
 in the order of their text's hash; null ids come last. A table of one row is its own
@@ -19,21 +20,23 @@ neighbour. Empty tables give no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.common import checkpointed, documents, partitions, small_batches, text_or_empty
+from newsloom.llm.common import checkpointed, documents, order_key, partitions, small_batches, text_or_empty
 
 
 #: Rows of some 100 bytes that may be broadcast.
-SMALL = 500_000
+SMALL = 100_000
 
 
 def canonical(text: str) -> str:
@@ -47,78 +50,112 @@ def digest(form: str) -> str:
     return xxhash.xxh3_128_hexdigest(form.encode("utf-8", "surrogatepass"))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", packed: bool = True) -> DataFrame:
-    """id, text (null as empty), fingerprint, packed (compressed canonical bytes, if wanted)."""
-    small_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("text", T.StringType()), T.StructField("fingerprint", T.StringType()), T.StructField("packed", T.BinaryType())])
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).alias("id"), order_key(docs, id_col).alias("key"), F.xxhash64(text).alias("hash"), text.alias("text"))
+
+
+def _dealt(rows: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """rows with bucket: how many of the cuts lie below the key; -1 for null ids."""
+    schema = T.StructType([*rows.schema, T.StructField("bucket", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            forms = [canonical(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([digest(f) for f in forms], pa.string()), pa.array([pack(f.encode()) if packed else None for f in forms], pa.binary())], names=schema.names)
-
-    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
-
-
-def fingerprint_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
-    """(fingerprint, packed_sha, class_id (smallest id), class_size: a row a class of two or more; whether they are few)."""
-    light = fingerprints(docs, id_col, text_col, packed=False).select("fingerprint")
-    many = checkpointed(light.groupBy("fingerprint").count().where("count > 1").select("fingerprint"))
-    few = many.count() <= SMALL
-    prints = fingerprints(docs, id_col, text_col).select("id", "fingerprint", "packed")
-    prints = prints.join(F.broadcast(many) if few else many, "fingerprint", "left_semi")
-    grouped = prints.groupBy("fingerprint", "packed").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return grouped.select("fingerprint", F.sha2("packed", 256).alias("packed_sha"), "class_id", "class_size"), few
-
-
-def next_in_order(rows: DataFrame, carry: list[str]) -> DataFrame:
-    """rows (id, text, ...) plus next_<c> for each c of carry, by descending id."""
-    n = 4 * partitions(rows.sparkSession)
-    cuts = sorted(set(rows.select(F.col("id").cast("double").alias("id")).approxQuantile("id", [i / n for i in range(1, n)], 0.2 / n)))
-    bucket = F.when(F.col("id").isNull(), -1).otherwise(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: F.col("id") > c)) if cuts else F.lit(0))
-    place = F.struct((-F.col("id")).alias("neg"), F.xxhash64("text").alias("h"))
-    keyed = rows.withColumn("bucket", bucket)
-    heads = keyed.groupBy("bucket").agg(F.min(F.struct(F.col("id").isNull().alias("none"), place["neg"].alias("neg"), place["h"].alias("h"))).alias("m")).collect()  # a row a bucket
-    heads = sorted(((r["bucket"], r["m"]["neg"], r["m"]["h"]) for r in heads), reverse=True)
-    kind = rows.schema["id"].dataType.simpleString()
-    lent = [(None if neg is None else -neg, h, heads[k - 1][0]) for k, (_, neg, h) in enumerate(heads)]  # the first goes to the last
-    lent_df = F.broadcast(rows.sparkSession.createDataFrame(lent, f"lent_id {kind}, lent_h long, lent_to int"))
-    keyed = keyed.withColumn("h", F.xxhash64("text")).join(lent_df, F.col("id").eqNullSafe(F.col("lent_id")) & (F.col("h") == F.col("lent_h")), "left")
-    own = F.struct(F.lit(False).alias("lent"), F.col("bucket").alias("bucket"))
-    also = F.struct(F.lit(True).alias("lent"), F.col("lent_to").alias("bucket"))
-    dealt = keyed.select("id", *[c for c in rows.columns if c != "id"], "h", F.explode(F.when(F.col("lent_to").isNull(), F.array(own)).otherwise(F.array(own, also))).alias("at"))
-    dealt = dealt.select("id", *[c for c in rows.columns if c != "id"], "h", "at.lent", "at.bucket")
-    order = Window.partitionBy("bucket").orderBy("lent", F.col("id").desc_nulls_last(), "h")
-    led = dealt.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in carry])
-    return led.where(~F.col("lent")).drop("lent", "bucket", "h")
+            bucket = np.searchsorted(cuts, b.column("key").to_numpy().astype(float))
+            bucket[b.column("id").is_null().to_numpy(zero_copy_only=False)] = -1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bucket)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """rows (id, key, hash, text) with bucket and lent, sorted in each partition: a bucket's rows by descending id, then the row that follows them."""
+    spark = rows.sparkSession
+    n = 4 * partitions(spark)
+    cuts = rows.where("id IS NOT NULL").select(F.col("key").cast("double").alias("key")).approxQuantile("key", [i / n for i in range(1, n)], 0.2 / n)
+    cuts = np.unique(np.array(cuts, float))  # some for each partition
+    light = _dealt(rows.select("id", "key", "hash"), cuts)
+    head = F.max(F.struct(F.col("id").isNotNull().alias("has"), "id", F.bitwise_not("hash").alias("back")))
+    heads = sorted(light.groupBy("bucket").agg(head.alias("m")).collect(), key=lambda r: -r["bucket"])  # a row a bucket
+    lent = [(r["m"]["id"], ~r["m"]["back"], heads[k - 1]["bucket"]) for k, r in enumerate(heads)]  # the first goes to the last
+    schema = T.StructType([T.StructField("lent_id", rows.schema["id"].dataType), T.StructField("lent_hash", T.LongType()), T.StructField("lent_to", T.LongType())])
+    marked = _dealt(rows, cuts).join(F.broadcast(spark.createDataFrame(lent, schema)), F.col("id").eqNullSafe(F.col("lent_id")) & (F.col("hash") == F.col("lent_hash")), "left")
+    own = F.struct(F.lit(False).alias("lent"), F.col("bucket").alias("to"))
+    also = F.struct(F.lit(True).alias("lent"), F.col("lent_to").alias("to"))
+    places = F.explode(F.when(F.col("lent_to").isNull(), F.array(own)).otherwise(F.array(own, also)))
+    dealt = marked.select("id", "hash", "text", places.alias("at")).select("id", "hash", "text", F.col("at.to").alias("bucket"), "at.lent")
+    return dealt.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "lent", F.desc_nulls_last("id"), "hash")
+
+
+def form_sha(form: str) -> str:
+    return hashlib.sha256(form.encode()).hexdigest()
+
+
+def with_edits(ordered: DataFrame) -> DataFrame:
+    """id, hash, n_chars, edited_sha256, fingerprint, form_sha, edited_fingerprint, near_edited, near_next of each row of in_order()."""
+    s, d = T.StringType(), T.DoubleType()
+    names = ["n_chars", "edited_sha256", "fingerprint", "form_sha", "edited_fingerprint", "near_edited", "near_next"]
+    schema = T.StructType([ordered.schema["id"], ordered.schema["hash"], *[T.StructField(n, t) for n, t in zip(names, (T.LongType(), s, s, s, s, d, d), strict=True)]])
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
+    def edited(text: str, form: str, after: str, next_form: str) -> tuple:
+        half = len(text) // 2
+        new = text[: len(text) - half] + after[:half]
+        edit = canonical(new)
+        return len(text), hashlib.sha256(new.encode()).hexdigest(), digest(form), form_sha(form), digest(edit), float(form == edit), float(form == next_form)
 
-def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprint of each text and of its edited text, their likeness, and its class."""
-    prints = fingerprints(docs, id_col, text_col)
-    rows = next_in_order(prints.select("id", "text", "fingerprint", F.sha2("packed", 256).alias("packed_sha")), ["text", "fingerprint"])
-    half = F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
-    rows = rows.select("id", "text", F.length("text").cast("long").alias("n_chars"), "fingerprint", "packed_sha", edited.alias("edited"), F.when(F.col("fingerprint") == F.col("next_fingerprint"), F.col("next_text")).alias("same"))
-    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    kind = docs.schema[id_col].dataType
-    s, d = T.StringType(), T.DoubleType()
-    schema = T.StructType([T.StructField("id", kind), T.StructField("n_chars", T.LongType()), *[T.StructField(n, t) for n, t in (("edited_sha256", s), ("fingerprint", s), ("edited_fingerprint", s), ("near_edited", d), ("near_next", d), ("packed_sha", s))]])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: tuple | None = None  # bucket, text, form, id and hash of the row before
+        for b in batches:
+            out, places, early = [], [], None
+            last, keep = waiting, None
+            for i, (text, bucket, lent) in enumerate(zip(b.column("text").to_pylist(), b.column("bucket").to_pylist(), b.column("lent").to_pylist(), strict=True)):
+                if lent and last is None:
+                    continue  # a repeated row that was lent again
+                form = canonical(text)
+                if last is not None and last[0] == bucket:
+                    out.append(edited(last[1], last[2], text, form))
+                    if keep is None:
+                        early = last[3]
+                    else:
+                        places.append(keep)
+                last, keep = (None, None) if lent else ((bucket, text, form, None), i)
+            waiting = last if keep is None or last is None else (*last[:3], pa.RecordBatch.from_arrays([b.column("id").slice(keep, 1), b.column("hash").slice(keep, 1)], names=["id", "hash"]))
+            if out:
+                at = pa.array(places, pa.int32())
+                own = [b.column("id").take(at), b.column("hash").take(at)]
+                if early is not None:
+                    own = [pa.concat_arrays([early.column(k), own[k]]) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True))], names=schema.names)
+
+    return ordered.mapInArrow(run, schema)
+
+
+def fingerprint_classes(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, bool]:
+    """(fingerprint, form_sha, class_id (smallest id), class_size: a row a class of two or more; whether they are few)."""
+    many = found.groupBy("fingerprint").count().where("count > 1").select("fingerprint")
+    repeated = checkpointed(found.select("id", "hash", "fingerprint").join(many, "fingerprint", "left_semi").select(F.col("id").alias("own"), F.col("hash").alias("own_hash")))
+    few = repeated.count() <= SMALL
+    texts = rows.join(F.broadcast(repeated) if few else repeated, F.col("id").eqNullSafe(F.col("own")) & (F.col("hash") == F.col("own_hash")), "left_semi").select("id", "text")
+    schema = T.StructType([rows.schema["id"], *[T.StructField(n, T.StringType()) for n in ("fingerprint", "form_sha")], T.StructField("packed", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            c = {n: b.column(n).to_pylist() for n in ("text", "edited", "same", "fingerprint")}
-            edits = [canonical(t) for t in c["edited"]]
-            marks = [digest(f) for f in edits]
-            near = [float(m == f and canonical(t) == e) for m, f, t, e in zip(marks, c["fingerprint"], c["text"], edits, strict=True)]
-            after = [float(o is not None and canonical(o) == canonical(t)) for o, t in zip(c["same"], c["text"], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("n_chars"), b.column("edited_sha256"), b.column("fingerprint"), pa.array(marks, pa.string()), pa.array(near, pa.float64()), pa.array(after, pa.float64()), b.column("packed_sha")], names=schema.names)
-
-    found = rows.mapInArrow(run, schema)
-    classes, few = fingerprint_classes(docs, id_col, text_col)
-    out = found.join(F.broadcast(classes) if few else classes, ["fingerprint", "packed_sha"], "left")
+            forms = [canonical(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([digest(f) for f in forms], pa.string()), pa.array([form_sha(f) for f in forms], pa.string()), pa.array([pack(f.encode()) for f in forms], pa.binary())], names=schema.names)
+
+    grouped = texts.mapInArrow(run, schema).groupBy("fingerprint", "packed").agg(F.first("form_sha").alias("form_sha"), F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    return grouped.select("fingerprint", "form_sha", "class_id", "class_size"), few
+
+
+def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Fingerprint of each text and of its edited text, their likeness, and its class."""
+    small_batches(docs.sparkSession)
+    rows = _rows(docs, id_col, text_col)
+    found = checkpointed(with_edits(in_order(rows)))
+    classes, few = fingerprint_classes(rows, found)
+    out = found.join(F.broadcast(classes) if few else classes, ["fingerprint", "form_sha"], "left")
     return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 

@@ -49,3 +49,15 @@ def test_table(small):
 
 def test_canonical_folds():
     assert P.canonical("  ﬁne  Straße\nÉ") == P.canonical("FINE strasse é") == "fine strasse é"
+
+
+def test_ids_that_are_texts_and_repeated_rows(spark):
+    rows = [(f"id-number-{k:03d}", f"text {k % 7}") for k in range(60)] + [("id-number-007", "text 0"), (None, "x"), (None, "x")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(4)
+    got = P.edited_likeness(df).collect()
+    ordered = sorted((r for r in rows if r[0]), key=lambda r: r[0], reverse=True)
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    for (i, t), (_, after) in zip(ordered[:40], ordered[1:41]):
+        assert by[i].edited_sha256 == hashlib.sha256((t[: len(t) - len(t) // 2] + after[: len(t) // 2]).encode()).hexdigest()
+    assert by[None].class_size == 2 and by["id-number-007"].near_next in (0.0, 1.0)
