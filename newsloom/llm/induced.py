@@ -114,13 +114,22 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
             queues.push(int(d[a]), part, value)
 
     def runs(symbol: int, at: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """With what the bucket induces in itself, turn by turn, in queue order."""
+        """With what the bucket induces in itself, turn by turn, in queue order.
+
+        After cap turns all that is left begins with cap times the symbol, so it follows at once, in any order.
+        """
         all_at, all_lcp, turn, near = [at], [lcp], at, lcp
-        while len(turn):
+        for depth in range(cap + 1):
             k = np.flatnonzero(turn > 0)
             k = k[text[turn[k] - 1] == symbol]
             if not len(k):
                 break
+            if depth == cap:
+                length = turn[k] - run_starts()[turn[k] - 1]
+                ends = np.cumsum(length)
+                all_at.append(np.repeat(turn[k] - 1 + ends - length, length) - np.arange(ends[-1]))
+                all_lcp.append(np.full(ends[-1], cap, np.int16))
+                break
             value = np.empty(len(k), np.int16)
             value[1:] = np.minimum(range_min(near, k[:-1] + 1, k[1:]) + 1, cap)
             new = turn[k] - 1
@@ -130,6 +139,15 @@ def buckets(text: np.ndarray, is_s: np.ndarray, seeds: np.ndarray, seed_lcp: np.
             turn, near = new, value
         return np.concatenate(all_at), np.concatenate(all_lcp)
 
+    held: list[np.ndarray] = []
+
+    def run_starts() -> np.ndarray:
+        """Where the run of equal symbols at each place begins."""
+        if not held:
+            new = np.append(True, text[1:] != text[:-1])
+            held.append(np.maximum.accumulate(np.where(new, np.arange(len(text)), 0)))
+        return held[0]
+
     symbols = np.unique(text)
     seed_symbol = text[seeds]
     queues, l_parts = BucketQueues(memory), BucketQueues(memory)

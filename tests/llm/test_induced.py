@@ -37,3 +37,10 @@ def test_repeats_and_runs():
     check(np.concatenate([base, [9], base, [9] * 70, base[50:250], [1] * 90]), 100)
     check(np.tile([1, 2, 3], 200), 50)
     check(np.zeros(300, int), 50)
+
+
+def test_a_long_run_takes_few_turns():
+    rng = np.random.default_rng(1)
+    check(np.concatenate([rng.integers(0, 3, 50), [1] * 2000, rng.integers(0, 3, 50), [1] * 700, [2] * 900, [0]]), 40)
+    text = np.full(2_000_000, 7, np.uint16)
+    assert sum(len(at) for at, _ in I.suffix_buckets(text, 400)) == len(text)
