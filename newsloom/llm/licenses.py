@@ -13,7 +13,7 @@ the whole text as the template has, across line breaks and comment marks. A temp
 passes the same filters on the text's whole set is slid over the places of its words. Each
 run of windows that hold `least` distinct words of it gives a match (block: the line of the
 best window's first template word), unless a line that the run touches holds as many.
-op4_sql has the lines only, so it agrees where no notice is wrapped, as in the given tables.
+Templates are single sentences and whole license texts.
 
 Base phrases are places of consecutive words anywhere in the text, across lines.
 
@@ -53,6 +53,16 @@ TEMPLATES = [
     ("bsd-notice", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 ]
+#: Whole license texts, lower case, without marks.
+_AS_IS = "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+TEMPLATES += [
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software " + _AS_IS),
+    ("isc-text", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software"),
+    ("bsd-text", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("zlib-text", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions the origin of this software must not be misrepresented you must not claim that you wrote the original software altered source versions must be plainly marked as such and must not be misrepresented as being the original software this notice may not be removed or altered from any source distribution"),
+    ("apache-header", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license"),
+    ("gpl-header", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details you should have received a copy of the gnu general public license along with this program"),
+]
 THRESHOLD = 0.8
 _W = rb"0-9a-z\x80-\xff"
 _WORD = re.compile(rb"[%s]+" % _W)
@@ -185,7 +195,7 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sql() -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    template = ", ".join(f"('{label}', {sorted(set(t.split()))})" for label, t in TEMPLATES)
+    template = ", ".join(f"('{label}', {sorted(set(t.split()))}, {len(t.split())})" for label, t in TEMPLATES)
     place = " UNION ALL ".join(
         f"SELECT doc_id, unnest(list_filter(range(len(words)), lambda i: {' AND '.join(f"words[i + {k + 1}] = '{w}'" for k, w in enumerate(phrase.split()))})) AS place_at, '{label}' AS label FROM d"
         for phrase, label in PHRASES.items()
@@ -196,9 +206,15 @@ d AS (SELECT doc_id, regexp_extract_all(low, '{word}') AS words FROM t),
 place AS ({place}),
 base AS (SELECT doc_id, count(*) AS n, min(place_at) AS a, max(place_at) AS z, list(DISTINCT label) AS labels FROM place GROUP BY doc_id),
 block AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{word}')) AS words FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM t)),
-template(label, words) AS (VALUES {template}),
-hit AS (SELECT doc_id, label, len(list_intersect(block.words, template.words)) / len(template.words) AS c FROM block, template
-        WHERE len(list_intersect(block.words, template.words)) >= ceil({THRESHOLD} * len(template.words) - 1e-9)),
+template(label, words, size) AS (VALUES {template}),
+need AS (SELECT *, CAST(ceil({THRESHOLD} * len(words) - 1e-9) AS BIGINT) AS least FROM template),
+line_hit AS (SELECT doc_id, label, len(list_intersect(block.words, need.words)) / len(need.words) AS c FROM block, need
+             WHERE len(block.words) >= least AND len(list_intersect(block.words, need.words)) >= least),
+whole AS (SELECT doc_id, d.words AS said, need.* FROM d, need WHERE len(d.words) >= least AND len(list_intersect(list_distinct(d.words), need.words)) >= least),
+word_hit AS (SELECT * FROM (SELECT doc_id, label, words, size, least, unnest(said) AS word, unnest(range(len(said))) AS at FROM whole) WHERE list_contains(words, word)),
+window_hit AS (SELECT a.doc_id, a.label, count(DISTINCT b.word) / any_value(len(a.words)) AS c FROM word_hit a JOIN word_hit b ON b.doc_id = a.doc_id AND b.label = a.label AND b.at <= a.at AND b.at > a.at - a.size
+               GROUP BY a.doc_id, a.label, a.at HAVING count(DISTINCT b.word) >= any_value(a.least)),
+hit AS (SELECT * FROM line_hit UNION ALL SELECT * FROM window_hit),
 own AS (SELECT doc_id, max(c) AS c, list(DISTINCT label) AS labels FROM hit GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, base.a AS first_word, base.z AS last_word,
        array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,

@@ -172,3 +172,28 @@ def test_short_pieces_of_one_secret():
     literal = lambda t: [t[s:e] for s, k, e, _ in S.scan(t) if k == 3]
     assert literal('secret = "q8Zr4T" + "x0Lm2V" + "n6Bw1K"') == ["q8Zr4T", "x0Lm2V", "n6Bw1K"]
     assert literal("secret = ((((") == literal("secret = ()") == literal("secret: |\n") == []
+
+
+def test_wrapped_notices_against_sql(spark, tmp_path):
+    import textwrap
+
+    import duckdb
+
+    rows, k = [(0, None), (1, "plain words and nothing else")], 2
+    for label, words in L.TEMPLATES:
+        for width, mark in ((30, "# "), (75, " * "), (10_000, "")):
+            rows.append((k, "Some words before.\n" + "\n".join(mark + x for x in textwrap.wrap(words, width)) + "\nand after"))
+            rows.append((k + 1, "\n".join(textwrap.wrap(" ".join(words.split()[: len(words.split()) // 2]), width))))
+            k += 2
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in L.op4_license_scans(spark, str(tmp_path)).collect()}
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for i, n_words, n_base, first, last, base, labels, score in duckdb.sql(L.op4_sql()).fetchall():
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) == (n_words, n_base, first, last, base, labels), i
+        assert abs(r.score - score) < 1e-12
+    k = 2
+    for label, _ in L.TEMPLATES:
+        for _ in range(3):
+            assert label in got[k].labels.split(","), (label, k)
+            k += 2
