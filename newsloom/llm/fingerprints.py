@@ -47,7 +47,11 @@ def canonical(text: str) -> str:
 
 
 def digest(form: str) -> str:
-    return xxhash.xxh3_128_hexdigest(form.encode("utf-8", "surrogatepass"))
+    return raw_digest(form).hex()
+
+
+def raw_digest(form: str) -> bytes:
+    return xxhash.xxh3_128_digest(form.encode("utf-8", "surrogatepass"))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -87,22 +91,22 @@ def in_order(rows: DataFrame) -> DataFrame:
     return dealt.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "lent", F.desc_nulls_last("id"), "hash")
 
 
-def form_sha(form: str) -> str:
-    return hashlib.sha256(form.encode()).hexdigest()
+def form_sha(form: str) -> bytes:
+    return hashlib.sha256(form.encode()).digest()
 
 
 def with_edits(ordered: DataFrame) -> DataFrame:
     """id, hash, n_chars, edited_sha256, fingerprint, form_sha, edited_fingerprint, near_edited, near_next of each row of in_order()."""
-    s, d = T.StringType(), T.DoubleType()
+    s, d = T.BinaryType(), T.DoubleType()
     names = ["n_chars", "edited_sha256", "fingerprint", "form_sha", "edited_fingerprint", "near_edited", "near_next"]
     schema = T.StructType([ordered.schema["id"], ordered.schema["hash"], *[T.StructField(n, t) for n, t in zip(names, (T.LongType(), s, s, s, s, d, d), strict=True)]])
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()]
 
     def edited(text: str, form: str, after: str, next_form: str) -> tuple:
         half = len(text) // 2
         new = text[: len(text) - half] + after[:half]
         edit = canonical(new)
-        return len(text), hashlib.sha256(new.encode()).hexdigest(), digest(form), form_sha(form), digest(edit), float(form == edit), float(form == next_form)
+        return len(text), hashlib.sha256(new.encode()).digest(), raw_digest(form), form_sha(form), raw_digest(edit), float(form == edit), float(form == next_form)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: tuple | None = None  # bucket, text, form, id and hash of the row before
@@ -133,17 +137,17 @@ def with_edits(ordered: DataFrame) -> DataFrame:
 
 def fingerprint_classes(rows: DataFrame, found: DataFrame) -> tuple[DataFrame, bool]:
     """(fingerprint, form_sha, class_id (smallest id), class_size: a row a class of two or more; whether they are few)."""
-    many = found.groupBy("fingerprint").count().where("count > 1").select("fingerprint")
+    many = checkpointed(found.groupBy("fingerprint").count().where("count > 1").select("fingerprint"))  # written, so that AQE can split the join at a frequent text
     repeated = checkpointed(found.select("id", "hash", "fingerprint").join(many, "fingerprint", "left_semi").select(F.col("id").alias("own"), F.col("hash").alias("own_hash")))
     few = repeated.count() <= SMALL
     texts = rows.join(F.broadcast(repeated) if few else repeated, F.col("id").eqNullSafe(F.col("own")) & (F.col("hash") == F.col("own_hash")), "left_semi").select("id", "text")
-    schema = T.StructType([rows.schema["id"], *[T.StructField(n, T.StringType()) for n in ("fingerprint", "form_sha")], T.StructField("packed", T.BinaryType())])
+    schema = T.StructType([rows.schema["id"], *[T.StructField(n, T.BinaryType()) for n in ("fingerprint", "form_sha", "packed")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
             forms = [canonical(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([digest(f) for f in forms], pa.string()), pa.array([form_sha(f) for f in forms], pa.string()), pa.array([pack(f.encode()) for f in forms], pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([raw_digest(f) for f in forms], pa.binary()), pa.array([form_sha(f) for f in forms], pa.binary()), pa.array([pack(f.encode()) for f in forms], pa.binary())], names=schema.names)
 
     grouped = texts.mapInArrow(run, schema).groupBy("fingerprint", "packed").agg(F.first("form_sha").alias("form_sha"), F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     return grouped.select("fingerprint", "form_sha", "class_id", "class_size"), few
@@ -156,7 +160,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = checkpointed(with_edits(in_order(rows)))
     classes, few = fingerprint_classes(rows, found)
     out = found.join(F.broadcast(classes) if few else classes, ["fingerprint", "form_sha"], "left")
-    return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
+    text = lambda c: F.lower(F.hex(c)).alias(c)
+    return out.select(F.col("id").alias(id_col), "n_chars", text("edited_sha256"), text("fingerprint"), text("edited_fingerprint"), "near_edited", "near_next", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
