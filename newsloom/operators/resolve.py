@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
+from newsloom.functions.items import is_paywalled
 
 
 def tier_by_handles(items: DataFrame, handles: Column, registry: DataFrame, fallback: Column) -> DataFrame:
@@ -157,3 +158,22 @@ def resolve_tier(mode: Column, text: Column, title: Column, body: Column, outlet
     affiliated = _lookup(known.affiliations, key).cast("string") == source_outlet
     fixed = F.when(affiliated & _lookup(known.journalists, key).isNotNull(), F.least(tier, _lookup(known.journalists, key))).otherwise(tier)
     return F.when(mode == "x_mentions", mentioned).when(mode == "fmkorea", found).otherwise(fixed)
+
+
+def cited_posts(posts: DataFrame) -> DataFrame:
+    """Posts (text) that cite a handle, with handles and the last of them as journalist."""
+    found = posts.withColumn("handles", X.cited_handles(F.coalesce("text", F.lit("")))).where(F.size("handles") > 0)
+    return found.withColumn("journalist", F.element_at("handles", -1))
+
+
+def promote(posts: DataFrame, landed: DataFrame, domains: list[tuple[str, str]]) -> DataFrame:
+    """Posts whose card leads to a landed page with a body, of a free and registered outlet, as that outlet's articles.
+
+    posts: url, outlet, card, and others. landed: card, final_url, body; a row a card. Whatever is
+    missing on the way leaves a post as it is.
+    """
+    page = landed.where("card IS NOT NULL AND final_url IS NOT NULL AND body <> ''").withColumn("_outlet", outlet_by_domain(X.url_host(F.col("final_url")), domains))
+    page = page.where(F.col("_outlet").isNotNull() & ~is_paywalled(F.col("final_url"))).select("card", "final_url", "_outlet", F.col("body").alias("_body"))
+    joined = posts.join(page, "card", "left")
+    kept = [c for c in posts.columns if c not in ("url", "outlet")]
+    return joined.select(*kept, F.coalesce("final_url", "url").alias("url"), F.coalesce("_outlet", "outlet").alias("outlet"), F.col("_body").alias("promoted_body"), F.col("_outlet").isNotNull().alias("promoted"))

@@ -103,3 +103,27 @@ def patch(old: DataFrame, change: DataFrame, key: str, overwrite: list[str] = ()
     new = {x: F.when(F.col("_key").isNotNull(), F.col(f"_{x}")).otherwise(F.col(x)) for x in overwrite}
     new |= {x: F.coalesce(F.col(f"_{x}"), F.col(x)) for x in coalesce}
     return joined.withColumns(new).select(old.columns)
+
+
+def cleared(rows: DataFrame, listed: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """rows with `columns` set to null where the key is listed."""
+    mark = listed.select(F.col(key).alias("_key")).distinct()
+    joined = rows.join(mark, F.col(key) == F.col("_key"), "left")
+    return joined.withColumns({c: F.when(F.col("_key").isNull(), F.col(c)) for c in columns}).select(rows.columns)
+
+
+def without_prefixes(rows: DataFrame, key: str, prefixes: list[str], least: int = 8) -> DataFrame:
+    """rows whose key starts with none of the prefixes, a short list; shorter ones than `least` are an error."""
+    for p in prefixes:
+        if len(p) < least:
+            raise ValueError(f"prefix of less than {least} letters: {p!r}")
+    out = F.lit(False)
+    for p in prefixes:
+        out = out | F.startswith(F.col(key), F.lit(p))
+    return rows.where(~out)
+
+
+def match_by_title(targets: DataFrame, found: DataFrame) -> DataFrame:
+    """targets with `found`, the url of the last row (by seq) of found that has exactly their title, blanks at the ends aside."""
+    last = found.groupBy(F.trim("title").alias("_title")).agg(F.max_by("url", "seq").alias("found"))
+    return targets.join(last, F.trim(F.col("title")) == F.col("_title")).drop("_title")
