@@ -76,7 +76,9 @@ def domain_suffix(host: Column, domain: Column) -> Column:
 
 def number_tokens(text: Column) -> Column:
     """Digit runs outside URLs, publish dates and clock times, thousands commas dropped."""
-    quiet = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"https?://\S+", " "), PUBLISH_TIME, " ")
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"https?://\S+", " ")
+    timed = bare.rlike(r"[A-Za-z]\.?\s+\d{1,2}\s*,?\s*\d{4}|\d:\d{2}")  # what every such date or time holds, found faster
+    quiet = F.when(timed, F.regexp_replace(bare, PUBLISH_TIME, " ")).otherwise(bare)
     plain = F.regexp_replace(quiet, r"(?<=\d),(?=\d{3}(?!\d))", "")
     return F.regexp_extract_all(plain, F.lit(r"(\d+)"), F.lit(1))
 
@@ -105,7 +107,7 @@ def char_ngrams(text: Column, n: int = V.NGRAM) -> Column:
         starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - n + 1)).otherwise(F.array().cast("array<int>"))
         return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), "")))
 
-    return let(F.split(squeezed(text), "(?<=.)(?=.)"), grams)
+    return let(F.split(squeezed(text), ""), grams)
 
 
 def ngram_retention(source: Column, output: Column, n: int = V.NGRAM) -> Column:
