@@ -141,18 +141,18 @@ def dedup_counters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mart(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """First and last article of each url as old and new rows of the mart."""
-    a = labelled_articles(spark, sf).select("url", "doc_id", "title", "tier", "title_ko", "stage")
-    old = S.first_by(a.where("doc_id % 2 = 0"), ["url"], [F.col("doc_id")])
-    new = S.first_by(a.where("doc_id % 3 = 0"), ["url"], [F.desc("doc_id")])
+    """Old and new rows of the mart: of each url the first English article, and the last one in another language or none."""
+    a = labelled_articles(spark, sf).select("url", "doc_id", "title", "tier", "title_ko", "stage", F.col("lang").eqNullSafe("en").alias("english"))
+    old = S.first_by(a.where("english").drop("english"), ["url"], [F.col("doc_id")])
+    new = S.first_by(a.where("NOT english").drop("english"), ["url"], [F.desc("doc_id")])
     return old, new.withColumn("title_ko", F.lit(None).cast("string"))
 
 
 @query(
     with_(
         ARTICLES,
-        "o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY doc_id) AS n FROM articles WHERE doc_id % 2 = 0) WHERE n = 1)",
-        "w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY doc_id DESC) AS n FROM articles WHERE doc_id % 3 = 0) WHERE n = 1)",
+        "o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY doc_id) AS n FROM articles WHERE lang IS NOT DISTINCT FROM 'en') WHERE n = 1)",
+        "w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY doc_id DESC) AS n FROM articles WHERE lang IS DISTINCT FROM 'en') WHERE n = 1)",
     )
     + """SELECT coalesce(o.url, w.url) AS url, coalesce(w.doc_id, o.doc_id) AS doc_id, CASE WHEN w.url IS NOT NULL THEN w.title ELSE o.title END AS title,
   CASE WHEN w.url IS NOT NULL THEN w.tier ELSE o.tier END AS tier, CASE WHEN w.url IS NULL OR o.title = w.title THEN o.title_ko END AS title_ko,
