@@ -53,17 +53,48 @@ def outlet_by_domain(host: Column, domains: list[tuple[str, str]]) -> Column:
     return out
 
 
+def _piece_steps(most: int) -> list[tuple[int, int, int]]:
+    """(difference of length, piece, shift): where a piece of the shorter name can stand in the longer one.
+
+    Of `most` + 1 pieces one survives any `most` edits, and the edits left and right of it bound its shift.
+    """
+    steps = []
+    for longer in range(most + 1):
+        for i in range(most + 1):
+            after = most - i
+            steps += [(longer, i, shift) for shift in range(max(-i, longer - after), min(i, longer + after) + 1)]
+    return steps
+
+
 def fuzzy_duplicates(names: DataFrame, most: int = 2) -> DataFrame:
     """Pairs of different names with one folded surname and an edit distance of at most `most`.
 
-    names: id, full_name. Equal names meet first; the pairs are between different names.
+    names: id, full_name. Equal names meet first; the pairs are between different names. Candidates
+    share the surname, which changes no distance, and one of `most` + 1 pieces of what stands before
+    it, about where it stood: each name goes to `most` + 1 keys as the shorter and to some
+    (`most` + 1)^3 / 2 as the longer, and every candidate is verified. Null names are in no pair.
     """
-    folded = X.fold_latin(F.col("full_name"))
-    kinds = names.groupBy("full_name").agg(F.min("id").alias("id"), F.count("*").alias("n")).withColumn("key", F.element_at(F.split(folded, " "), -1))
-    a, b = kinds.alias("a"), kinds.alias("b")
-    near = F.levenshtein(X.fold_latin(F.col("a.full_name")), X.fold_latin(F.col("b.full_name")))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.full_name") < F.col("b.full_name"))).withColumn("distance", near)
-    return pairs.where(F.col("distance") <= most).select(F.col("a.full_name").alias("name_a"), F.col("b.full_name").alias("name_b"), F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), "distance")
+    kinds = names.where("full_name IS NOT NULL").groupBy("full_name").agg(F.min("id").alias("id"))
+    kinds = kinds.withColumn("folded", X.fold_latin(F.col("full_name"))).withColumn("surname", F.element_at(F.split("folded", " "), -1))
+    kinds = kinds.withColumn("given", F.substr("folded", F.lit(1), F.length("folded") - F.length("surname"))).withColumn("size", F.length("given"))
+
+    def key(size: Column, piece: Column, shift: Column) -> Column:
+        start = F.floor(piece * size / (most + 1)).cast("int")
+        end = F.floor((piece + 1) * size / (most + 1)).cast("int")
+        at = start + shift
+        inside = (size >= 0) & (at >= 0) & (at + end - start <= F.col("size"))
+        return F.when(inside, F.xxhash64("surname", size, piece, F.substr("given", at + 1, end - start)))
+
+    steps = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(s, ("longer", "piece", "shift"), strict=True)]) for s in _piece_steps(most)])
+    short = kinds.withColumn("key", F.explode(F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: key(F.col("size"), i, F.lit(0)))))
+    long = kinds.withColumn("key", F.explode(F.array_compact(F.transform(steps, lambda s: key(F.col("size") - s["longer"], s["piece"], s["shift"])))))
+    a, b = short.alias("a"), long.alias("b")
+    pairs = a.join(b, "key").where((F.col("a.surname") == F.col("b.surname")) & (F.col("a.full_name") != F.col("b.full_name")))
+    near = pairs.withColumn("distance", F.levenshtein("a.given", "b.given", most)).where("distance >= 0")
+    first = F.col("a.full_name") < F.col("b.full_name")
+    side = lambda c, one, other: F.when(first, F.col(f"{one}.{c}")).otherwise(F.col(f"{other}.{c}"))
+    found = near.select(side("full_name", "a", "b").alias("name_a"), side("full_name", "b", "a").alias("name_b"), side("id", "a", "b").alias("id_a"), side("id", "b", "a").alias("id_b"), "distance")
+    return found.dropDuplicates(["name_a", "name_b"])
 
 
 def resolve_names(mentions: DataFrame, players: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -176,3 +177,30 @@ def test_guards(spark):
     assert wrong("소식", "With Saka") == []
     assert wrong("사카 임대", "Bukayo Saka leaves") == ["loan"] and wrong("사카 임대", "Bukayo Saka on loan") == []
     assert one(spark, N.unfounded_names(F.lit("사카와 라이스"), F.lit("Declan Rice"), names)) == ["사카"]
+
+
+def test_fuzzy_duplicates_brute(spark):
+    """Against all pairs: short and empty given names, edits at every place, equal folds, nulls, repeated names."""
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(3)
+    names = ["".join(rng.choice("abé") for _ in range(rng.randint(0, 7))) + rng.choice([" ", " x "]) + rng.choice(["li", "mo"]) for _ in range(150)]
+    names += ["li", "", "Ana Li", "ana li", "Aná Li", None] + names[:9]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id long, full_name string")
+    fold = lambda n: n.lower().replace("é", "e").replace("á", "a")
+    kinds = {n: names.index(n) for n in names if n is not None}
+    for most in (0, 1, 2, 4):
+        want = {
+            (a, b, kinds[a], kinds[b], distance(fold(a), fold(b)))
+            for a in kinds for b in kinds
+            if a.encode() < b.encode() and fold(a).split(" ")[-1] == fold(b).split(" ")[-1] and distance(fold(a), fold(b)) <= most
+        }
+        got = [tuple(r) for r in R.fuzzy_duplicates(rows, most).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
