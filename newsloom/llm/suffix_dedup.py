@@ -7,10 +7,12 @@
 2. A key with one segment content, seen more than once, repeats as a whole.
 3. The distinct segments of any other key form shards by key. A shard's suffixes are put
    in order by induced sorting (newsloom.llm.induced), whose queues of (position, common
-   prefix) are disk-backed. All else of a shard is in memory, and a key is never split, so a
-   shard (SHARD bytes, or a key's distinct segments if they are more) must fit in a task's
-   memory; two neighbours with a common prefix of WINDOW bytes are a repeated string, and
-   both are marked.
+   prefix) are disk-backed; two neighbours with a common prefix of WINDOW bytes are a
+   repeated string, and both are marked. All else of a shard is in memory, so a shard must
+   fit in a task's. A key with more than SHARD / WINDOW distinct segments is not sorted
+   as one: its segments go through these steps again as texts, with another hash, so that
+   equal windows still meet but in smaller groups. Only after ORDERS hashes is what is left
+   of a key sorted whole, which windows of a few different strings alone can reach.
 4. Marked ranges return to every place of their segment, and each text drops their union.
 
 Strings are judged on the input: windows are compared before anything is removed, and a
@@ -36,17 +38,20 @@ from newsloom.llm.common import checkpointed, documents, partitions, small_batch
 from newsloom.llm.induced import suffix_buckets
 
 WINDOW, GRAM = 400, 32
-#: Bytes of segments that are sorted together; a single key's may be more.
+#: Bytes of segments that are sorted together.
 SHARD = 4 << 20
+#: Hashes by which the segments of a crowded key are cut in turn.
+ORDERS = 3
 
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of each string of `size` bytes (a power of two)."""
+def gram_hashes(data: np.ndarray, size: int, order: int = 0) -> np.ndarray:
+    """A 64-bit hash of each string of `size` bytes (a power of two); each order ranks them otherwise."""
     h = data.astype(np.uint64) + np.uint64(1)
     factor, width = 0x9E3779B97F4A7C15, 1
     while width < size:
         h = h[:-width] * np.uint64(factor) + h[width:]
         factor, width = factor * factor % 2**64, width * 2
+    h ^= np.uint64(order * 0xD1B54A32D192ED03 % 2**64)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
@@ -64,7 +69,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(raws: list[bytes], window: int, gram: int) -> tuple[np.ndarray, ...]:
+def segments(raws: list[bytes], window: int, gram: int, order: int = 0) -> tuple[np.ndarray, ...]:
     """(text, key, first window, windows, whether a window may come again) of each run of windows with one key.
 
     A window may come again in its segment only if the string with the least hash does.
@@ -75,7 +80,7 @@ def segments(raws: list[bytes], window: int, gram: int) -> tuple[np.ndarray, ...
     held = np.flatnonzero(size >= window)
     if not len(held):
         return (np.empty(0, np.int64),) * 5
-    h, width = gram_hashes(data, gram), window - gram + 1
+    h, width = gram_hashes(data, gram, order), window - gram + 1
     key = sliding_min(h, width)
     counts = size[held] - window + 1
     inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -97,17 +102,21 @@ def segments(raws: list[bytes], window: int, gram: int) -> tuple[np.ndarray, ...
     return owner[run], own_key.view(np.int64), first - starts[owner[run]], n, (times > 1).astype(np.int64)
 
 
+def utf8(text: str | bytes) -> bytes:
+    return text if isinstance(text, bytes) else text.encode()
+
+
 #: Bytes of texts that are hashed together.
 STRETCH = 256 << 10
 
 
-def find_segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
+def find_segments(rows: DataFrame, window: int, gram: int, order: int = 0) -> DataFrame:
     """id, hash, key, start, n, own, h1, h2: a row a segment of each text. own: it may repeat itself."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raws = [t.encode() for t in b.column("text").to_pylist()]
+            raws = [utf8(t) for t in b.column("text").to_pylist()]
             first = 0
             while first < len(raws):
                 after, size = first, 0
@@ -115,7 +124,7 @@ def find_segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
                     size += len(raws[after])
                     after += 1
                 part = raws[first:after]
-                owner, *cols = segments(part, window, gram)
+                owner, *cols = segments(part, window, gram, order)
                 if len(owner):
                     views = [memoryview(r) for r in part]
                     wide = [xxhash.xxh3_128_digest(views[o][a : a + m + window - 1]) for o, a, m in zip(owner.tolist(), cols[1].tolist(), cols[2].tolist(), strict=True)]
@@ -173,34 +182,46 @@ def sort_shards(held: DataFrame, window: int, shard: int) -> DataFrame:
     return held.mapInArrow(run, "key long, h1 long, h2 long, first long, after long")
 
 
-def repeated_ranges(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
+def repeated_ranges(rows: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, order: int = 0) -> DataFrame:
     """id, hash, ranges (array of first, after): the bytes of each text to remove.
 
-    rows: id, hash (of the text), text.
+    rows: id, hash (of the text), text (or its bytes).
     """
     n_parts = partitions(rows.sparkSession)
-    found = find_segments(rows, window, gram)
+    found = find_segments(rows, window, gram, order)
     kinds = found.groupBy("key", "h1", "h2", "n").agg(F.count("*").alias("seen"), F.max("own").alias("own"), F.min(F.struct("id", "hash", "start")).alias("rep"))
     of_key = Window.partitionBy("key")
     kinds = kinds.withColumns({"total": F.sum("seen").over(of_key), "variety": F.count("*").over(of_key), "any_own": F.max("own").over(of_key)})
     shared = checkpointed(kinds.where("total > 1 OR any_own = 1").select("key", "h1", "h2", "n", (F.col("seen") > 1).alias("many"), "rep", "variety"))
     whole = shared.where("variety = 1 AND many").select("key", "h1", "h2", F.lit(0).cast("long").alias("first"), (F.col("n") + window - 1).alias("after"))
-    wanted = shared.where("variety > 1 OR NOT many").groupBy("rep.id", "rep.hash").agg(F.collect_list(F.struct("key", "h1", "h2", "many", F.col("rep.start").alias("start"), "n")).alias("wanted"))  # at most a text's own segments
+    crowded = F.col("variety") * window > shard
+    split = order + 1 < ORDERS and not shared.where(crowded).isEmpty()
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for text, parts in zip(b.column("text").to_pylist(), b.column("wanted").to_pylist(), strict=True):
-                raw = text.encode()
+                raw = utf8(text)
                 out += [(p["key"], p["h1"], p["h2"], p["many"], raw[p["start"] : p["start"] + p["n"] + window - 1]) for p in parts]
             if out:
                 key, h1, h2, many, data = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(many, pa.bool_()), pa.array(data, pa.binary())], names=["key", "h1", "h2", "many", "bytes"])
 
-    texts = rows.alias("t").join(wanted.alias("w"), F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.hash") == F.col("w.hash"))).select("text", "wanted")
-    held = texts.mapInArrow(slices, "key long, h1 long, h2 long, many boolean, bytes binary").dropDuplicates(["key", "h1", "h2"])
+    def contents(chosen: DataFrame) -> DataFrame:
+        """key, h1, h2, many, bytes of segments, each cut from one text that has it."""
+        wanted = chosen.groupBy("rep.id", "rep.hash").agg(F.collect_list(F.struct("key", "h1", "h2", "many", F.col("rep.start").alias("start"), "n")).alias("wanted"))  # at most a text's own segments
+        texts = rows.alias("t").join(wanted.alias("w"), F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.hash") == F.col("w.hash"))).select("text", "wanted")
+        return texts.mapInArrow(slices, "key long, h1 long, h2 long, many boolean, bytes binary").dropDuplicates(["key", "h1", "h2"])
+
+    mixed = shared.where("variety > 1 OR NOT many")
+    held = contents(mixed.where(~crowded) if split else mixed)
     sorted_ = sort_shards(held.repartition(n_parts, "key").sortWithinPartitions("key"), window, shard)
-    marks = checkpointed(whole.union(sorted_))
+    marks = whole.union(sorted_)
+    if split:
+        again = checkpointed(contents(mixed.where(crowded)).select(F.struct("key", "h1", "h2").alias("id"), F.xxhash64("key", "h1", "h2").alias("hash"), F.col("bytes").alias("text"), "many"))
+        cuts = repeated_ranges(again.drop("many"), window, gram, shard, order + 1).select("id.*", F.inline("ranges"))
+        marks = marks.union(cuts).union(again.where("many").select("id.*", F.lit(0).cast("long"), F.octet_length("text").cast("long")))
+    marks = checkpointed(marks)
     places = found.join(marks, ["key", "h1", "h2"]).select("id", "hash", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("after")).alias("after"))
     return places.groupBy("id", "hash").agg(F.array_sort(F.collect_set(F.struct("first", "after"))).alias("ranges"))  # at most a text's own
 

@@ -50,3 +50,16 @@ def test_small_windows(spark):
 
 def test_table(spark):
     check(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(1000))
+
+
+def test_crowded_keys_are_cut_again(spark, monkeypatch):
+    """A passage among many different neighbours, some of which come twice, and bytes that are no UTF-8 when cut."""
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdé"), n))
+    passage, near = word(70), word(30)
+    rows = [(k, word(rng.integers(0, 40)) + passage[: rng.integers(30, 71)] + (near[: k % 30] if k % 3 else "") + word(rng.integers(0, 40))) for k in range(150)]
+    rows += [(200 + k, rows[k][1][5:]) for k in range(30)] + [(300, passage * 3), (301, "a" * 300), (302, "a" * 200)]
+    orders, real = [], S.find_segments
+    monkeypatch.setattr(S, "find_segments", lambda r, w, g, order=0: orders.append(order) or real(r, w, g, order))
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 40, 8, shard=400)
+    assert orders == [0, 1, 2]
