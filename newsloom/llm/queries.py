@@ -6,6 +6,7 @@ from newsloom.llm.chaining import op6_substring_chaining
 from newsloom.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from newsloom.llm.fingerprints import op3_document_fingerprints
 from newsloom.llm.jaccard import op8_ngram_jaccard_join
+from newsloom.llm.language import op11_language_id
 from newsloom.llm.licenses import op4_license_scans, op4_sql
 from newsloom.llm.mixing import op1_mix_sources
 from newsloom.llm.packing import op9_best_fit_packing
@@ -26,6 +27,7 @@ def queries() -> dict:
         "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_secret_scans": op10_secret_scans,
+        "op11_language_id": op11_language_id,
     }
 
 
