@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,3 +72,21 @@ def order_key(docs: DataFrame, col: str) -> Column:
     else:
         key = F.conv(F.rpad(F.hex(F.substring(F.encode(c.cast("string"), "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
     return F.coalesce(key, F.lit(2**63 - 1))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where all runs in one process."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="newsloom-shared-")
+    return named.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: lineage is cut, and columns are packed and pruned."""
+    path = f"{shared_folder(df.sparkSession)}/newsloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
