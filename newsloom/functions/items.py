@@ -73,16 +73,17 @@ def day_only(day: Column, today: Column) -> Column:
 
 
 #: Shapes of landed date texts; those of the second list have no time.
-_TIMED = ["yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm"]
-_DAYS = ["yyyy-MM-dd", "d MMM yyyy", "MMM d, yyyy", "d MMMM yyyy", "MMMM d, yyyy"]
+_TIMED = ["yyyy-MM-dd['T'][ ]HH:mm[:ss][.SSSSSSSSS][XXX][XX][X]", "yyyyMMdd'T'HHmm[ss][XXX][XX][X]", "d MMM yyyy HH:mm[:ss][ Z]", "MMM d, yyyy HH:mm[:ss]"]
+_DAYS = ["yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "d MMM yyyy", "MMM d, yyyy", "d MMMM yyyy", "MMMM d, yyyy"]
 
 
 def parsed_date(raw: Column) -> Column:
     """struct(at, precision) of a date text; without a zone it is UTC, without a time its precision is day. None if no shape fits."""
     raw = F.trim(F.regexp_replace(raw, r"^\s*[A-Za-z]{3},\s*", ""))  # without the day of the week
-    at = F.coalesce(*[F.try_to_timestamp(raw, F.lit(f)) for f in _TIMED + _DAYS])
+    local = F.coalesce(*[F.try_to_timestamp(raw, F.lit(f)) for f in _TIMED + _DAYS]).cast("timestamp_ntz")
+    at = F.when(raw.rlike(r"(Z|[+-]\d{2}:?\d{2}|\d[+-]\d{2})$") & raw.rlike(r"[T ]\d{1,2}:|T\d{4}"), F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)).otherwise(local)
     precision = F.when(raw.rlike(r"[T ]\d{1,2}:|T\d{4}"), "time").otherwise("day")
-    return F.when(at.isNotNull(), F.struct(at.cast("timestamp_ntz").alias("at"), precision.alias("precision")))
+    return F.when(at.isNotNull(), F.struct(at.alias("at"), precision.alias("precision")))
 
 
 _PARTICLE = "(을|를|이|가|은|는|와|과|의|에서|에|으로|로|도|만)$"

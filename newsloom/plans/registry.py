@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, reading, repairs, resolving, serving, views
+from newsloom.plans import marts, monitoring, pages, reading, repairs, resolving, serving, views
 
-PLANS = [marts, monitoring, resolving, reading, serving, views, repairs]
+PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages]
 
 
 def queries() -> dict:
