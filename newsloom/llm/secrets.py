@@ -40,10 +40,12 @@ THRESHOLD = 0.5
 _TYPE = r"""[A-Za-z_$][\w.$]*(?:[ \t]*[\[<][\w.$ \t,|\[\]<>]*[\]>])?"""
 _TARGET = re.compile(
     r"""(?<![\w.$-])(?:(?P<name>[A-Za-z_$][\w.$-]*)|"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)')(?:[ \t]*\])?[ \t]*"""
-    rf"""(?:\??:[ \t]*(?P<type>{_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*(?==(?![=>])))?(?::=|=>|[=:])(?![=>])[ \t]*"""
+    rf"""(?:\??:[ \t]*(?P<type>(?>{_TYPE})(?:[ \t]*\|[ \t]*(?>{_TYPE}))*+)[ \t]*(?==(?![=>])))?(?::=|=>|[=:])(?![=>])[ \t]*"""  # a type is read one way only, else unions take 2^n
 )
 _QUOTED = re.compile(r"""[rbuf]?(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`)""")
-_BARE = re.compile(r"""[^\s,;#"'`(){}\[\]+][^\s,;"'`(){}\[\]]*""")
+_BARE = re.compile(r"""[^\s,;#"'`(){}\[\]+&][^\s,;"'`(){}\[\]&]*""")
+_NESTED = re.compile(r"""[A-Za-z_$][\w.$-]*[ \t]*=(?![=>])[ \t]*["'`\w]""")  # an argument's name
+_CHAINED = re.compile(r"""[A-Za-z_$][\w.$-]*[ \t]*=(?![=>])[ \t]*["'`]""")  # a = b = "x"
 _BLANK = re.compile(r"(?:[ \t]|\\\r?\n)*")
 _INSIDE = re.compile(r"(?:\s|\\\r?\n|#[^\n]*|//[^\n]*)*")  # in brackets, lines go on
 _BLOCK = re.compile(r"[|>][+-]?\d?[+-]?[ \t]*(?:#[^\n]*)?\r?\n")
@@ -84,7 +86,7 @@ def expression(text: str, at: int, known: dict[str, int]) -> tuple[list[tuple[in
 
     A value is a chain of literals and names, joined by + or, if quoted, side by side; inside
     round or square brackets it goes on over lines, comments and commas. A literal is (first
-    place, place after, itself, all that it is joined to).
+    place, place after, itself, all that it is joined to). A name that is a target itself ends it.
     """
     literals: list[tuple[int, int, str, str]] = []
     refs: set[int] = set()
@@ -114,6 +116,9 @@ def expression(text: str, at: int, known: dict[str, int]) -> tuple[list[tuple[in
             k = next(k for k in (1, 2, 3) if m[k] is not None)
             chain.append((*m.span(k), m[k]))
             at, open_, beside = m.end(), False, True
+        elif open_ and (_NESTED if depth else _CHAINED).match(text, here):
+            close()
+            return literals, refs, here
         elif open_ and (m := _BARE.match(text, here)):
             word = m[0].rstrip("+")
             parts = word.split("+")
@@ -177,9 +182,12 @@ def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[int, int, int, f
         out |= {(m.start(), 1, m.end()): 1.0 for m in ACCESS.finditer(text)}
     out |= {(m.start(), 2, m.end()): 1.0 for m in HEX.finditer(text)}
     if ("=" in text or ":" in text) and any(w in low for w in SENSITIVE):
+        joined: dict[str, float] = {}  # of chains, scored once each
         for weight, literals in assignments(text):
             for start, end, value, whole in literals if weight else ():
-                score = weight * max(value_weight(value), value_weight(whole) if len(whole) > len(value) else 0.0)
+                if whole not in joined:
+                    joined[whole] = value_weight(whole)
+                score = weight * max(value_weight(value), joined[whole])
                 if score >= threshold:
                     place = (start, 3, end)
                     out[place] = max(score, out.get(place, 0.0))

@@ -1,5 +1,8 @@
 import hashlib
 import re
+import time
+
+import pytest
 
 from newsloom.llm import licenses as L
 from newsloom.llm import secrets as S
@@ -197,3 +200,18 @@ def test_wrapped_notices_against_sql(spark, tmp_path):
         for _ in range(3):
             assert label in got[k].labels.split(","), (label, k)
             k += 2
+
+
+@pytest.mark.parametrize("text", ["token: " + " | ".join(["x[y]"] * 10_000) + " !", "type Token = { token: " + " | ".join(["Array<A>"] * 10_000) + " }", "api_key = " + " + ".join(f'"p{i}"' for i in range(10_000)), "secret = [" + ", ".join(f"k{i} = v{i}" for i in range(10_000)) + "]"])
+def test_long_types_and_chains_take_little_time(text):
+    began = time.perf_counter()
+    S.scan(text)
+    assert time.perf_counter() - began < 1
+
+
+@pytest.mark.parametrize("text", ["user=admin&auth_key={}", "GET /a?x=1&auth_key={}&y=2", 'x = ("a", auth_key = "{}")', 'x = (auth_key="{}")', "f(1, auth_key={})", 'key = auth_key = "{}"', 'auth_key: str | None = "{}"', 'auth_key: Dict[str, List[int]] | X<Y> = "{}"', "auth_key = {}="])
+def test_targets_within_values(text):
+    value = "Zq8rT1vB6nM3kL0p9XyZ12"
+    at = text.index("{}")
+    spans = [(s, e) for s, k, e, _ in S.scan(text.format(value)) if k == 3]
+    assert any(s == at and e in (at + len(value), at + len(value) + 1) for s, e in spans), spans
