@@ -55,9 +55,13 @@ def parse_bracket(title: Column) -> Column:
     return F.struct(blank(F.try_element_at(parts, F.lit(1))).alias("outlet"), blank(F.try_element_at(parts, F.lit(2))).alias("journalist"), F.lower(title).contains("exclusive").alias("exclusive"))
 
 
+#: A run of capitalised words, with marked letters, apostrophes, dots and hyphens.
+_ENTITY = r"[A-Z][A-Za-zÀ-ÿ'.\-]*(?:\s+[A-Z][A-Za-zÀ-ÿ'.\-]*)+"
+
+
 def entities(text: Column) -> Column:
-    """Runs of two or more capitalised words, each once."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b([A-Z][a-z]+(?: [A-Z][a-z]+)+)"), F.lit(1)))
+    """Runs of two or more capitalised words in order, repeats included."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_ENTITY), F.lit(0))
 
 
 def slug(name: Column) -> Column:

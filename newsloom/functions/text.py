@@ -132,9 +132,14 @@ def cited_handles(text: Column) -> Column:
     return F.when(F.size(first) > 0, first).otherwise(second)
 
 
-def significant_words(text: Column, stop: list[str]) -> Column:
-    """Distinct lower-case words of more than three letters that are no stop words."""
-    words = F.split(F.lower(text), r"[^\p{L}0-9]+")
+#: Words of a post, and those that say nothing of what it is about.
+_WORD = r"[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ'\-]+"
+STOP_WORDS = "the a an and or to of in on for with set are is has have been will would from that this over amid could into out at as by".split()
+
+
+def significant_words(text: Column, stop: list[str] = STOP_WORDS) -> Column:
+    """Distinct words of four letters or more, in lower case, without stop words."""
+    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_WORD), F.lit(0)), F.lower)
     return F.array_distinct(F.filter(words, lambda w: (F.length(w) > 3) & ~w.isin(stop)))
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -17,3 +18,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="newsloom-checkpoint-"))
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name in the folder of spark.checkpoint.dir, or of our own where none is named and all runs in one process."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="newsloom-scratch-")
+    return f"{named.rstrip('/')}/{uuid.uuid4().hex}"

@@ -61,9 +61,9 @@ def parse_bracket(spark: SparkSession, sf: str) -> DataFrame:
     return articles(spark, sf).select("doc_id", N.parse_bracket(title).alias("b")).select("doc_id", "b.*")
 
 
-@query(r"SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '\b([A-Z][a-z]+(?: [A-Z][a-z]+)+)', 1))), '|') AS entities FROM documents")
+@query(r"SELECT doc_id, array_to_string(regexp_extract_all(text, '[A-Z][A-Za-zÀ-ÿ''.\-]*(?:\s+[A-Z][A-Za-zÀ-ÿ''.\-]*)+'), '|') AS entities FROM documents")
 def entity_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.array_join(F.array_sort(N.entities(F.col("text"))), "|").alias("entities"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(N.entities(F.col("text")), "|").alias("entities"))
 
 
 @query(
