@@ -26,17 +26,18 @@ def seconds(ts: Column) -> Column:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles; texts are read only where a query asks for them."""
-    return _articles(table(spark, sf_dir, "documents"))
+    return articles_of(table(spark, sf_dir, "documents"))
 
 
 def labelled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with quality, toxic and, where they are labelled, a translated title."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    rows = _articles(table(spark, sf_dir, "documents")).join(labels, "doc_id", "left")
+    rows = articles_of(table(spark, sf_dir, "documents")).join(labels, "doc_id", "left")
     return rows.withColumn("title_ko", F.when(F.col("quality").isNotNull(), F.col("title")))
 
 
-def _articles(docs: DataFrame) -> DataFrame:
+def articles_of(docs: DataFrame) -> DataFrame:
+    """The same of any rows of documents."""
     number = F.substring("source", 4, 9).cast("int")
     title = F.substring("text", 1, 80)
     fetched = F.timestamp_add("MINUTE", F.col("doc_id"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))

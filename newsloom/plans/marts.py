@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import state as S
-from newsloom.plans.bridge import ARTICLES, RUNS, articles, labelled_articles, registrar, runs, table, with_
+from newsloom.plans.bridge import ARTICLES, RUNS, articles, articles_of, labelled_articles, registrar, runs, table, with_
 
 Q, SQL, query = registrar()
 
@@ -108,8 +108,12 @@ def raw_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    return arrivals_of(table(spark, sf, "documents"))
+
+
+def arrivals_of(docs: DataFrame) -> DataFrame:
     """Articles as they arrive; two of three carry their source's one title, so that contents come again."""
-    a = articles(spark, sf)
+    a = articles_of(docs)
     title = F.when(F.col("doc_id") % 3 == 0, F.col("title")).otherwise(F.col("source"))
     return a.select("url", F.col("doc_id").alias("seq"), X.content_hash(title, F.col("url")).alias("content_hash"), F.col("lang").alias("source_id"), "body_level")
 

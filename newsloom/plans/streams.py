@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from newsloom.operators import promotion as P
 from newsloom.operators.lineage import scratch_folder
+from newsloom.plans import marts, views
 from newsloom.plans.bridge import registrar, table
 from newsloom.plans.resolving import DOMAINS
+from newsloom.streaming import revisions as V
 from newsloom.streaming.promotion import promotion_stream as promotions
 
 Q, SQL, query = registrar()
@@ -26,12 +28,18 @@ def arriving(spark: SparkSession, sf: str, name: str, files: int = 1000) -> Data
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{sf}/{name}.parque[t]")
 
 
-def drained(df: DataFrame) -> DataFrame:
-    """What the stream has emitted when all that is there has been read."""
-    folder = scratch_folder(df.sparkSession)
-    run = df.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out")
+def drained(df: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
+    """What the stream has emitted when all that is there has been read. settings: of the session, while it runs."""
+    spark = df.sparkSession
+    folder, before = scratch_folder(spark), {k: spark.conf.get(k, None) for k in settings or {}}
+    for k, v in (settings or {}).items():
+        spark.conf.set(k, v)
+    try:
+        df.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
 def with_last(rows: DataFrame, first: Column, at: str) -> DataFrame:
@@ -87,3 +95,12 @@ def promotion_stream(spark: SparkSession, sf: str) -> DataFrame:
     landed = with_last(_landed(arriving(spark, sf, "pages")), F.col("card") == "https://t.test/0", "at")
     found = promotions(posts, originals, landed, DOMAINS, wait="40 days")
     return drained(found.select("post_id", "original_id", "missed", "url", "outlet", "title"))
+
+
+@query(views.SQL["dedup_from_state"])
+def dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The first article of each url is the stored state at revision 5, the others arrive as a stream, French ones last."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("seq") * 60).alias("fetched_at")
+    stored = marts.arrivals(spark, sf).where("seq % 10 = 0").select("*", F.lit(5).alias("revision"), at)
+    items = marts.arrivals_of(arriving(spark, sf, "documents", files=1_000_000)).where("seq % 10 <> 0").select("*", at)
+    return drained(V.revisions_from(items, stored, idle_days=3650, last_sources=["fr"]), V.ROCKSDB)
