@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators import promotion as P
+from newsloom.operators import state as S
 from newsloom.operators.lineage import scratch_folder
 from newsloom.plans import marts, views
-from newsloom.plans.bridge import registrar, table
+from newsloom.plans.bridge import articles_of, registrar, table
 from newsloom.plans.resolving import DOMAINS
 from newsloom.streaming import revisions as V
+from newsloom.streaming import stores
 from newsloom.streaming.promotion import promotion_stream as promotions
 
 Q, SQL, query = registrar()
@@ -104,3 +106,45 @@ def dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
     stored = marts.arrivals(spark, sf).where("seq % 10 = 0").select("*", F.lit(5).alias("revision"), at)
     items = marts.arrivals_of(arriving(spark, sf, "documents", files=1_000_000)).where("seq % 10 <> 0").select("*", at)
     return drained(V.revisions_from(items, stored, idle_days=3650, last_sources=["fr"]), V.ROCKSDB)
+
+
+def _stored(rows: DataFrame, sink) -> None:
+    """The stream through the sink, until all that is there has been read."""
+    folder = scratch_folder(rows.sparkSession)
+    rows.writeStream.foreachBatch(sink).option("checkpointLocation", folder).trigger(availableNow=True).start().awaitTermination()
+
+
+def _replaced(keys: list[str]):
+    """Merge in which a new row takes the place of the old one with its key."""
+    return lambda old, new: old.join(new, keys, "left_anti").select(new.columns).unionByName(new)
+
+
+@query(marts.SQL["mart_upsert"])
+def store_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """A store that one stream fills with the first English article of each url and another upserts with the last of the others."""
+    path = scratch_folder(spark)
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        return S.upsert(old, new, "url", "title", ["doc_id", "tier"], ["title_ko"], ["stage"])
+
+    def rows(english: bool) -> DataFrame:
+        docs = arriving(spark, sf, "documents").where(F.col("lang").eqNullSafe("en") == english)
+        a = articles_of(docs).join(labels, "doc_id", "left")
+        ko = F.when(F.col("quality").isNotNull(), F.col("title")) if english else F.lit(None).cast("string")
+        return a.select("url", "title", "doc_id", "tier", ko.alias("title_ko"), "stage")
+
+    _stored(rows(True), stores.upsert_sink(path, ["url"], _replaced(["url"]), -F.col("doc_id"), "english", 16))
+    _stored(rows(False), stores.upsert_sink(path, ["url"], merge, F.col("doc_id"), "others", 16))
+    return stores.read_store(spark, path).select("url", "doc_id", "title", "tier", "title_ko", "stage")
+
+
+@query(views.SQL["link_upsert"])
+def link_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of articles and players: order lines beyond the second upsert those of the first two, the newest of a key in each."""
+    path = scratch_folder(spark)
+    order, keys = F.struct("at", -F.col("line")), ["article_id", "player_id"]
+    lines = lambda: arriving(spark, sf, "lineitem").select(F.col("l_orderkey").alias("article_id"), F.col("l_partkey").alias("player_id"), F.col("l_linestatus").alias("stage"), F.col("l_shipdate").alias("at"), F.col("l_linenumber").alias("line"))
+    _stored(lines().where("line <= 2"), stores.upsert_sink(path, keys, _replaced(keys), order, "first", 16))
+    _stored(lines().where("line > 2"), stores.upsert_sink(path, keys, _replaced(keys), order, "later", 16))
+    return stores.read_store(spark, path).select("article_id", "player_id", "stage")
