@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, pages, reading, repairs, resolving, serving, streams, views
+from newsloom.plans import marts, monitoring, pages, people, reading, repairs, resolving, serving, streams, views
 
-PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages, streams]
+PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages, people, streams]
 
 
 def queries() -> dict:
