@@ -68,17 +68,12 @@ def tier_key(tier: Column) -> Column:
     return F.coalesce(F.regexp_replace(tier.cast("double").cast("string"), r"\.0$", ""), F.lit(""))
 
 
-def facet_bucket(tier: Column, n: Column, least: int) -> Column:
-    """Where a facet's row stands: in its tier's group on the first screen, or folded away for too few articles."""
-    return F.when(n >= least, F.concat(F.lit("tier "), tier_key(tier))).otherwise("more")
-
-
-def reader_match(outlets: list[str] = (), journalists: list[str] = (), tiers: list[str] = (), stages: list[str] = (), other: bool = False, text: str = "") -> Column:
+def reader_match(outlets: list[str] = (), journalists: list[str] = (), tiers: list[str] = (), stages: list[str] = (), other: bool = False, text: str = "", badge: str | None = None) -> Column:
     """The reader's filter over outlet, journalists, tier, stage, direction and search_text.
 
     Outlets and journalists are one group: any of either. Without a choice a group lets all pass.
     Other items show if asked for, or if a source is chosen and no stage; a chosen stage shows
-    deals in or out, and collapsed ones.
+    deals in or out, and collapsed ones. badge: a column; items with a player's badge are not other.
     """
     by_source = bool(outlets or journalists)
     out = F.contains(F.col("search_text"), F.lit(text.strip().lower())) if text.strip() else F.lit(True)
@@ -88,7 +83,9 @@ def reader_match(outlets: list[str] = (), journalists: list[str] = (), tiers: li
         out = out & tier_key(F.col("tier")).isin(list(tiers))
     moved = (F.col("stage") == "collapsed") | F.col("direction").isin("in", "out")
     is_other = F.col("stage").isNull() | (F.col("stage") == "other")
-    staged = F.col("stage").isin(list(stages)) & moved if stages else F.lit(True)
+    if badge:
+        is_other = is_other & ~F.coalesce(F.col(badge), F.lit(False))
+    staged = F.coalesce(F.col("stage").isin(list(stages)) & moved, F.lit(False)) if stages else F.lit(True)
     return out & F.when(is_other, F.lit(bool(other or (by_source and not stages)))).otherwise(staged)
 
 
