@@ -47,12 +47,25 @@ def is_womens(title: Column, body: Column) -> Column:
     return F.coalesce(title, F.lit("")).rlike(pattern) | F.substring(F.coalesce(body, F.lit("")), 1, 400).rlike(pattern)
 
 
+#: Marks of an exclusive report, and outlets as a bracket spells them.
+EXCLUSIVE = ["독점", "단독"]
+OUTLET_SPELLINGS = {
+    "디 애슬레틱": "The Athletic", "디애슬레틱": "The Athletic", "디 애슬래틱": "The Athletic", "디애슬래틱": "The Athletic", "The Athletic": "The Athletic",
+    "골닷컴": "Goal.com", "르퀴프": "L'Équipe", "레퀴프": "L'Équipe", "인디펜던트": "The Independent", "디 인디펜던트": "The Independent",
+    "텔레그래프": "The Telegraph", "DM": "Daily Mail", "비사커": "BeSoccer", "타임스": "The Times", "타임즈": "The Times",
+}
+
+
 def parse_bracket(title: Column) -> Column:
-    """outlet, journalist and exclusive of a title like `[Outlet - Name] (Exclusive) ...`."""
-    head = F.regexp_extract(title, r"^\s*\[([^\]]*)\]", 1)
-    parts = F.split(head, r"\s*-\s*", 2)
-    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
-    return F.struct(blank(F.try_element_at(parts, F.lit(1))).alias("outlet"), blank(F.try_element_at(parts, F.lit(2))).alias("journalist"), F.lower(title).contains("exclusive").alias("exclusive"))
+    """outlet, journalist and exclusive of a title's leading bracket: `[Outlet]`, `[Outlet - Name]`, either with a mark."""
+    inner = F.trim(F.regexp_extract(title, r"^\s*\[([^\]]+)\]", 1))
+    exclusive, bare = F.lit(False), inner
+    for mark in EXCLUSIVE:
+        exclusive, bare = exclusive | F.contains(inner, F.lit(mark)), F.replace(bare, F.lit(mark), F.lit(""))
+    parts = F.split(bare, r"\s*-\s*", 2)
+    stripped = lambda i: F.nullif(F.btrim(F.try_element_at(parts, F.lit(i)), F.lit(" -")), F.lit(""))
+    spelt = F.create_map(*[F.lit(x) for kv in OUTLET_SPELLINGS.items() for x in kv])
+    return F.struct(F.coalesce(spelt[stripped(1)], stripped(1)).alias("outlet"), stripped(2).alias("journalist"), F.coalesce(exclusive, F.lit(False)).alias("exclusive"))
 
 
 #: A run of capitalised words, with marked letters, apostrophes, dots and hyphens.

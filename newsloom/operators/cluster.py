@@ -50,12 +50,21 @@ def top_stories(rows: DataFrame, event: str, now: str, mains: int = 4) -> DataFr
     return placed.select(F.col("k.doc_id").alias("doc_id"), F.when(F.col("place") == 1, 1).otherwise(1 + later).alias("slot"))
 
 
+def ladder_key() -> Column:
+    """Named in the title first, then the best tier, then the latest."""
+    unnamed = (~F.coalesce("named", F.lit(False))).cast("int")
+    return F.struct(unnamed.alias("u"), F.coalesce("tier", F.lit(99.0)).alias("t"), (-_micros("extracted_at")).alias("x"), F.col("article_id").alias("article_id"), F.col("line").alias("line"))
+
+
 def stage_ladder(rows: DataFrame) -> DataFrame:
-    """Best link of each player and display group, and the group's size."""
+    """Best link of each player and display group, and the group's size.
+
+    rows: player_id, stage, article_id, line, named (the player's name is in the title), tier,
+    extracted_at; without mentions. An article of the player goes before one that only holds them.
+    """
     group = F.coalesce(F.create_map(*[F.lit(x) for kv in V.STAGE_GROUP.items() for x in kv])[F.col("stage")], F.col("stage"))
     shown = rows.where(~F.col("stage").isin("collapsed", "other")).withColumn("stage_group", group)
-    key = F.struct(F.when(F.col("role") == "mention", 1).otherwise(0).alias("m"), F.coalesce("tier", F.lit(99.0)).alias("t"), (-_micros("extracted_at")).alias("x"), F.col("article_id").alias("article_id"), F.col("line").alias("line"))
-    best = shown.groupBy("player_id", "stage_group").agg(F.min(key).alias("k"), F.count("*").alias("n"))
+    best = shown.groupBy("player_id", "stage_group").agg(F.min(ladder_key()).alias("k"), F.count("*").alias("n"))
     return best.select("player_id", "stage_group", "k.article_id", "k.line", "n")
 
 
@@ -90,13 +99,12 @@ def event_cards(rows: DataFrame, cluster: str, row_id: str) -> DataFrame:
 def player_entries(rows: DataFrame) -> DataFrame:
     """A row a player with links beyond mentions: n, last_day, stages, and the collapsed report that the roster backs.
 
-    rows: player_id, status, article_id, line, stage, role, tier, extracted_at.
+    rows: player_id, status, article_id, line, stage, role, named, tier, extracted_at.
     """
     own = rows.where("role <> 'mention'")
     backed = (F.col("stage") == "collapsed") & F.col("status").isin("link_dropped", "other_club")
-    key = F.struct(F.coalesce("tier", F.lit(99.0)).alias("t"), (-_micros("extracted_at")).alias("x"), F.col("article_id").alias("article_id"), F.col("line").alias("line"))
     stages = F.array_join(F.array_sort(F.collect_set("stage")), ",")  # ten at most
-    per = own.groupBy("player_id").agg(F.count("*").alias("n"), F.date_format(F.max("extracted_at"), "yyyy-MM-dd").alias("last_day"), stages.alias("stages"), F.min(F.when(backed, key)).alias("ended"), F.count_if(backed).alias("ended_n"))
+    per = own.groupBy("player_id").agg(F.count("*").alias("n"), F.date_format(F.max("extracted_at"), "yyyy-MM-dd").alias("last_day"), stages.alias("stages"), F.min(F.when(backed, ladder_key())).alias("ended"), F.count_if(backed).alias("ended_n"))
     return per.select("player_id", "n", "last_day", "stages", F.col("ended.article_id").alias("ended_article"), F.when(F.col("ended_n") > 0, F.col("ended_n")).alias("ended_n"))
 
 

@@ -24,7 +24,12 @@ def tier_by_handles(items: DataFrame, handles: Column, registry: DataFrame, fall
 
 def tier_by_substring(text: Column, registry: list[tuple[str, float]]) -> Column:
     """Least tier of the names that the squashed text contains. The registry is a short list of literals."""
-    squashed = X.squashed(text)
+    return least_tier(X.squashed(text), registry)
+
+
+def least_tier(squashed: Column, registry: list[tuple[str, float]]) -> Column:
+    if not registry:
+        return F.lit(None).cast("double")
     names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("tier")) for n, t in registry])
     return F.array_min(F.transform(F.filter(names, lambda r: F.contains(squashed, r["name"])), lambda r: r["tier"]))
 
@@ -176,18 +181,20 @@ def resolve_tier(mode: Column, text: Column, title: Column, body: Column, outlet
 
     x_mentions: the least tier of registered handles, else the outlet's, else the fallback.
     fmkorea: the least tier of journalists in title or body, else of outlets in the title, else 4.
-    Any other: the source's own, or a registered journalist's if lower and affiliated with the source.
+    Any other: the source's own, or a registered journalist's if lower and affiliated with the
+    source; none for a source without a tier.
     The registry is a dimension of literals, so nothing is joined.
     """
     handles = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(@\w+)"), F.lit(1)), X.squashed)
     cited = F.array_min(F.array_compact(F.transform(handles, lambda h: _lookup(known.journalists, h))))
     mentioned = F.coalesce(cited, _lookup(known.outlets, X.norm_alias(F.coalesce(outlet, F.lit("")))), fallback)
     filled = lambda c: F.coalesce(c, F.lit(""))
-    named = tier_by_substring(F.concat(filled(title), F.lit("\n"), filled(body)), list(known.journalists.items()))
-    found = F.coalesce(named, tier_by_substring(filled(title), list(known.outlets.items())), F.lit(4.0))
+    head = X.squashed(filled(title))
+    both = F.concat(head, F.lit(" "), X.squashed(filled(body)))  # no name reaches over from the title to the body
+    found = F.coalesce(least_tier(both, list(known.journalists.items())), least_tier(head, list(known.outlets.items())), F.lit(4.0))
     key = X.norm_alias(journalist)
     affiliated = _lookup(known.affiliations, key).cast("string") == source_outlet
-    fixed = F.when(affiliated & _lookup(known.journalists, key).isNotNull(), F.least(tier, _lookup(known.journalists, key))).otherwise(tier)
+    fixed = F.when(tier.isNotNull() & affiliated & _lookup(known.journalists, key).isNotNull(), F.least(tier, _lookup(known.journalists, key))).otherwise(tier)
     return F.when(mode == "x_mentions", mentioned).when(mode == "fmkorea", found).otherwise(fixed)
 
 

@@ -116,6 +116,17 @@ LINKS = f"""links AS (SELECT l_orderkey AS article_id, l_partkey AS player_id, l
        list_extract({_list(V.TIERS)}, CAST(l_suppkey % 6 + 1 AS INTEGER))::DOUBLE AS tier FROM lineitem)"""
 
 
+def named_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links with surname, status and named: an article's title is the name of the player on its first line."""
+    found = links(spark, sf_dir).join(players(spark, sf_dir).select("player_id", "full_name", "surname", "status"), "player_id")
+    titles = found.where("line = 1").select("article_id", F.col("full_name").alias("title"))
+    return found.drop("full_name").join(titles, "article_id", "left").withColumn("named", F.coalesce(F.contains("title", "surname"), F.lit(False)))
+
+
+NAMED_LINKS = """named_links AS (SELECT l.*, p.surname, p.status, coalesce(contains(t.full_name, p.surname), FALSE) AS named FROM links l JOIN players p USING (player_id)
+LEFT JOIN (SELECT article_id, full_name FROM links JOIN players USING (player_id) WHERE line = 1) t ON t.article_id = l.article_id)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

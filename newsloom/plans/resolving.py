@@ -9,7 +9,7 @@ from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import cluster as C
 from newsloom.operators import resolve as R
-from newsloom.plans.bridge import ARTICLES, LINKS, PLAYERS, articles, links, players, registrar, seconds, table, with_
+from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, PLAYERS, articles, links, named_links, players, registrar, seconds, table, with_
 
 Q, SQL, query = registrar()
 
@@ -143,11 +143,11 @@ _GROUP = "CASE stage WHEN 'agreed' THEN 'agreed' WHEN 'medical' THEN 'agreed' WH
 
 
 @query(
-    with_(LINKS)
-    + f"SELECT player_id, grp AS stage_group, article_id, line, n FROM (SELECT *, row_number() OVER (PARTITION BY player_id, grp ORDER BY (role = 'mention')::INTEGER, coalesce(tier, 99), extracted_at DESC, article_id, line) AS r, count(*) OVER (PARTITION BY player_id, grp) AS n FROM (SELECT *, {_GROUP} AS grp FROM links WHERE stage NOT IN ('collapsed', 'other'))) WHERE r = 1"
+    with_(LINKS, PLAYERS, NAMED_LINKS)
+    + f"SELECT player_id, grp AS stage_group, article_id, line, n FROM (SELECT *, row_number() OVER (PARTITION BY player_id, grp ORDER BY named DESC, coalesce(tier, 99), extracted_at DESC, article_id, line) AS r, count(*) OVER (PARTITION BY player_id, grp) AS n FROM (SELECT *, {_GROUP} AS grp FROM named_links WHERE role <> 'mention' AND stage NOT IN ('collapsed', 'other'))) WHERE r = 1"
 )
 def stage_ladder(spark: SparkSession, sf: str) -> DataFrame:
-    rows = links(spark, sf).select("player_id", "stage", "article_id", "line", "role", "tier", "extracted_at")
+    rows = named_links(spark, sf).where("role <> 'mention'").select("player_id", "stage", "article_id", "line", "named", "tier", "extracted_at")
     return C.stage_ladder(rows).select("player_id", "stage_group", "article_id", "line", "n")
 
 

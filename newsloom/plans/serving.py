@@ -47,17 +47,18 @@ def queue_routes(spark: SparkSession, sf: str) -> DataFrame:
     return articles(spark, sf).groupBy(route.alias("route")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
-_BRACKETED = "'[' || source || ' - ' || CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END || '] ' || CASE WHEN doc_id % 5 = 0 THEN '(Exclusive) ' ELSE '' END || title"
-
-
 @query(
-    with_(ARTICLES, f"b AS (SELECT doc_id, {_BRACKETED} AS title FROM articles)")
-    + r"SELECT doc_id, nullif(trim(regexp_extract(title, '^\s*\[([^\]]*?)\s*-\s*([^\]]*)\]', 1)), '') AS outlet, nullif(trim(regexp_extract(title, '^\s*\[([^\]]*?)\s*-\s*([^\]]*)\]', 2)), '') AS journalist, contains(lower(title), 'exclusive') AS exclusive FROM b"
+    with_(ARTICLES)
+    + """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'The Athletic' ELSE source END AS outlet, CASE WHEN doc_id % 11 <> 0 AND doc_id % 7 <> 0 AND doc_id % 3 <> 0 THEN lang END AS journalist,
+  doc_id % 11 <> 0 AND (doc_id % 7 = 0 OR doc_id % 5 = 0) AS exclusive FROM articles"""
 )
 def parse_bracket(spark: SparkSession, sf: str) -> DataFrame:
-    name = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang"))
-    mark = F.when(F.col("doc_id") % 5 == 0, "(Exclusive) ").otherwise("")
-    title = F.concat(F.lit("["), F.col("source"), F.lit(" - "), name, F.lit("] "), mark, F.col("title"))
+    """Titles with a bracket of outlet and journalist, some with a mark in it, others with the mark elsewhere or no bracket."""
+    d, lit = F.col("doc_id"), F.lit
+    mark = F.when(d % 5 == 0, " 단독").otherwise("")
+    name = F.when(d % 3 == 0, "").otherwise(F.col("lang"))
+    inner = F.when(d % 7 == 0, "디 애슬레틱-독점").otherwise(F.concat("source", lit(" - "), name, mark))
+    title = F.when(d % 11 == 0, F.concat(lit("단독 "), F.regexp_replace("title", r"[\[\]]", ""))).otherwise(F.concat(lit(" ["), inner, lit("]독점 "), "title"))
     return articles(spark, sf).select("doc_id", N.parse_bracket(title).alias("b")).select("doc_id", "b.*")
 
 

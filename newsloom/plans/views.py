@@ -13,7 +13,7 @@ from newsloom.operators import cluster as C
 from newsloom.operators import facets as A
 from newsloom.operators import resolve as R
 from newsloom.operators import state as S
-from newsloom.plans.bridge import ARTICLES, LINKS, NOW, PLAYERS, articles, labelled_articles, links, players, registrar, table, with_
+from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, NOW, PLAYERS, articles, labelled_articles, links, named_links, players, registrar, table, with_
 from newsloom.plans.marts import arrivals
 from newsloom.plans.reading import _GRAMS, _NUMBERS, TURNS, turns
 from newsloom.plans.resolving import _RANK
@@ -82,17 +82,17 @@ _SQUASHED = lambda c: rf"lower(regexp_replace(coalesce({c}, ''), '\s+', '', 'g')
     with_(ARTICLES, f"s AS (SELECT *, {_SQUASHED('title')} AS t, {_SQUASHED('text')} AS b FROM articles)")
     + """SELECT doc_id, (CASE doc_id % 3
   WHEN 0 THEN coalesce(least(CASE source WHEN 'src1' THEN 1.0 WHEN 'src2' THEN 0.5 END, CASE lang WHEN 'fr' THEN 2.0 END), CASE source WHEN 'src4' THEN 1.5 WHEN 'src5' THEN 3.0 END, CASE WHEN doc_id % 2 = 0 THEN 3.5 END)
-  WHEN 1 THEN coalesce(least(CASE WHEN contains(t || b, 'thering') OR contains(t, 'srcone') OR contains(b, 'srcone') THEN 1.0 END, CASE WHEN contains(t, 'src2') OR contains(b, 'src2') THEN 0.5 END, CASE WHEN contains(t || b, '@src1') THEN 1.0 END, CASE WHEN contains(t || b, '@fr') OR contains(t || b, 'fr') THEN 2.0 END), least(CASE WHEN contains(t, 'eredin') OR contains(t, 'src4') THEN 1.5 END, CASE WHEN contains(t, 'oftheand') OR contains(t, 'src5') THEN 3.0 END), 4.0)
-  ELSE CASE WHEN source = 'src2' AND doc_id % 2 = 0 THEN least(0.5, tier) ELSE tier END END)::DOUBLE AS tier FROM s"""
+  WHEN 1 THEN coalesce(least(CASE WHEN contains(t || ' ' || b, 'thering') OR contains(t, 'srcone') OR contains(b, 'srcone') THEN 1.0 END, CASE WHEN contains(t, 'src2') OR contains(b, 'src2') THEN 0.5 END, CASE WHEN contains(t || ' ' || b, '@src1') THEN 1.0 END, CASE WHEN contains(t || ' ' || b, '@fr') OR contains(t || ' ' || b, 'fr') THEN 2.0 END), least(CASE WHEN contains(t, 'eredin') OR contains(t, 'src4') THEN 1.5 END, CASE WHEN contains(t, 'oftheand') OR contains(t, 'src5') THEN 3.0 END), 4.0)
+  ELSE CASE WHEN doc_id % 7 = 0 THEN NULL WHEN source = 'src2' AND doc_id % 2 = 0 THEN least(0.5, tier) ELSE tier END END)::DOUBLE AS tier FROM s"""
 )
 def tier_resolution(spark: SparkSession, sf: str) -> DataFrame:
-    """All three modes over one table; a source's journalist is the source itself, of the south in every second item."""
+    """All three modes over one table; a source's journalist is the source itself, of the south in every second item. Some sources have no tier."""
     known = R.registry(JOURNALISTS, OUTLETS)
     c = F.col
     mode = F.when(c("doc_id") % 3 == 0, "x_mentions").when(c("doc_id") % 3 == 1, "fmkorea").otherwise("fixed")
     text = F.concat(F.lit("@"), c("source"), F.lit(" and @"), c("lang"))
     place = F.when(c("doc_id") % 2 == 0, "south").otherwise("north")
-    tier = R.resolve_tier(mode, text, c("title"), c("text"), c("source"), F.when(c("doc_id") % 2 == 0, 3.5), c("tier"), place, c("source"), known)
+    tier = R.resolve_tier(mode, text, c("title"), c("text"), c("source"), F.when(c("doc_id") % 2 == 0, 3.5), F.when(c("doc_id") % 7 != 0, c("tier")), place, c("source"), known)
     return articles(spark, sf).select("doc_id", tier.alias("tier"))
 
 
@@ -161,14 +161,13 @@ def event_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    with_(LINKS, PLAYERS, "l AS (SELECT * FROM links JOIN players USING (player_id) WHERE role <> 'mention')", "e AS (SELECT player_id, article_id, line, row_number() OVER (PARTITION BY player_id ORDER BY coalesce(tier, 99), extracted_at DESC, article_id, line) AS r, count(*) OVER (PARTITION BY player_id) AS k FROM l WHERE stage = 'collapsed' AND status IN ('link_dropped', 'other_club'))")
+    with_(LINKS, PLAYERS, NAMED_LINKS, "l AS (SELECT * FROM named_links WHERE role <> 'mention')", "e AS (SELECT player_id, article_id, line, row_number() OVER (PARTITION BY player_id ORDER BY named DESC, coalesce(tier, 99), extracted_at DESC, article_id, line) AS r, count(*) OVER (PARTITION BY player_id) AS k FROM l WHERE stage = 'collapsed' AND status IN ('link_dropped', 'other_club'))")
     + """SELECT player_id, count(*) AS n, strftime(max(extracted_at), '%Y-%m-%d') AS last_day, array_to_string(list_sort(list_distinct(list(stage))), ',') AS stages, any_value(e.article_id) AS ended_article, any_value(e.k) AS ended_n
 FROM l LEFT JOIN (SELECT player_id, article_id, k FROM e WHERE r = 1) e USING (player_id) GROUP BY player_id"""
 )
 def player_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Players with links beyond mentions: how many, the last day, stages, and the collapsed report that the roster backs."""
-    rows = links(spark, sf).join(players(spark, sf).select("player_id", "status"), "player_id")
-    return C.player_entries(rows)
+    return C.player_entries(named_links(spark, sf))
 
 
 @query(

@@ -8,6 +8,7 @@ from newsloom.functions import adapters as A
 from newsloom.functions import html as H
 from newsloom.functions import news as N
 from newsloom.functions import text as X
+from newsloom.operators import cluster as C
 from newsloom.operators import monitor as M
 from newsloom.operators import resolve as R
 from newsloom.operators import state as S
@@ -160,8 +161,10 @@ def test_news_columns(spark):
     assert one(spark, N.protagonist(F.lit("Ann and Bob move on to Cid"), ["Ann", "Bob", "Cid"], ["move"])) == "Cid"
     assert one(spark, N.protagonist(F.lit("Bob and Ann"), ["Ann", "Bob"], ["move"])) == "Bob"
     assert one(spark, N.longest_name(F.lit("at New York City"), ["York", "New York"])) == "New York"
-    got = one(spark, N.parse_bracket(F.lit("[Post - Lee] (Exclusive) deal")))
-    assert tuple(got) == ("Post", "Lee", True)
+    cases = {"[Post - Lee] (Exclusive) deal": ("Post", "Lee", False), "[디 애슬레틱 - 온스테인] x": ("The Athletic", "온스테인", False), "[디 애슬레틱-단독]x": ("The Athletic", None, True), " [독점 텔레그래프] x": ("The Telegraph", None, True), "[공홈] x": ("공홈", None, False), "no [Post] 단독": (None, None, False), "[ - ] x": (None, None, False), "": (None, None, False)}
+    for title, want in cases.items():
+        assert tuple(one(spark, N.parse_bracket(F.lit(title)))) == want
+    assert tuple(one(spark, N.parse_bracket(F.lit(None).cast("string")))) == (None, None, False)
     assert one(spark, N.linked_label(F.lit("A|B|C"))) == "A and 2 more"
     assert one(spark, N.gate_verdict(F.lit("5 up"), F.lit("5 down"))).ok
 
@@ -204,3 +207,27 @@ def test_fuzzy_duplicates_brute(spark):
         }
         got = [tuple(r) for r in R.fuzzy_duplicates(rows, most).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_tiers(spark):
+    entry = {"name": "Src One", "aliases": ["@src1"], "tier": 1.0, "outlet": "north"}
+    known, none = R.registry([entry], [{"name": "Post", "aliases": ["post"], "tier": 2.0}]), R.registry([], [])
+    text = lambda x: F.lit(x).cast("string")
+
+    def tier(mode, known=known, said=None, title=None, body=None, outlet=None, fallback=None, own=None, place=None, journalist=None):
+        num = lambda x: F.lit(x).cast("double")
+        return one(spark, R.resolve_tier(F.lit(mode), text(said), text(title), text(body), text(outlet), num(fallback), num(own), text(place), text(journalist), known))
+
+    assert tier("fmkorea", title="news of src", body="one more thing") == 4.0  # no name over the border
+    assert tier("fmkorea", title="news of s rc", body="by SRC ONE") == 1.0
+    assert tier("fmkorea", title="the po st says", body="x") == 2.0 and tier("fmkorea", body="the post") == 4.0
+    assert tier("fixed", own=3.0, place="north", journalist="Src One") == 1.0
+    assert tier("fixed", own=3.0, place="south", journalist="Src One") == 3.0
+    assert tier("fixed", place="north", journalist="Src One") is None  # a source without a tier
+    assert tier("x_mentions", said="by @SRC1") == 1.0 and tier("x_mentions", outlet="Post") == 2.0 and tier("x_mentions", fallback=3.5) == 3.5
+    assert tier("fmkorea", none, title="x", body="y") == 4.0 and tier("x_mentions", none, said="@src1") is None and tier("fixed", none, own=2.0, journalist="x") == 2.0
+
+
+def test_ladder_prefers_the_player_in_the_title(spark):
+    rows = spark.createDataFrame([(1, "done", 7, 1, False, 0.0, "2024-01-05"), (1, "done", 8, 1, True, 4.0, "2024-01-01"), (1, "done", 9, 1, True, 4.0, "2024-01-02"), (1, "done", 10, 1, None, None, "2024-01-09")], "player_id int, stage string, article_id int, line int, named boolean, tier double, extracted_at string").withColumn("extracted_at", F.col("extracted_at").cast("timestamp"))
+    assert [tuple(r) for r in C.stage_ladder(rows).collect()] == [(1, "done", 9, 1, 4)]
