@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, pages, people, reading, repairs, resolving, serving, sidebar, streams, views
+from newsloom.plans import marts, monitoring, names, pages, people, reading, repairs, resolving, serving, sidebar, streams, views
 
-PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages, people, streams, sidebar]
+PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages, people, streams, sidebar, names]
 
 
 def queries() -> dict:
