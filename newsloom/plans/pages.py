@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.functions import bylines as B
 from newsloom.operators import pages as P
-from newsloom.plans.bridge import registrar, table
+from newsloom.plans.bridge import ARTICLES, articles, registrar, table, with_
 
 Q, SQL, query = registrar()
 
@@ -47,3 +48,27 @@ def page_bylines(spark: SparkSession, sf: str) -> DataFrame:
     """Authors and publish times of all pages; times past the fetch are left out."""
     found = P.page_bylines(planted_pages(spark, sf), fetched="fetched_at")
     return found.select("page_id", F.array_join("authors", "|").alias("authors"), F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published_at"), "precision")
+
+
+@query(
+    with_(ARTICLES)
+    + """SELECT doc_id, array_to_string(CASE doc_id % 9 WHEN 0 THEN ['Ann ' || upper(lang)] WHEN 1 THEN ['Ann de Ro', 'Bo ' || upper(lang)] WHEN 2 THEN ['X' || source, 'Cy Dee', 'Mario Ray'] WHEN 3 THEN ['KIM LEE'] WHEN 4 THEN ['데이비드 온스테인'] WHEN 5 THEN ['로리 휘트웰', '베렌 크로스'] WHEN 6 THEN ['사이먼 존슨', '제이콥 탠스웰'] WHEN 7 THEN ['Alex Howell'] ELSE [] END, '|') AS authors,
+  CASE doc_id % 9 WHEN 0 THEN 'By Ann ' || upper(lang) || rtrim(' , ' || coalesce(left(title, 20), '')) WHEN 1 THEN 'By Ann de Ro and Bo ' || upper(lang) || ' x' END AS cleaned FROM articles"""
+)
+def body_bylines(spark: SparkSession, sf: str) -> DataFrame:
+    """Authors of bodies that begin with bylines of all forms, and two of them without their publish times."""
+    lang, lit, head = F.upper("lang"), F.lit, F.concat(F.lit(", "), F.coalesce(F.substr("title", F.lit(1), F.lit(20)), F.lit("")))
+    forms = [
+        F.concat(lit("By Ann "), lang, lit(" June 19, 2026 3:19 am "), head),
+        F.concat(lit("By Ann de Ro and Bo "), lang, lit(" July 3, 2026 Updated 2:46 am x")),
+        F.concat(lit("(left) By X"), "source", lit(", Cy Dee and Mario Ray Aug 3, 2026 "), head),
+        F.concat(lit("By KIM LEE, MAIL SPORT REPORTER. "), head),
+        F.concat(lit("By 데이비드 온스테인 얀 디오망데는 이번 여름에 떠난다"), head),
+        lit("글: 로리 휘트웰, 베렌 크로스"),
+        F.concat(lit("(사이먼 존슨, 제이콥 탠스웰) 알 힐랄이 "), head),
+        F.concat(lit("Alex Howell Arsenal reporter With a squad"), head),
+        F.concat(lit("told reporters that "), F.lower(F.coalesce("title", lit("")))),
+    ]
+    body = F.element_at(F.array(*forms), (F.col("doc_id") % 9 + 1).cast("int"))
+    cleaned = F.when(F.col("doc_id") % 9 < 2, B.without_publish_time(body))
+    return articles(spark, sf).select("doc_id", F.array_join(B.body_authors(body), "|").alias("authors"), cleaned.alias("cleaned"))
