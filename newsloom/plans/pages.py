@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import bylines as B
 from newsloom.operators import pages as P
 from newsloom.plans.bridge import ARTICLES, articles, registrar, table, with_
+from newsloom.sources import isolated as L
 
 Q, SQL, query = registrar()
 
@@ -72,3 +73,14 @@ def body_bylines(spark: SparkSession, sf: str) -> DataFrame:
     body = F.element_at(F.array(*forms), (F.col("doc_id") % 9 + 1).cast("int"))
     cleaned = F.when(F.col("doc_id") % 9 < 2, B.without_publish_time(body))
     return articles(spark, sf).select("doc_id", F.array_join(B.body_authors(body), "|").alias("authors"), cleaned.alias("cleaned"))
+
+
+@query(
+    r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?is)<a\b[^>]*>.*?</a>'), 1) AS n FROM pages),
+h AS (SELECT page_id, n, regexp_extract(a, '(?i)href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(a, '<[^>]+>', '', 'g'), '\s+', ' ', 'g')) AS text FROM a),
+u AS (SELECT page_id, CASE WHEN regexp_matches(href, '(?i)^https?://') THEN href ELSE 'https://s.test/' || regexp_replace(href, '^/+', '') END AS url, arg_min(text, n) AS text FROM h WHERE href <> '' GROUP BY ALL)
+SELECT page_id, url, text FROM u WHERE text <> '' AND (contains(lower(text), 'the') OR contains(lower(text), 'ie'))"""
+)
+def listed_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links of every page, each address once, with a text that has one of two keywords."""
+    return L.listed(L.anchors(table(spark, sf, "pages"), "page_id"), ["page_id"], "https://s.test", ["The", "ie"], []).select("page_id", "url", "text")
