@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import cluster as C
+from newsloom.operators import ordered as O
 from newsloom.operators import resolve as R
 from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, PLAYERS, articles, links, named_links, players, registrar, seconds, table, with_
 
@@ -169,10 +170,8 @@ def current_stage(spark: SparkSession, sf: str) -> DataFrame:
 )
 def neighbor_window(spark: SparkSession, sf: str) -> DataFrame:
     """Five rows around each article of its source, held within the ends."""
-    w = Window.partitionBy("source")
-    o = articles(spark, sf).select("doc_id", "source", "published_at")
-    o = o.withColumn("i", F.row_number().over(w.orderBy(F.desc("published_at"), "doc_id")).cast("long") - 1).withColumn("n", F.count("*").over(w))
-    first = F.greatest(F.lit(0), F.least(F.col("i") - 2, F.col("n") - 5))
-    return o.select("doc_id", F.col("i").alias("idx"), first.alias("first_idx"), F.least(F.col("n"), first + 5).alias("after_idx"))
+    a = articles(spark, sf).select("doc_id", "source", (-seconds(F.col("published_at"))).alias("age"))
+    first, after = O.window_around(F.col("place"), F.col("size"), 5)
+    return O.numbered(a, "source", [F.col("age"), F.col("doc_id")]).select("row.doc_id", F.col("place").alias("idx"), first.alias("first_idx"), after.alias("after_idx"))
 
 

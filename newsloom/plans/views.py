@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import items as I
@@ -11,9 +11,10 @@ from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import cluster as C
 from newsloom.operators import facets as A
+from newsloom.operators import ordered as O
 from newsloom.operators import resolve as R
 from newsloom.operators import state as S
-from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, NOW, PLAYERS, articles, labelled_articles, links, named_links, players, registrar, table, with_
+from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, NOW, PLAYERS, articles, labelled_articles, links, named_links, players, registrar, seconds, table, with_
 from newsloom.plans.marts import arrivals
 from newsloom.plans.reading import _GRAMS, _NUMBERS, TURNS, turns
 from newsloom.plans.resolving import _RANK
@@ -355,9 +356,7 @@ def confirmed_roster(spark: SparkSession, sf: str) -> DataFrame:
     + "SELECT b.doc_id, b.source, o.doc_id AS neighbor_id FROM b JOIN o ON o.source = b.source AND o.i >= b.low AND o.i < b.low + 5 AND o.doc_id <> b.doc_id"
 )
 def neighbors(spark: SparkSession, sf: str) -> DataFrame:
-    """The other articles of the window of five around each one of its source; a source's rows are dealt by their place."""
-    w = Window.partitionBy("source")
-    o = articles(spark, sf).select("doc_id", "source", F.row_number().over(w.orderBy(F.desc("published_at"), "doc_id")).alias("i"), F.count("*").over(w).alias("n"))
-    low = F.greatest(F.lit(1), F.least(F.col("i") - 2, F.col("n") - 4))
-    asked = o.select("doc_id", "source", F.explode(F.sequence(low, F.least(F.col("n"), low + 4))).alias("i"))
-    return asked.join(o.select("source", "i", F.col("doc_id").alias("neighbor_id")), ["source", "i"]).where("doc_id <> neighbor_id").select("doc_id", "source", "neighbor_id")
+    """The other articles of the window of five around each one of its source."""
+    a = articles(spark, sf).select("doc_id", "source", (-seconds(F.col("published_at"))).alias("age"))
+    near = O.neighbours(a, "source", [F.col("age"), F.col("doc_id")])
+    return near.select("row.doc_id", "row.source", F.explode("others.doc_id").alias("neighbor_id"))
