@@ -16,7 +16,11 @@ _LD = "<script type='application/ld+json'>%s</script>"
 
 
 def planted_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """All pages, whose heads have no JSON-LD of their own, with one of eight kinds of it by page_id; fetched_at is its base time."""
+    return planted(table(spark, sf, "pages"))
+
+
+def planted(rows: DataFrame) -> DataFrame:
+    """Pages, whose heads have no JSON-LD of their own, with one of eight kinds of it by page_id; fetched_at is its base time."""
     at = F.timestamp_add("HOUR", F.col("page_id"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))
     one, two = F.concat(F.lit("Ann "), F.col("page_id")), F.concat(F.lit("Bo "), F.regexp_extract("url", "://([^/]+)", 1))
     iso = lambda zone: F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(zone))
@@ -36,7 +40,7 @@ def planted_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(""),
     ]
     kind = F.element_at(F.array(*kinds), (F.col("page_id") % 8 + 1).cast("int"))
-    return table(spark, sf, "pages").select("page_id", at.alias("fetched_at"), F.replace("html", F.lit("<head>"), F.concat(F.lit("<head>"), kind)).alias("html"))
+    return rows.select("page_id", at.alias("fetched_at"), F.replace("html", F.lit("<head>"), F.concat(F.lit("<head>"), kind)).alias("html"))
 
 
 _PLANTED = """p AS (SELECT page_id, page_id % 8 AS kind, 'Ann ' || page_id AS one, 'Bo ' || regexp_extract(url, '://([^/]+)', 1) AS two, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id) AS base FROM pages),

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from newsloom.operators import promotion as P
 from newsloom.operators import state as S
 from newsloom.operators.lineage import scratch_folder
-from newsloom.plans import marts, views
-from newsloom.plans.bridge import articles_of, registrar, table
+from newsloom.operators import pages as G
+from newsloom.operators.converge import converge
+from newsloom.plans import marts, pages, views
+from newsloom.plans.bridge import ARTICLES, articles, articles_of, registrar, table
 from newsloom.plans.resolving import DOMAINS
 from newsloom.streaming import revisions as V
-from newsloom.streaming import stores
+from newsloom.streaming import stores, worklists
 from newsloom.streaming.promotion import promotion_stream as promotions
 
 Q, SQL, query = registrar()
@@ -148,3 +150,38 @@ def link_store(spark: SparkSession, sf: str) -> DataFrame:
     _stored(lines().where("line <= 2"), stores.upsert_sink(path, keys, _replaced(keys), order, "first", 16))
     _stored(lines().where("line > 2"), stores.upsert_sink(path, keys, _replaced(keys), order, "later", 16))
     return stores.read_store(spark, path).select("article_id", "player_id", "stage")
+
+
+@query(
+    f"""WITH {pages._PLANTED} SELECT page_id, array_to_string(authors, '|') AS authors, CASE WHEN len(authors) > 0 THEN 'found' ELSE 'none' END AS outcome FROM b WHERE page_id % 3 <> 2"""
+)
+def author_refetch(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose stored authors are missing or in Korean letters alone, worked through as a list, with what their HTML says."""
+    folder = scratch_folder(spark)
+    stored = F.when(F.col("page_id") % 3 == 1, '["사카"]').when(F.col("page_id") % 3 == 2, '["사카", "Ann"]')
+    targets = pages.planted(arriving(spark, sf, "pages")).where(worklists.lacks_latin_authors(stored))
+
+    def work(batch: DataFrame) -> DataFrame:
+        found = G.page_bylines(batch)
+        return found.select("page_id", F.array_join("authors", "|").alias("authors"), worklists.refetch_outcome(F.col("authors")).alias("outcome"))
+
+    worklists.work_through(targets, "page_id", work, f"{folder}/out", f"{folder}/state", "refetch")
+    return spark.read.parquet(f"{folder}/out").select("page_id", "authors", "outcome")
+
+
+_OPEN = "contains({0}, 'the') OR contains({0}, 'ing') OR contains({0}, 'ion') OR contains({0}, 'entent')"
+_RULES = [("the", "THE"), ("ing", "in_"), ("ion", "ió")]
+
+
+@query(
+    "WITH RECURSIVE "
+    + ARTICLES
+    + f""",
+f AS (SELECT doc_id, title AS draft, 0 AS passes FROM articles UNION ALL
+SELECT doc_id, CASE passes {" ".join(f"WHEN {n} THEN replace(draft, '{a}', '{b}')" for n, (a, b) in enumerate(_RULES))} END, passes + 1 FROM f WHERE passes < 3 AND ({_OPEN.format("draft")}))
+SELECT doc_id, arg_max(draft, passes) AS draft, max(passes)::INTEGER AS passes, NOT arg_max({_OPEN.format("coalesce(draft, '')")}, passes) AS settled FROM f GROUP BY doc_id"""
+)
+def converged_drafts(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles that are corrected pass by pass, each pass another rule, until none is wrong or three passes are over."""
+    fix = lambda rows, n: rows.withColumn("draft", F.replace("draft", F.lit(_RULES[n][0]), F.lit(_RULES[n][1])))
+    return converge(articles(spark, sf).select("doc_id", F.col("title").alias("draft")), F.expr(_OPEN.format("draft")), fix)
