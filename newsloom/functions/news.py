@@ -88,12 +88,25 @@ def linked_label(names: Column) -> Column:
     return F.when(F.coalesce(names, F.lit("")) != "", F.when(n == 1, parts[0]).otherwise(F.concat(parts[0], F.lit(" and "), (n - 1).cast("string"), F.lit(" more"))))
 
 
-def gate_verdict(source: Column, output: Column) -> Column:
-    """missing, extra, quotes, retention and ok of a rewrite."""
-    missing, extra = X.missing_numbers(source, output), X.missing_numbers(output, source)
+def gate_verdict(source: Column, output: Column, grounding: Column | None = None, names: Column | None = None, clubs: Column | None = None) -> Column:
+    """missing, extra, quotes, retention, names, clubs and ok of a rewrite.
+
+    grounding: all that figures may come from, the title included; the source alone without it.
+    names, clubs: those that the output has from nowhere (see injected). Copying too much is no
+    count of its own here, but not ok.
+    """
+    none = F.array().cast("array<string>")
+    missing, extra = X.missing_numbers(source, output), X.missing_numbers(output, source if grounding is None else grounding)
     quotes, kept = X.missing_quotes(source, output), X.ngram_retention(source, output)
-    ok = (F.size(missing) == 0) & (F.size(extra) == 0) & (F.size(quotes) == 0) & (kept <= V.RETENTION)
-    return F.struct(missing.alias("missing"), extra.alias("extra"), quotes.alias("quotes"), kept.alias("retention"), ok.alias("ok"))
+    names, clubs = (none if c is None else F.coalesce(c, none) for c in (names, clubs))
+    verdict = F.struct(missing.alias("missing"), extra.alias("extra"), quotes.alias("quotes"), names.alias("names"), clubs.alias("clubs"), kept.alias("retention"))
+    return X.let(verdict, lambda v: v.withField("ok", violations(v) == 0))
+
+
+def violations(verdict: Column) -> Column:
+    """How many things are wrong with a rewrite; a copy counts as one."""
+    lists = [F.coalesce(F.size(verdict[c]), F.lit(0)) for c in ("missing", "extra", "quotes", "names", "clubs")]
+    return sum(lists[1:], lists[0]) + F.coalesce((verdict["retention"] > V.RETENTION).cast("int"), F.lit(0))
 
 
 def level_route(level: Column, source_lang: Column) -> Column:
@@ -157,13 +170,16 @@ def ko_present(text: Column, name: Column | str) -> Column:
     return F.regexp_like(text, F.concat(F.lit(r"(?:^|[^가-힣])\Q"), name, F.lit(r"\E")))
 
 
-def injected(output: Column, source: Column, names: dict[str, list[str]]) -> Column:
-    """Names of the output for which the source has neither the name, nor another name with the same aliases, nor an alias as a word."""
+def injected(output: Column, source: Column, names: dict[str, list[str]], synonyms: bool = True) -> Column:
+    """Names of the output for which the source has neither the name nor an alias as a word.
+
+    synonyms: another name with the same aliases will do, as of a club; people's don't.
+    """
     source = F.coalesce(source, F.lit(""))
     folded = X.fold_latin(source)
     found = []
     for name, aliases in names.items():
-        same = [k for k, v in names.items() if set(v) == set(aliases)]
+        same = [k for k, v in names.items() if set(v) == set(aliases)] if synonyms else [name]
         grounded = F.lit(False)
         for k in same:
             grounded = grounded | ko_present(source, k)

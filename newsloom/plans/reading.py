@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import html as H
+from newsloom.functions import news as N
 from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import facets as A
@@ -108,15 +109,17 @@ def quote_preservation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    with_(TURNS, "v AS (SELECT conv_id, turn, abs(length(output) - length(source)) % 4 AS violations, round(length(output) / (length(output) + length(source)), 6) AS retention FROM t)")
-    + "SELECT conv_id, turn, violations::BIGINT AS violations FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY violations + (retention > 0.75)::INTEGER, retention, turn) AS n FROM v) WHERE n = 1"
+    """WITH d AS (SELECT doc_id, coalesce(source, '') AS source, lang FROM documents WHERE doc_id % 4 <> 3),
+l AS (SELECT doc_id, unnest(CASE doc_id % 4 WHEN 0 THEN [source, source, 'The ' || lang] WHEN 1 THEN ['Post ' || lang] ELSE ['The ' || lang, 'Mail'] END) AS label FROM d)
+SELECT label, count(*) AS n, count(DISTINCT doc_id) AS docs FROM l WHERE length(label) >= 2 GROUP BY label"""
 )
-def rewrite_best_attempt(spark: SparkSession, sf: str) -> DataFrame:
-    """Of a conversation's turns as attempts: fewest violations, least retention, first."""
-    a, b = F.length("source"), F.length("output")
-    v = turns(spark, sf).select("conv_id", "turn", (F.abs(b - a) % 4).cast("long").alias("violations"), F.round(b / (b + a), 6).alias("retention"))
-    key = F.struct((F.col("violations") + (F.col("retention") > V.RETENTION).cast("int")).alias("v"), F.col("retention").alias("r"), F.col("turn").alias("turn"), F.col("violations").alias("violations"))
-    return v.groupBy("conv_id").agg(F.min(key).alias("k")).select("conv_id", "k.turn", "k.violations")
+def attribution_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources that round-ups name, with what is added to them, in brackets of several forms; other brackets are none."""
+    lang, source = F.col("lang"), F.coalesce("source", F.lit(""))
+    told = [F.format_string("One (%s) , external. Two ( %s , external ) and (£50m) three (The %s - in Italian), external", source, source, lang), F.format_string("He (30) joins (Post %s, in French) , external", lang), F.format_string("x (The %s via Mail) , external (Mail) , external (no)", lang), F.lit("nothing (at all)")]
+    body = F.concat(F.substr(F.regexp_replace(F.coalesce("text", F.lit("")), r"[()]|external", ""), F.lit(1), F.lit(200)), F.lit(" "), F.element_at(F.array(*told), (F.col("doc_id") % 4 + 1).cast("int")))
+    found = table(spark, sf, "documents").select("doc_id", F.explode(N.attributions(body)).alias("label"))
+    return found.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
 
 
 @query(r"""SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[.!?]\s+'), lambda s: regexp_matches(s, '(ing|tion|eau)$'))) > 0 AS ends FROM documents""")
@@ -124,13 +127,6 @@ def sentence_end_filter(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.exists(F.split("text", r"[.!?]\s+"), lambda s: s.rlike("(ing|tion|eau)$")).alias("ends"))
 
 
-@query(r"SELECT label, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\b([A-Z][a-z]+)\.(?:\n|$)', 1)) AS label FROM documents) GROUP BY label")
-def attribution_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Capitalised words that close a line count as attributions."""
-    found = table(spark, sf, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\b([A-Z][a-z]+)\.(?:\n|$)"), F.lit(1))).alias("label"))
-    return found.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
-
-
 @query()
 def html_extract(spark: SparkSession, sf: str) -> DataFrame:
     return H.extract(table(spark, sf, "pages").select("page_id", "url", "html"), "page_id").select("page_id", "title", "og_image", "n_paragraphs", "n_images", "body_chars")

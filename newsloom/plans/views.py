@@ -11,7 +11,9 @@ from newsloom.functions import text as X
 from newsloom.functions import vocab as V
 from newsloom.operators import cluster as C
 from newsloom.operators import facets as A
+from newsloom.operators import gates as G
 from newsloom.operators import ordered as O
+from newsloom.operators import repairs as RP
 from newsloom.operators import resolve as R
 from newsloom.operators import state as S
 from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, NOW, PLAYERS, articles, labelled_articles, links, named_links, players, registrar, seconds, table, with_
@@ -287,6 +289,51 @@ def repair_targets(spark: SparkSession, sf: str) -> DataFrame:
     return labelled_articles(spark, sf).groupBy("source").agg(*[F.count_if(c).alias(name) for name, c in flags.items()])
 
 
+@query(
+    with_(
+        TURNS,
+        rf"n AS (SELECT conv_id, turn, list_distinct({_NUMBERS('source')}) AS s, list_distinct({_NUMBERS('output')}) AS o, list_distinct({_NUMBERS("source || ' ' || conv_id")}) AS grounds, {_QUOTES} AS quotes, regexp_replace(output, '\s+', ' ', 'g') AS flat, trim(regexp_replace(source, '\s+', ' ', 'g')) AS a, trim(regexp_replace(output, '\s+', ' ', 'g')) AS b FROM t)",
+        f"g AS (SELECT *, {_GRAMS('a')} AS ga, {_GRAMS('b')} AS gb FROM n)",
+        f"v AS (SELECT conv_id, turn, len(list_filter(s, lambda x: NOT list_has_any({_VARIANTS}, o))) AS missing, len(list_filter(o, lambda x: NOT list_has_any({_VARIANTS}, grounds))) AS extra, len(list_filter(quotes, lambda q: NOT contains(flat, q))) AS lost, CASE WHEN len(gb) > 0 THEN len(list_intersect(gb, ga)) / len(gb) ELSE 0.0 END AS kept FROM g)",
+    )
+    + "SELECT conv_id, turn, violations::INTEGER AS violations, tried FROM (SELECT *, missing + extra + lost + (kept > 0.75)::INTEGER AS violations, count(*) OVER (PARTITION BY conv_id) AS tried, row_number() OVER (PARTITION BY conv_id ORDER BY missing + extra + lost + (kept > 0.75)::INTEGER, kept, turn) AS n FROM v) WHERE n = 1"
+)
+def rewrite_best_attempt(spark: SparkSession, sf: str) -> DataFrame:
+    """Of a conversation's turns, as rewrites of the ones before, the one with fewest violations; figures may come from the conversation's number, too."""
+    told = turns(spark, sf).select("conv_id", "turn", N.gate_verdict(F.col("source"), F.col("output"), F.concat_ws(" ", "source", "conv_id")).alias("verdict"))
+    return G.best_attempts(told, "conv_id", "turn").select("conv_id", "turn", "violations", "tried")
+
+
+@query(
+    """WITH r AS (SELECT doc_id % 5 = 0 AS suspect, doc_id % 7 = 0 AS omitted, doc_id % 11 = 0 AS club, doc_id % 2 = 0 AS again FROM documents)
+SELECT count(*) FILTER (NOT again AND (suspect OR omitted OR club)) AS queued, count(*) FILTER (again AND suspect) AS adopted, count(*) FILTER (again AND NOT suspect) AS resolved FROM r"""
+)
+def retranslation_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of translations, some of which are suspect, some tried again."""
+    listed = lambda n: F.when(F.col("doc_id") % n == 0, F.array(F.lit("x")))
+    again = F.col("doc_id") % 2 == 0
+    title = G.final_title(F.lit("title"), listed(5), listed(7), listed(11), again)
+    return G.retranslations(table(spark, sf, "documents").select(title.alias("final"), again.alias("again")), "final", "again")
+
+
+_REPAIRS = "SELECT 'author' AS repair, doc_id, epoch(published_at) * -1 AS age FROM articles WHERE title IS NULL OR (regexp_matches(title, '[éàäöüß]') AND NOT regexp_matches(title, '[A-Z]')) UNION ALL SELECT 'published', doc_id, epoch(published_at) FROM articles WHERE abs(epoch(fetched_at - published_at)) < 300 AND lang IN ('en', 'de') UNION ALL SELECT 'body', doc_id, epoch(published_at) * -1 FROM articles WHERE coalesce(text, '') = '' UNION ALL SELECT 'translation', doc_id, epoch(fetched_at) FROM articles WHERE title_ko IS NULL UNION ALL SELECT 'rewrite', doc_id, epoch(published_at) * -1 FROM articles WHERE body_level = 1 AND n_chars % 100 > 75"
+
+
+@query(with_(ARTICLES, f"t AS ({_REPAIRS})") + "SELECT repair, doc_id, row_number() OVER (PARTITION BY repair ORDER BY age, doc_id) - 1 AS place FROM t")
+def repair_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that each repair takes, in its order."""
+    gap = F.abs(F.timestamp_diff("SECOND", "published_at", "fetched_at"))
+    title, at, kept = F.col("title"), lambda c: seconds(F.col(c)), F.col("n_chars") % 100 / 100
+    repairs = {
+        "author": (title.isNull() | (title.rlike("[éàäöüß]") & ~title.rlike("[A-Z]")), -at("published_at")),
+        "published": ((gap < 300) & F.col("lang").isin("en", "de"), at("published_at")),
+        "body": (F.coalesce("text", F.lit("")) == "", -at("published_at")),
+        "translation": (F.col("title_ko").isNull(), at("fetched_at")),
+        "rewrite": ((F.col("body_level") == 1) & (kept > V.RETENTION), -at("published_at")),
+    }
+    return RP.targets(labelled_articles(spark, sf), repairs, "doc_id").select("repair", "doc_id", "place")
+
+
 _TITLE = "'[' || source || ' - ' || lang || '] ' || title"
 _SOUGHT = r"""WITH {articles}, t AS (SELECT doc_id, source AS outlet, trim(regexp_replace({title}, '^\s*\[[^\]]*\]', '')) AS body FROM articles),
 w AS (SELECT *, list_filter(regexp_split_to_array(body, '[\s,./·''"()\[\]]+'), lambda x: length(x) >= 2) AS words FROM t),
