@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions import news as N
 from newsloom.functions import vocab as V
 
+#: The steps of a ladder as the reader sees them, the last one first.
+SHOWN = ["official", "done", "agreed", "talks", "interest", "rumour"]
+
 
 def lead_rank(stage: str = "stage") -> Column:
     ranks = F.create_map(*[F.lit(x) for kv in V.LEAD_RANK.items() for x in kv])
@@ -119,3 +123,24 @@ def day_blocks(rows: DataFrame, block: str, row_id: str) -> DataFrame:
     own = per.select(F.col("rep.day").alias("day"), F.col("rep.dup").alias("dup"), F.element_at("by_day", F.col("rep.day")).alias("n"))
     reports = F.sum(F.when(F.col("dup"), 0).otherwise(F.col("n"))).alias("reports")
     return own.groupBy("day").agg(F.count_if(~F.col("dup")).alias("blocks"), reports, F.bool_and("dup").alias("all_dup")).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+def player_views(players: DataFrame, links: DataFrame) -> DataFrame:
+    """A row a player for the players' pages, those without articles of their own included.
+
+    players: player_id, full_name, surname, status. links: player_id, status, article_id, line,
+    stage, role, named, tier, extracted_at. Columns: name, slug (the surname's letters, with the
+    id if others share them), n, last_day, stage (the current one), ladder (stage_group,
+    article_id, n; in the reader's order), ended_article, ended_n.
+    """
+    own = links.where("role <> 'mention'")
+    slugs = players.select("player_id", "full_name", F.coalesce(F.nullif(N.slug(F.coalesce("surname", F.lit(""))), F.lit("")), F.lit("player")).alias("bare"))
+    shared = slugs.groupBy("bare").agg((F.count("*") > 1).alias("shared"))
+    base = slugs.join(shared, "bare").select("player_id", F.col("full_name").alias("name"), F.when(F.col("shared"), F.concat_ws("-", "bare", F.col("player_id").cast("string"))).otherwise(F.col("bare")).alias("slug"))
+    entries = player_entries(links).drop("stages")
+    order = F.create_map(*[F.lit(x) for i, g in enumerate(SHOWN) for x in (g, i)])
+    step = F.struct(order[F.col("stage_group")].alias("at"), "stage_group", "article_id", "n")
+    ladder = stage_ladder(own).groupBy("player_id").agg(F.array_sort(F.collect_list(step)).alias("steps"))  # six at most
+    steps = F.transform("steps", lambda s: F.struct(s["stage_group"], s["article_id"], s["n"]))
+    out = base.join(entries, "player_id", "left").join(current_stage(own), "player_id", "left").join(ladder.select("player_id", steps.alias("ladder")), "player_id", "left")
+    return out.withColumns({"n": F.coalesce("n", F.lit(0)), "ladder": F.coalesce("ladder", F.array())})

@@ -44,6 +44,18 @@ def page(rows: DataFrame, order: list[Column], size: int, number: int) -> DataFr
     return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).where(F.col("place") > number * size)
 
 
+def reader_order(sort: str, published: str = "published_at", confidence: str = "confidence", views: str = "views") -> list[Column]:
+    """Order of the reader's three sorts: latest; confidence, nothing counting as 0; views, then the latest."""
+    latest = F.desc_nulls_last(published)
+    first = {"latest": [], "confidence": [F.desc(F.coalesce(confidence, F.lit(0.0)))], "views": [F.desc(F.coalesce(views, F.lit(0)))]}
+    return [*first[sort], latest]
+
+
+def tier_members(facets: DataFrame, tiers: list[str]) -> DataFrame:
+    """Outlets and journalists that choosing tiers checks along. facets: axis, value, tier."""
+    return facets.where(F.col("axis").isin("outlet", "journalist") & F.col("tier").isin(tiers)).select("axis", "value")
+
+
 def blocks_that_match(rows: DataFrame, block: str, predicate: Column) -> DataFrame:
     """A block stays if any of its members matches; hits counts them."""
     return rows.groupBy(block).agg(F.count_if(predicate).alias("hits"), F.count("*").alias("members")).where("hits > 0")

@@ -56,6 +56,17 @@ def cliffs(counts: DataFrame, today: Column, before: Column) -> DataFrame:
     return per.where("before > 0 AND now = 0").select("source_id", "before")
 
 
+def recent_cliffs(counts: DataFrame, run: str, history: int = 5) -> DataFrame:
+    """Sources of the run before the last that the last one lacks, among the last `history` runs; runs without counts are passed over after that.
+
+    counts: source_id, n (null: the run has no counts), and the run.
+    """
+    recent = latest_rows(counts, run, history).where("n IS NOT NULL")
+    two = recent.select(run).distinct().orderBy(F.desc(run)).limit(2).agg(F.max(run).alias("last"), F.min(run).alias("before"))  # one row
+    told = recent.join(F.broadcast(two))
+    return cliffs(told, F.col(run) == F.col("last"), (F.col(run) == F.col("before")) & (F.col("before") < F.col("last")))
+
+
 def latest_rows(df: DataFrame, run: str, runs: int = 1) -> DataFrame:
     """Rows of the last runs; the list of runs is a distinct of the run column."""
     last = df.select(run).distinct().orderBy(F.desc(run)).limit(runs)

@@ -84,6 +84,36 @@ def candidate_cliffs(spark: SparkSession, sf: str) -> DataFrame:
     return M.cliffs(e, F.col("d") == F.lit("2024-01-30").cast("date"), F.col("d") == F.lit("2024-01-29").cast("date"))
 
 
+_NO_COUNTS = "day(run_day) % 5 = 0"  # such runs have no counts
+
+
+@query(
+    f"""WITH c AS (SELECT CAST(user_id AS VARCHAR) AS source_id, CAST(ts AS DATE) AS run_day, count(*) AS n FROM events GROUP BY 1, 2),
+r AS (SELECT DISTINCT run_day FROM c ORDER BY run_day DESC LIMIT 5), k AS (SELECT run_day, row_number() OVER (ORDER BY run_day DESC) AS i FROM r WHERE NOT {_NO_COUNTS}),
+s AS (SELECT source_id, coalesce(sum(n) FILTER (i = 1), 0) AS now, coalesce(sum(n) FILTER (i = 2), 0) AS before FROM c JOIN k USING (run_day) GROUP BY 1)
+SELECT source_id, CAST(before AS BIGINT) AS before FROM s WHERE before > 0 AND now = 0"""
+)
+def recent_cliffs(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the last five runs, those with counts: who was there in the last but one and is gone in the last."""
+    day = F.date_trunc("DAY", "ts").cast("date")
+    counts = table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("source_id"), day.alias("run_day")).agg(F.count("*").alias("n"))
+    return M.recent_cliffs(counts.withColumn("n", F.when(F.expr(f"NOT {_NO_COUNTS}"), F.col("n"))), "run_day")
+
+
+_LAST = f"(SELECT run_day FROM (SELECT DISTINCT run_day FROM source_days ORDER BY run_day DESC LIMIT 12) WHERE NOT {_NO_COUNTS})"
+
+
+@query(
+    with_(SOURCE_DAYS, f"h AS (SELECT * FROM source_days WHERE run_day IN {_LAST})", "d AS (SELECT max(run_day) AS last_day, count(DISTINCT run_day) - 1 AS k FROM h)", "u AS (SELECT source_id, k, sum(CASE WHEN run_day = last_day THEN n ELSE 0 END) AS x, sum(CASE WHEN run_day < last_day THEN n ELSE 0 END) AS s, sum(CASE WHEN run_day < last_day THEN n * n ELSE 0 END) AS q FROM h, d GROUP BY 1, 2)")
+    + """SELECT source_id, CAST(x AS BIGINT) AS today, round(s::DOUBLE / k, 1) AS baseline, CASE WHEN k * x < s THEN 'drop' ELSE 'spike' END AS direction FROM u
+WHERE k >= 2 AND s >= 3 * k AND CASE WHEN k * q = s * s THEN k * x <> s ELSE (k * x - s) * (k * x - s) > 4 * (k * q - s * s) END"""
+)
+def recent_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """Volumes against the last twelve runs, of which those without counts are passed over after that."""
+    recent = M.latest_rows(source_days(spark, sf), "run_day", 12).where(F.expr(f"NOT {_NO_COUNTS}"))
+    return M.volume_anomalies(recent, recent.select("run_day").distinct())
+
+
 @query(with_(SOURCE_DAYS) + "SELECT source_id, n FROM source_days WHERE run_day = (SELECT max(run_day) FROM source_days)")
 def latest_run_rows(spark: SparkSession, sf: str) -> DataFrame:
     return M.latest_rows(source_days(spark, sf), "run_day").select("source_id", "n")

@@ -64,6 +64,21 @@ def reader_sort_page(spark: SparkSession, sf: str) -> DataFrame:
     return A.page(articles(spark, sf).select("doc_id", "tier", "published_at"), order, 20, 2).select("doc_id", "place")
 
 
+_SORTED = lambda sort, order: f"SELECT '{sort}' AS sort, doc_id, row_number() OVER (ORDER BY {order})::INTEGER AS place FROM v ORDER BY {order} LIMIT 30"
+
+
+@query(
+    with_(ARTICLES, "v AS (SELECT doc_id, published_at, CASE WHEN doc_id % 4 <> 0 THEN 1.0 / (1 + tier) END AS confidence, CASE WHEN doc_id % 3 = 0 THEN doc_id % 7 END AS views FROM articles)")
+    + " UNION ALL ".join(f"({_SORTED(s, o)})" for s, o in (("latest", "published_at DESC, doc_id"), ("confidence", "coalesce(confidence, 0) DESC, published_at DESC, doc_id"), ("views", "coalesce(views, 0) DESC, published_at DESC, doc_id")))
+)
+def reader_sorts(spark: SparkSession, sf: str) -> DataFrame:
+    """The first thirty articles by each of the reader's sorts."""
+    d = F.col("doc_id")
+    v = articles(spark, sf).select("doc_id", "published_at", F.when(d % 4 != 0, 1.0 / (1 + F.col("tier"))).alias("confidence"), F.when(d % 3 == 0, d % 7).alias("views"))
+    parts = [A.page(v, [*A.reader_order(sort), F.col("doc_id").asc()], 30, 0).select(F.lit(sort).alias("sort"), "doc_id", "place") for sort in ("latest", "confidence", "views")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def turns(spark: SparkSession, sf: str) -> DataFrame:
     """Each turn and the next one of its conversation as source and output."""
     c = table(spark, sf, "conversations")

@@ -19,7 +19,7 @@ from newsloom.operators import state as S
 from newsloom.plans.bridge import ARTICLES, LINKS, NAMED_LINKS, NOW, PLAYERS, articles, labelled_articles, links, named_links, players, registrar, seconds, table, with_
 from newsloom.plans.marts import arrivals
 from newsloom.plans.reading import _GRAMS, _NUMBERS, TURNS, turns
-from newsloom.plans.resolving import _RANK
+from newsloom.plans.resolving import _GROUP, _RANK
 from newsloom.plans.serving import NAMES, _pos
 from newsloom.plans.serving import TURNS as TURN_WORDS
 
@@ -173,6 +173,26 @@ def player_entries(spark: SparkSession, sf: str) -> DataFrame:
     return C.player_entries(named_links(spark, sf))
 
 
+@query(
+    with_(
+        LINKS, PLAYERS, NAMED_LINKS,
+        "own AS (SELECT * FROM named_links WHERE role <> 'mention')",
+        f"lad AS (SELECT player_id, grp, article_id, n, row_number() OVER (PARTITION BY player_id ORDER BY list_position(['official', 'done', 'agreed', 'talks', 'interest', 'rumour'], grp)) AS k FROM (SELECT *, row_number() OVER (PARTITION BY player_id, grp ORDER BY named DESC, coalesce(tier, 99), extracted_at DESC, article_id, line) AS r, count(*) OVER (PARTITION BY player_id, grp) AS n FROM (SELECT *, {_GROUP} AS grp FROM own WHERE stage NOT IN ('collapsed', 'other'))) WHERE r = 1)",
+        "steps AS (SELECT player_id, string_agg(grp || ':' || article_id || ':' || n, ' ' ORDER BY k) AS ladder FROM lad GROUP BY player_id)",
+        "e AS (SELECT player_id, article_id, row_number() OVER (PARTITION BY player_id ORDER BY named DESC, coalesce(tier, 99), extracted_at DESC, article_id, line) AS r, count(*) OVER (PARTITION BY player_id) AS k FROM own WHERE stage = 'collapsed' AND status IN ('link_dropped', 'other_club'))",
+        "cur AS (SELECT player_id, stage, row_number() OVER (PARTITION BY player_id ORDER BY CASE WHEN status IN ('in_done', 'out_done', 'loan_in', 'loan_out') AND stage = 'official' THEN 0 WHEN (status IN ('in_done', 'out_done', 'loan_in', 'loan_out') AND stage IN ('official', 'done')) OR (status IN ('link_dropped', 'other_club') AND stage = 'collapsed') THEN 1 ELSE 2 END, extracted_at DESC, article_id, line) AS n FROM own WHERE stage <> 'other' AND NOT (stage IN ('official', 'done') AND status NOT IN ('in_done', 'out_done', 'loan_in', 'loan_out')) AND NOT (stage = 'collapsed' AND status NOT IN ('link_dropped', 'other_club')))",
+        "k AS (SELECT player_id, count(*) AS n, strftime(max(extracted_at), '%Y-%m-%d') AS last_day FROM own GROUP BY player_id)",
+        "s AS (SELECT player_id, full_name, regexp_replace(lower(surname), '[^a-z0-9]', '', 'g') AS bare, count(*) OVER (PARTITION BY regexp_replace(lower(surname), '[^a-z0-9]', '', 'g')) AS sharing FROM players)",
+    )
+    + """SELECT s.player_id, full_name AS name, CASE WHEN sharing > 1 THEN bare || '-' || s.player_id ELSE bare END AS slug, coalesce(k.n, 0) AS n, last_day, cur.stage, coalesce(ladder, '') AS ladder, e.article_id AS ended_article, e.k AS ended_n
+FROM s LEFT JOIN k USING (player_id) LEFT JOIN steps USING (player_id) LEFT JOIN (SELECT * FROM e WHERE r = 1) e USING (player_id) LEFT JOIN (SELECT * FROM cur WHERE n = 1) cur USING (player_id)"""
+)
+def player_views(spark: SparkSession, sf: str) -> DataFrame:
+    """All players with slug, current stage and ladder, also those that no article is about."""
+    v = C.player_views(players(spark, sf), named_links(spark, sf))
+    ladder = F.array_join(F.transform("ladder", lambda x: F.concat_ws(":", x["stage_group"], x["article_id"], x["n"])), " ")
+    return v.withColumn("ladder", ladder)
+
 @query(
     with_(LINKS, PLAYERS)
     + "SELECT article_id, string_agg(full_name, '|' ORDER BY player_id) AS chips, count(*) AS n FROM (SELECT DISTINCT article_id, player_id, full_name FROM links JOIN players USING (player_id) WHERE role <> 'mention' AND confirmed) GROUP BY article_id"

@@ -231,3 +231,20 @@ def test_tiers(spark):
 def test_ladder_prefers_the_player_in_the_title(spark):
     rows = spark.createDataFrame([(1, "done", 7, 1, False, 0.0, "2024-01-05"), (1, "done", 8, 1, True, 4.0, "2024-01-01"), (1, "done", 9, 1, True, 4.0, "2024-01-02"), (1, "done", 10, 1, None, None, "2024-01-09")], "player_id int, stage string, article_id int, line int, named boolean, tier double, extracted_at string").withColumn("extracted_at", F.col("extracted_at").cast("timestamp"))
     assert [tuple(r) for r in C.stage_ladder(rows).collect()] == [(1, "done", 9, 1, 4)]
+
+
+def test_cliffs_among_the_last_runs(spark):
+    rows = [("a", d, 1 if d != 4 else None) for d in range(1, 7)] + [("b", d, 2) for d in (1, 2, 3, 5)] + [("c", 1, 3)]
+    counts = spark.createDataFrame(rows, "source_id string, run int, n int")
+    assert [tuple(r) for r in M.recent_cliffs(counts, "run").collect()] == [("b", 2)]
+    assert M.recent_cliffs(counts.where("run = 1"), "run").count() == 0
+    assert [tuple(r) for r in M.recent_cliffs(counts.where("run <= 2"), "run").collect()] == [("c", 3)]
+
+
+def test_players_without_articles_have_views(spark):
+    players = spark.createDataFrame([(1, "Ann Lee", "Lee", "in_done"), (2, "Bo Lee", "Lee", "in_link"), (3, "Cy", None, "in_link")], "player_id int, full_name string, surname string, status string")
+    rows = [(1, "in_done", 7, 1, "agreed", "subject", True, 1.0, "2024-01-01"), (1, "in_done", 8, 1, "official", "subject", False, 0.0, "2024-01-02"), (1, "in_done", 9, 1, "medical", "subject", False, 0.0, "2024-01-03"), (2, "in_link", 9, 2, "rumour", "mention", False, 0.0, "2024-01-03")]
+    links = spark.createDataFrame(rows, "player_id int, status string, article_id int, line int, stage string, role string, named boolean, tier double, extracted_at string").withColumn("extracted_at", F.col("extracted_at").cast("timestamp"))
+    got = {r.player_id: r for r in C.player_views(players, links).collect()}
+    assert [(got[i].slug, got[i].n, got[i].stage) for i in (1, 2, 3)] == [("lee-1", 3, "official"), ("lee-2", 0, None), ("player", 0, None)]
+    assert [tuple(s) for s in got[1].ladder] == [("official", 8, 1), ("agreed", 7, 2)] and got[2].ladder == []
