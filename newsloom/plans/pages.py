@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import bylines as B
+from newsloom.operators import community as CM
 from newsloom.operators import pages as P
 from newsloom.plans.bridge import ARTICLES, articles, registrar, table, with_
 from newsloom.sources import isolated as L
@@ -88,3 +89,31 @@ SELECT page_id, url, text FROM u WHERE text <> '' AND (contains(lower(text), 'th
 def listed_links(spark: SparkSession, sf: str) -> DataFrame:
     """Links of every page, each address once, with a text that has one of two keywords."""
     return L.listed(L.anchors(table(spark, sf, "pages"), "page_id"), ["page_id"], "https://s.test", ["The", "ie"], []).select("page_id", "url", "text")
+
+
+_CLEAN = "trim(regexp_replace(regexp_replace(coalesce(text, ''), '[<>&\\[\\]]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(
+    with_(
+        ARTICLES,
+        f"t AS (SELECT doc_id, source, lang, {_CLEAN} AS clean, doc_id % 5 AS kind FROM articles)",
+        "p AS (SELECT *, CASE kind WHEN 0 THEN '[디 애슬레틱-독점] ' WHEN 1 THEN '[공홈] ' WHEN 2 THEN '' ELSE '[' || source || ' - ' || lang || '] ' END || left(clean, 40) AS title, 'note https://o.test/' || doc_id AS post, doc_id % 7 <> 0 AS landed FROM t)",
+        "b AS (SELECT *, kind <> 0 AND landed AND length(clean) >= 200 AS usable FROM p)",
+        "c AS (SELECT *, CASE WHEN usable THEN left(clean, 8000) ELSE post END AS body FROM b)",
+    )
+    + r"""SELECT doc_id, CASE kind WHEN 1 THEN 'official' WHEN 2 THEN 'unresolved' ELSE CASE WHEN contains(lower(regexp_replace(title, '\s+', '', 'g')), 'ent') OR contains(lower(regexp_replace(body, '\s+', '', 'g')), 'ent') THEN 'item' ELSE 'irrelevant' END END AS outcome,
+  CASE kind WHEN 0 THEN 'The Athletic' WHEN 1 THEN '공홈' WHEN 2 THEN NULL ELSE source END AS outlet, CASE WHEN kind > 2 THEN lang END AS journalist, CASE WHEN usable THEN 2 ELSE 1 END AS body_level, length(trim(body))::INTEGER AS body_chars FROM c"""
+)
+def community_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as posts that carry each other's pages over, some paid, official, without a bracket or refused by their sites."""
+    d = F.col("doc_id")
+    clean = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), r"[<>&\[\]]", " "), r"\s+", " "))
+    a = articles(spark, sf).select("doc_id", "source", "lang", clean.alias("clean"))
+    address = F.concat(F.lit("https://o.test/"), d)
+    bracket = F.when(d % 5 == 0, "[디 애슬레틱-독점] ").when(d % 5 == 1, "[공홈] ").when(d % 5 == 2, "").otherwise(F.concat(F.lit("["), "source", F.lit(" - "), "lang", F.lit("] ")))
+    post = F.concat(F.lit('<div class="rd_body"><div class="xe_content"><p>note</p><b>'), address, F.lit("</b></div></div>"))
+    posts = a.select("doc_id", F.concat(F.lit("https://posts.test/"), d).alias("url"), F.concat(bracket, F.substr("clean", F.lit(1), F.lit(40))).alias("title"), post.alias("html"))
+    originals = a.select(address.alias("url"), F.when(d % 7 != 0, F.concat(F.lit("<html><body><p>"), "clean", F.lit("</p></body></html>"))).alias("html"))
+    found = CM.community_items(posts.drop("doc_id"), originals, ["ent"], [], "posts.test")
+    return found.select(F.substring_index("post_url", "/", -1).cast("long").alias("doc_id"), "outcome", "outlet", "journalist", "body_level", F.length(F.trim("body")).alias("body_chars"))
