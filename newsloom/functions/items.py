@@ -86,6 +86,8 @@ def parsed_date(raw: Column) -> Column:
     return F.when(at.isNotNull(), F.struct(at.alias("at"), precision.alias("precision")))
 
 
+#: Particles that follow a word, and what parts a title's words.
+_PARTING = r"[\s,./·'\"()\[\]]+"
 _PARTICLE = "(을|를|이|가|은|는|와|과|의|에서|에|으로|로|도|만)$"
 
 
@@ -97,7 +99,7 @@ def search_candidates(title: Column) -> Column:
     """
     body = F.trim(F.regexp_replace(title, r"^\s*\[[^\]]*\]", ""))
     outlet = F.trim(F.split(F.regexp_extract(title, r"^\s*\[([^\]]*)\]", 1), r"\s*-\s*")[0])
-    words = F.filter(F.split(body, r"[\s,./·'\"()\[\]]+"), lambda w: F.length(w) >= 2)
+    words = F.filter(F.split(body, _PARTING), lambda w: F.length(w) >= 2)
     most = F.array_max(F.transform(words, F.length))
     bare = lambda w: F.regexp_replace(F.coalesce(w, F.lit("")), _PARTICLE, "")
     first = bare(F.try_element_at(words, F.lit(1)))

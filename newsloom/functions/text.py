@@ -74,18 +74,22 @@ def domain_suffix(host: Column, domain: Column) -> Column:
     return (host == domain) | F.endswith(host, F.concat(F.lit("."), domain))
 
 
+#: A comma between thousands, and a quoted span.
+THOUSANDS, QUOTED = r"(?<=\d),(?=\d{3}(?!\d))", '["“]([^"“”]{4,}?)["”]'
+
+
 def number_tokens(text: Column) -> Column:
     """Digit runs outside URLs, publish dates and clock times, thousands commas dropped."""
     bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"https?://\S+", " ")
     timed = bare.rlike(r"[A-Za-z]\.?\s+\d{1,2}\s*,?\s*\d{4}|\d:\d{2}")  # what every such date or time holds, found faster
     quiet = F.when(timed, F.regexp_replace(bare, PUBLISH_TIME, " ")).otherwise(bare)
-    plain = F.regexp_replace(quiet, r"(?<=\d),(?=\d{3}(?!\d))", "")
+    plain = F.regexp_replace(quiet, THOUSANDS, "")
     return F.regexp_extract_all(plain, F.lit(r"(\d+)"), F.lit(1))
 
 
 def number_variants(token: Column) -> Column:
-    """A number with its unit conversions: times 10, 100, 1000, and a hundredth."""
-    n = token.cast("decimal(34,0)")
+    """A number with its unit conversions: times 10, 100, 1000, and a hundredth; one of more than 34 digits has none."""
+    n = token.try_cast("decimal(34,0)")
     whole = [n * f for f in (10, 100, 1000)]
     text = [x.cast("decimal(38,0)").cast("string") for x in whole]
     less = F.when(n % 100 == 0, (n / 100).cast("decimal(34,0)").cast("string"))
@@ -117,7 +121,7 @@ def ngram_retention(source: Column, output: Column, n: int = V.NGRAM) -> Column:
 
 
 def quote_spans(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit('["“]([^"“”]{4,}?)["”]'), F.lit(1)), squeezed)
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(QUOTED), F.lit(1)), squeezed)
 
 
 def missing_quotes(source: Column, output: Column) -> Column:

@@ -105,9 +105,9 @@ def revealed(rows: DataFrame, day: str, steps: int, days: int = 7) -> DataFrame:
     """Rows that `steps` presses show: each opens the days from the newest hidden one back over `days` days."""
     hidden, shown = rows, None
     for _ in range(steps):
-        newest = hidden.agg(F.max(day).alias("_newest"))  # one row
-        marked = hidden.join(F.broadcast(newest)).withColumn("_open", F.datediff("_newest", day) < days)
-        part = marked.where("_open").drop("_newest", "_open")
+        newest = hidden.agg(F.max(day).alias("newest"))  # one row
+        marked = hidden.select(F.struct("*").alias("row")).join(F.broadcast(newest)).select("row", (F.datediff("newest", f"row.{day}") < days).alias("open"))
+        part = marked.where("open").select("row.*")
         shown = part if shown is None else shown.unionByName(part)
-        hidden = marked.where("NOT _open").drop("_newest", "_open")
+        hidden = marked.where("NOT open").select("row.*")
     return shown

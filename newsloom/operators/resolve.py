@@ -210,8 +210,9 @@ def promote(posts: DataFrame, landed: DataFrame, domains: list[tuple[str, str]])
     posts: url, outlet, card, and others. landed: card, final_url, body; a row a card. Whatever is
     missing on the way leaves a post as it is.
     """
-    page = landed.where("card IS NOT NULL AND final_url IS NOT NULL AND body <> ''").withColumn("_outlet", outlet_by_domain(X.url_host(F.col("final_url")), domains))
-    page = page.where(F.col("_outlet").isNotNull() & ~is_paywalled(F.col("final_url"))).select("card", "final_url", "_outlet", F.col("body").alias("_body"))
-    joined = posts.join(page, "card", "left")
-    kept = [c for c in posts.columns if c not in ("url", "outlet")]
-    return joined.select(*kept, F.coalesce("final_url", "url").alias("url"), F.coalesce("_outlet", "outlet").alias("outlet"), F.col("_body").alias("promoted_body"), F.col("_outlet").isNotNull().alias("promoted"))
+    outlet = outlet_by_domain(X.url_host(F.col("final_url")), domains)
+    page = landed.where("card IS NOT NULL AND final_url IS NOT NULL AND body <> ''").select("card", F.struct("final_url", "body", outlet.alias("outlet")).alias("page"))
+    page = page.where(F.col("page.outlet").isNotNull() & ~is_paywalled(F.col("page.final_url")))
+    joined = posts.select(F.struct("*").alias("post")).join(page, F.col("post.card") == page["card"], "left")
+    kept = [f"post.{c}" for c in posts.columns if c not in ("url", "outlet")]
+    return joined.select(*kept, F.coalesce("page.final_url", "post.url").alias("url"), F.coalesce("page.outlet", "post.outlet").alias("outlet"), F.col("page.body").alias("promoted_body"), F.col("page").isNotNull().alias("promoted"))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.select(F.struct("*").alias("row"), rank.alias("rank")).where("rank = 1").select("row.*")
 
 
 def insert_ignore(store: DataFrame, incoming: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -80,8 +81,9 @@ def revision_fold(arrivals: DataFrame, partitions: int | None = None, seen: Data
 
 def newest_links(old: DataFrame, new: DataFrame, keys: list[str], at: str) -> DataFrame:
     """An upsert on a composite key: of old and new rows with one key the newest stays, new before old."""
-    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    return first_by(both, keys, [F.desc("_new"), F.desc(at)]).drop("_new")
+    side = lambda rows, n: rows.select(F.struct(*old.columns).alias("row"), F.lit(n).alias("new"))
+    best = F.row_number().over(Window.partitionBy(*[F.col(f"row.{k}") for k in keys]).orderBy(F.desc("new"), F.desc(f"row.{at}")))
+    return side(old, 0).unionByName(side(new, 1)).withColumn("rank", best).where("rank = 1").select("row.*")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, hash_col: str, taken: list[str], reset: list[str], kept: list[str]) -> DataFrame:
@@ -98,18 +100,19 @@ def upsert(old: DataFrame, new: DataFrame, key: str, hash_col: str, taken: list[
 
 def patch(old: DataFrame, change: DataFrame, key: str, overwrite: list[str] = (), coalesce: list[str] = ()) -> DataFrame:
     """Keyed update: `overwrite` columns take the change even where it is NULL, `coalesce` only where it isn't."""
-    c = change.select(F.col(key).alias("_key"), *[F.col(x).alias(f"_{x}") for x in [*overwrite, *coalesce]])
-    joined = old.join(c, F.col(key) == F.col("_key"), "left")
-    new = {x: F.when(F.col("_key").isNotNull(), F.col(f"_{x}")).otherwise(F.col(x)) for x in overwrite}
-    new |= {x: F.coalesce(F.col(f"_{x}"), F.col(x)) for x in coalesce}
-    return joined.withColumns(new).select(old.columns)
+    joined = old.select(F.struct("*").alias("old")).join(change.select(F.struct(key, *overwrite, *coalesce).alias("new")), F.col(f"old.{key}") == F.col(f"new.{key}"), "left")
+    there = F.col(f"new.{key}").isNotNull()
+    value = {x: F.when(there, F.col(f"new.{x}")).otherwise(F.col(f"old.{x}")) for x in overwrite}
+    value |= {x: F.coalesce(f"new.{x}", f"old.{x}") for x in coalesce}
+    return joined.select(*[value.get(x, F.col(f"old.{x}")).alias(x) for x in old.columns])
 
 
 def cleared(rows: DataFrame, listed: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """rows with `columns` set to null where the key is listed."""
-    mark = listed.select(F.col(key).alias("_key")).distinct()
-    joined = rows.join(mark, F.col(key) == F.col("_key"), "left")
-    return joined.withColumns({c: F.when(F.col("_key").isNull(), F.col(c)) for c in columns}).select(rows.columns)
+    mark = listed.select(F.col(key).alias("marked")).distinct()
+    joined = rows.select(F.struct("*").alias("row")).join(mark, F.col(f"row.{key}") == F.col("marked"), "left")
+    own = lambda c: F.col(f"row.{c}")
+    return joined.select(*[(F.when(F.col("marked").isNull(), own(c)) if c in columns else own(c)).alias(c) for c in rows.columns])
 
 
 def without_prefixes(rows: DataFrame, key: str, prefixes: list[str], least: int = 8) -> DataFrame:
@@ -125,5 +128,6 @@ def without_prefixes(rows: DataFrame, key: str, prefixes: list[str], least: int
 
 def match_by_title(targets: DataFrame, found: DataFrame) -> DataFrame:
     """targets with `found`, the url of the last row (by seq) of found that has exactly their title, blanks at the ends aside."""
-    last = found.groupBy(F.trim("title").alias("_title")).agg(F.max_by("url", "seq").alias("found"))
-    return targets.join(last, F.trim(F.col("title")) == F.col("_title")).drop("_title")
+    last = found.groupBy(F.trim("title").alias("said")).agg(F.max_by("url", "seq").alias("found"))
+    joined = targets.select(F.struct("*").alias("row")).join(last, F.trim("row.title") == F.col("said"))
+    return joined.select("row.*", "found")

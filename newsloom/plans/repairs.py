@@ -70,15 +70,20 @@ def generation_routes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    with_(RUNS)
-    + "SELECT strftime(run_day, '%Y-%m-%d') AS day, CAST(new_count AS VARCHAR) AS new_items, CAST(dup_count AS VARCHAR) AS dup, CAST(error_count AS VARCHAR) AS err, CAST(CAST(round(100.0::DOUBLE * (new_count - error_count) / new_count) AS BIGINT) AS VARCHAR) || '%' AS success FROM runs WHERE run_day = (SELECT max(run_day) FROM runs)"
+    with_(RUNS, ARTICLES)
+    + "SELECT (SELECT CAST(count(*) AS VARCHAR) FROM articles WHERE title_ko IS NULL) AS pending, (SELECT CAST(count(*) AS VARCHAR) FROM (SELECT source FROM articles GROUP BY source HAVING max(fetched_at) < TIMESTAMP '2024-01-01 00:00:00' + to_minutes((SELECT max(doc_id) FROM documents) - 60))) AS stale, strftime(run_day, '%Y-%m-%d') AS day, CAST(new_count AS VARCHAR) AS new_items, CAST(dup_count AS VARCHAR) AS dup, CAST(error_count AS VARCHAR) AS err, CAST(CAST(round(100.0::DOUBLE * (new_count - error_count) / new_count) AS BIGINT) AS VARCHAR) || '%' AS success FROM runs WHERE run_day = (SELECT max(run_day) FROM runs)"
 )
 def run_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    """Figures of the latest run as texts."""
+    """Figures of the latest run as texts, with the sources that are an hour behind the last article, and the rows that wait for a translation."""
     last = runs(spark, sf).orderBy(F.desc("run_day")).limit(1)
+    a = labelled_articles(spark, sf)
+    newest = a.agg(F.max("fetched_at").alias("newest"))  # one row
+    stale = a.groupBy("source").agg(F.max("fetched_at").alias("at")).join(F.broadcast(newest)).where(F.col("at") < F.timestamp_add("MINUTE", F.lit(-60), F.col("newest")))
+    waits = a.agg(F.count_if(F.col("title_ko").isNull()).cast("string").alias("pending"))  # one row
+    beside = stale.agg(F.count("*").cast("string").alias("stale")).join(F.broadcast(waits))
     text = lambda c: F.col(c).cast("string")
     share = F.round(F.lit(100.0) * (F.col("new_count") - F.col("error_count")) / F.col("new_count")).cast("bigint")
-    return last.select(F.date_format("run_day", "yyyy-MM-dd").alias("day"), text("new_count").alias("new_items"), text("dup_count").alias("dup"), text("error_count").alias("err"), F.concat(share.cast("string"), F.lit("%")).alias("success"))
+    return last.select(F.date_format("run_day", "yyyy-MM-dd").alias("day"), text("new_count").alias("new_items"), text("dup_count").alias("dup"), text("error_count").alias("err"), F.concat(share.cast("string"), F.lit("%")).alias("success")).join(F.broadcast(beside))
 
 
 _EXCLUDED = ["0a1b2c3d", "ffffffff", "12345678"]

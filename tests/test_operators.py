@@ -248,3 +248,14 @@ def test_players_without_articles_have_views(spark):
     got = {r.player_id: r for r in C.player_views(players, links).collect()}
     assert [(got[i].slug, got[i].n, got[i].stage) for i in (1, 2, 3)] == [("lee-1", 3, "official"), ("lee-2", 0, None), ("player", 0, None)]
     assert [tuple(s) for s in got[1].ladder] == [("official", 8, 1), ("agreed", 7, 2)] and got[2].ladder == []
+
+
+def test_helper_columns_clash_with_none_of_the_input(spark):
+    clash = {c: F.lit("own") for c in ("_n", "_key", "_new", "_title", "_newest", "_open", "n", "key", "new", "row", "rank", "old", "marked", "newest", "open", "page", "said")}
+    rows = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "a", 7)], "id int, title string, at int").withColumns(clash)
+    same = lambda df, n: [r for r in df.collect() if all(r[c] == "own" for c in clash)].__len__() == n
+    assert same(S.first_by(rows, ["id"], [F.desc("at")]), 2)
+    assert same(S.newest_links(rows.where("at < 7"), rows.where("at = 7"), ["id"], "at"), 2)
+    change = spark.createDataFrame([(1, "z")], "id int, title string")
+    assert same(S.patch(rows, change, "id", overwrite=["title"]), 3) and same(S.cleared(rows, change, "id", ["title"]), 3)
+    assert same(S.match_by_title(rows, spark.createDataFrame([("a ", "u", 1)], "title string, url string, seq int")), 2)
