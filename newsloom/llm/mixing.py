@@ -2,12 +2,13 @@
 
 Each source's words, in the order of their documents, are cut into blocks of BLOCK words
 (the last may be shorter). Output shards of SLOTS slots each draw multinomial source counts
-from what is left of every source's quota, so shards are random and totals are exact. The
+from what is left of every source's quota, so shards are random and totals are exact: all
+shards are halved down to single ones, and each task draws the halvings that it needs. The
 k-th slot of a source takes the block that a keyed Feistel permutation of the source's
 block indices gives for k; after all blocks, the next epoch has another permutation. Blocks
 and slots are joined by (source, index).
 
-Sizes on the driver follow sources and shards, never documents. Word offsets come from two
+Sizes on the driver follow sources, never shards or documents. Word offsets come from two
 levels of sums (BUCKETS hash buckets in each source), so a source with a third of all rows
 is summed in BUCKETS places. All draws are seeded: reruns agree.
 
@@ -68,18 +69,43 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out
 
 
-def draw_shards(quota: np.ndarray, slots: int, seed: int) -> np.ndarray:
-    """Slots of each source in each shard: multinomial draws from what the quotas have left."""
-    rng = np.random.default_rng(seed)
-    left, out = quota.astype(np.int64).copy(), []
-    while left.sum() > slots:
-        take = np.minimum(rng.multinomial(slots, left / left.sum()), left)
-        while short := slots - take.sum():
-            rest = left - take
-            take += np.minimum(rng.multinomial(short, rest / rest.sum()), rest)
-        out.append(take)
-        left = left - take
-    return np.array([*out, left])
+def split(quota: np.ndarray, slots: int, rng: np.random.Generator) -> np.ndarray:
+    """Slots of each source in a part of `slots` slots: multinomial draws from what the quotas have left."""
+    take = np.minimum(rng.multinomial(slots, quota / quota.sum()), quota) if slots else np.zeros_like(quota)
+    while short := slots - int(take.sum()):
+        rest = quota - take
+        take += np.minimum(rng.multinomial(short, rest / rest.sum()), rest)
+    return take
+
+
+class Shards:
+    """The draws of all shards, each worked out where it is needed.
+
+    All shards are halved again and again; a half's counts are drawn from the whole's with a seed
+    of its own, so any task finds a shard's counts, and those of the shards before it, in as many
+    draws as there are halvings, and totals are exact.
+    """
+
+    def __init__(self, quota: np.ndarray, slots: int, seed: int) -> None:
+        self.quota, self.slots, self.seed = quota.astype(np.int64), slots, seed
+        self.n = max(1, -(-int(quota.sum()) // slots))
+        self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def of(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """(slots of each source in the shard, and in the shards before it)."""
+        if shard not in self.known:
+            low, high, here, before = 0, self.n, self.quota, np.zeros_like(self.quota)
+            while high - low > 1:
+                middle = (low + high) // 2
+                first = split(here, (middle - low) * self.slots, np.random.default_rng((self.seed, low, high)))
+                if shard < middle:
+                    high, here = middle, first
+                else:
+                    low, here, before = middle, here - first, before + first
+            if len(self.known) >= 64:
+                self.known.clear()
+            self.known[shard] = here, before
+        return self.known[shard]
 
 
 def word_offsets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -109,21 +135,19 @@ def mix_spans(offsets: DataFrame, weights: Sequence[float] = WEIGHTS, share: flo
     blocks = np.array([-(-n // block) for n in sizes], np.int64)
     quota = np.array([min(round(t / n * b), int(most * b)) if n else 0 for t, n, b in zip(targets, sizes, blocks, strict=True)], np.int64)
     info = [(s, n, float(t), i) for i, ((s, n), t) in enumerate(zip(found, targets, strict=True))]
-    shards = draw_shards(quota, slots, seed) if len(quota) else np.zeros((1, 0), np.int64)
-    starts = np.cumsum(shards, axis=0) - shards  # slots of the source in earlier shards
-    bounds = np.cumsum(shards, axis=1)
-    held = spark.sparkContext.broadcast((shards, starts, bounds, blocks))  # shards x sources numbers
     schema = "source_no int, block long, shard long, position long, epoch int"
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, starts, bounds, blocks = held.value
+        shards = Shards(quota, slots, seed)
         for b in batches:
             slot = b.column(0).to_numpy(zero_copy_only=False)
             shard = slot // slots
-            width = bounds[shard, -1]
-            mixed = permute(slot % slots, width, shard + seed)
-            source = (mixed[:, None] >= bounds[shard]).sum(1)
-            k = starts[shard, source] + mixed - (bounds[shard, source] - shards[shard, source])
+            used, own = np.unique(shard, return_inverse=True)
+            drawn, starts = (np.array(x).reshape(len(used), len(quota)) for x in zip(*[shards.of(int(i)) for i in used], strict=True)) if len(used) else (np.zeros((0, len(quota)), np.int64),) * 2
+            bounds = np.cumsum(drawn, axis=1)
+            mixed = permute(slot % slots, bounds[own, -1], shard + seed)
+            source = (mixed[:, None] >= bounds[own]).sum(1)
+            k = starts[own, source] + mixed - (bounds[own, source] - drawn[own, source])
             n = blocks[source]
             epoch = k // n
             index = permute(k % n, n, source * 1000 + epoch + seed)

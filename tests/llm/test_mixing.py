@@ -55,8 +55,22 @@ def test_permutation_is_one():
 
 def test_shards_use_up_the_quota():
     quota = np.array([1000, 0, 17, 500])
-    shards = M.draw_shards(quota, 100, 3)
-    assert (shards.sum(0) == quota).all() and (shards[:-1].sum(1) == 100).all() and (shards >= 0).all()
+    of = M.Shards(quota, 100, 3)
+    drawn = [of.of(k) for k in range(of.n)]
+    shards = np.array([here for here, _ in drawn])
+    assert of.n == 16 and (shards.sum(0) == quota).all() and (shards[:-1].sum(1) == 100).all() and (shards >= 0).all()
+    assert all((before == shards[:k].sum(0)).all() for k, (_, before) in enumerate(drawn))
+    again = M.Shards(quota, 100, 3)
+    assert all((again.of(k)[0] == shards[k]).all() for k in (11, 3, 15, 0))  # in any order, in any task
+    assert (M.Shards(quota, 100, 4).of(3)[0] != shards[3]).any()
+    assert (M.Shards(np.array([5, 0]), 100, 3).of(0)[0] == [5, 0]).all() and M.Shards(np.array([0]), 100, 3).n == 1
+
+
+def test_a_shard_of_a_very_large_mix_takes_few_draws():
+    quota = np.full(20, 2 * 10**13)
+    of = M.Shards(quota, 1 << 18, 1)
+    here, before = of.of(of.n // 3)
+    assert here.sum() == 1 << 18 and before.sum() == of.n // 3 << 18 and abs(here / here.sum() - 0.05).max() < 0.01
 
 
 def test_mixed_texts_hold_the_words_taken(small):
