@@ -176,7 +176,7 @@ def land(spark: SparkSession, config: list[dict], path: str, concurrency: int =
 
     wanted = [c for c in config if c.get("enabled", True)]
     with ThreadPoolExecutor(max(1, concurrency)) as pool:
-        told = list(pool.map(inheritable_thread_target(one), wanted))
+        told = list(pool.map(inheritable_thread_target(spark)(one), wanted))
 
     def landed(side: str, schema: str) -> DataFrame:
         out = spark.createDataFrame([], f"source_id string, {schema}")
