@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from newsloom.plans import marts, monitoring, names, pages, payloads, people, reading, repairs, resolving, serving, sidebar, streams, views
+from newsloom.plans import backfills, marts, monitoring, names, pages, payloads, people, reading, repairs, resolving, serving, sidebar, streams, views
 
-PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages, people, streams, sidebar, names, payloads]
+PLANS = [marts, monitoring, resolving, reading, serving, views, repairs, pages, people, streams, sidebar, names, payloads, backfills]
 
 
 def queries() -> dict:
