@@ -19,6 +19,15 @@ def test_places_equal_brute_force(spark):
     texts += [(100 + i, rng.choice(names[:300]) * 2) for i in range(20)]
     got = N.name_places(*frames(spark, texts, names + names[:50]), "id", "body")
     assert sorted(map(tuple, got.collect())) == brute(texts, names)
+    shuffled = N.name_places(*frames(spark, texts, names), "id", "body", sent_names=100)
+    assert sorted(map(tuple, shuffled.collect())) == brute(texts, names)
+
+
+def test_grams_of_texts_are_not_shuffled(spark):
+    told, dictionary = frames(spark, [(i, "Ann met Bob " * 50) for i in range(200)], ["Ann met", "Bob", "Zoe"])
+    plan = N.name_places(told, dictionary, "id", "body")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert N.longest_names(told, dictionary, "id", "body").count() == 200
 
 
 def test_a_hundred_thousand_names(spark):
