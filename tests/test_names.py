@@ -30,6 +30,14 @@ def test_grams_of_texts_are_not_shuffled(spark):
     assert N.longest_names(told, dictionary, "id", "body").count() == 200
 
 
+def test_protagonists_shuffle_what_was_found_only(spark):
+    told, dictionary = frames(spark, [(i, "Ann met Bob " * 50) for i in range(200)], ["Ann met", "Bob"])
+    turns = dictionary.where("name = 'Bob'")
+    found = N.protagonists(told, dictionary, turns, "id", "body")
+    assert "around" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.name for r in found.collect()} == {"Ann met"}
+
+
 def test_a_hundred_thousand_names(spark):
     names = [f"Player#{i:09d}" for i in range(100_000)]  # one beginning for all
     rng = random.Random(2)
