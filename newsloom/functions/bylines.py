@@ -115,10 +115,12 @@ def running_authors(head: Column) -> Column:
 
 
 def body_authors(body: Column) -> Column:
-    """All authors of the byline at a body's head, in order, each once."""
+    """All authors of the byline at a body's head, in order, each once. A mark that is only followed by itself marks nobody."""
     none = F.array().cast("array<string>")
     given = F.coalesce(body, F.lit(""))
     flat = F.substr(F.regexp_replace(given, r"(?U)\s+", " "), F.lit(1), F.lit(HEAD))
     lead = F.nullif(F.regexp_extract(given, _LEAD, 1), F.lit(""))
     own = F.coalesce(F.nullif(F.coalesce(bounded_authors(flat), running_authors(flat), none), none), F.when(lead.isNotNull(), F.array(lead)), none)
-    return F.coalesce(marked_authors(F.substr(given, F.lit(1), F.lit(HEAD))), own)
+    marked = marked_authors(F.substr(given, F.lit(1), F.lit(HEAD)))
+    people = lambda names: F.filter(names, lambda n: ~n.rlike("^By( +By)*$"))
+    return F.coalesce(X.let(marked, lambda names: F.when((F.size(names) == 0) | (F.size(people(names)) > 0), people(names))), own)

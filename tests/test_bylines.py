@@ -131,3 +131,8 @@ def test_publish_time_is_cut_from_the_head(spark):
         None: None,
     }
     assert [g[0] for g in columns(spark, list(cases), B.without_publish_time)] == list(cases.values())
+
+
+def test_a_mark_that_is_followed_by_itself_marks_nobody(spark):
+    cases = {"By By By By": [], "Alex Howell Arsenal reporter With a squad, By By By": ["Alex Howell"], "By By, Ann Lee": ["Ann Lee"], "By By Ann": ["By Ann"], "By SPORT REPORTER": [], "By By Byron": ["By Byron"]}
+    assert {t: g[0] for t, g in zip(cases, columns(spark, list(cases), B.body_authors), strict=True)} == cases
