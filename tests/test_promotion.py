@@ -88,3 +88,23 @@ def test_columns_that_clash(spark):
     landed = frame(spark, [("c", "https://bbc.test/1", "T", "B", clock(1))], LANDED)
     got = P.promotion_chain(posts, originals, landed, DOMAINS).first()
     assert (got.outlet, got.words, got.item_id) == ("BBC", "own", "own")
+
+
+def test_pages_that_landed_long_before_count(spark, tmp_path):
+    """A page of ten days ago, as in batch, and not where it is kept for less."""
+    posts = [(1, "@a", clock(300), TEXT, "u", "cited")]
+    originals = [(1, "a", clock(290), TEXT, "c")]
+    landed = [("c", "https://bbc.test/1", "T", "B", "2023-12-01 00:00:00")]
+    tables = {"posts": (posts, POSTS), "originals": (originals, ORIGINALS), "landed": (landed, LANDED)}
+    last = {"posts": (999, "@z", "2100-01-01 00:00:00", "", "u", "cited"), "originals": (999, "z", "2100-01-01 00:00:00", "", None), "landed": ("z", "u", "", "", "2100-01-01 00:00:00")}
+    for kept, outlet in ((None, "BBC"), ("1 day", "cited")):
+        streams = []
+        for name, (rows, schema) in tables.items():
+            (tmp_path / name).mkdir(exist_ok=True)
+            names = [f.split(" ")[0] for f in schema.split(", ")]
+            (tmp_path / name / "0.json").write_text("\n".join(json.dumps(dict(zip(names, r, strict=True))) for r in [*rows, last[name]]))
+            streams.append(spark.readStream.schema(schema).json(f"{tmp_path}/{name}"))
+        got = promotion_stream(*streams, DOMAINS, wait="2 days", kept=kept)
+        name = f"kept_{outlet}"
+        got.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start().awaitTermination()
+        assert [r.outlet for r in spark.table(name).where("post_id = 1").collect()] == [outlet]
