@@ -60,3 +60,9 @@ def test_discovery(spark):
     got = sorted(map(tuple, C.discovered(results, known, "https://posts.test", 10).collect()))
     assert got == [(0, "one", "https://posts.test/1"), (1, "ARTE TA", "https://posts.test/1234567"), (1, "Arteta's plan", "https://posts.test/4")]
     assert [r.keyword for r in C.discovered(results, known, "https://posts.test", 2).collect()] == [0, 1]
+
+
+def test_a_text_of_marks_alone_has_no_author(spark):
+    by = "By " * 120
+    free, official = items(spark, [("[BBC] 구단", post("https://bbc.test/a")), ("[공홈] 구단", post("https://bbc.test/b"))], [(f"https://bbc.test/{x}", f"<html><body><p>{by}</p></body></html>") for x in "ab"])
+    assert (free.body_level, free.body, free.authors, free.journalist, official.journalist) == (2, by.strip(), [], None, None)
