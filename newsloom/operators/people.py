@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
 from newsloom.functions import vocab as V
+from newsloom.operators.lineage import checkpointed
 
 #: Limits of pairs, names and keys.
 MOST_PAIRS, LONGEST_NAME, LONGEST_OWN, LONGEST_SURNAME = 30, 100, 50, 50
@@ -78,12 +79,12 @@ def record_people(articles: DataFrame, roster: DataFrame) -> tuple[DataFrame, Da
     first_name, surname, first_seen (article_id), and the pair that it came from.
 
     Two sums by folded name are joined to the pairs; a name that a third of all pairs hold is one
-    row of either, and the join splits its pairs.
+    row of either, and the join splits its pairs. The pairs are read and folded once, into a checkpoint.
     """
     given = articles.select("article_id", "seq", F.posexplode("pairs").alias("at", "pair"))
     words = F.split(F.trim("pair.full_name"), r"\s+")
     rows = given.select("article_id", "seq", "at", "pair", F.struct("seq", "at").alias("place"), X.fold_latin(F.trim("pair.full_name")).alias("name"), (F.size(words) == 1).alias("single"), F.element_at(words, -1).alias("last"))
-    rows = rows.withColumn("short", F.length("last") <= LONGEST_SURNAME)
+    rows = checkpointed(rows.withColumn("short", F.length("last") <= LONGEST_SURNAME))
 
     full = roster.groupBy(X.fold_latin(F.col("full_name")).alias("name")).agg(F.min("player_id").alias("by_full"))
     surnames = roster.groupBy(X.fold_latin(F.col("surname")).alias("surname")).agg(F.count("*").alias("listed"), F.min("player_id").alias("by_surname"))

@@ -108,3 +108,14 @@ def test_links_keep_the_last_pair(spark):
     assert [tuple(r) for r in P.article_links(links).collect()] == [("a", 1, None, "done", "mention")]
     none, made = P.record_people(spark.createDataFrame([], PAIRS), roster)
     assert none.count() == made.count() == 0
+
+
+def test_articles_are_read_once(spark, tmp_path):
+    pair = "struct<full_name:string,ko:string,stage:string,role:string>"
+    rows = [(1, 1, [("Ann Lee", None, "other", None)]), (2, 2, [("Lee", None, "other", None), ("Bo Ray", None, "other", None)])]
+    spark.createDataFrame(rows, f"article_id long, seq long, pairs array<{pair}>").write.parquet(f"{tmp_path}/a")
+    roster = spark.createDataFrame([(7, "Bo Ray", "Ray")], "player_id long, full_name string, surname string")
+    links, candidates = P.record_people(spark.read.parquet(f"{tmp_path}/a"), roster)
+    for found in (links, candidates, P.article_links(links)):
+        assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.seq, r.at, r.player_id, r.candidate, r.how) for r in links.collect()) == [(1, 0, None, "ann lee", "candidate"), (2, 0, None, "ann lee", "surname"), (2, 1, 7, None, "full")]
