@@ -71,3 +71,19 @@ def test_idle_urls_are_forgotten(rocksdb, tmp_path, idle):
     assert got["seen", 5] == (("new", 1) if idle else ("duplicate", 1))
     assert got["kept", 6] == (("new", 1) if idle else ("duplicate", 7))
     assert (None, 8) not in got
+
+
+def test_a_url_costs_one_read_and_one_write_of_its_state():
+    from pyspark.sql import Row
+
+    calls, kept = [], {}
+    names = "deleteTimer registerTimer exists get update".split()
+    record = {n: lambda *a, n=n: (calls.append(n), kept.update(v=a[0]) if n == "update" else None, kept.get("v") if n == "get" else None)[2] for n in names}
+    state = type("State", (), {k: staticmethod(f) for k, f in record.items()})
+    machine = V.Revisions(1000)
+    machine.handle, machine.state = state, state
+    machine.handleInitialState(("u",), Row(content_hash="a", revision=5, source_id="s", body_level=1, seen_ms=10), None)
+    assert calls == ["registerTimer", "update"] and kept["v"] == ("a", 5, "s", 1, 1010)
+    rows = [Row(turn=1, seq=s, content_hash=h, source_id="s", body_level=1, seen_ms=20) for s, h in ((2, "b"), (1, "a"))]
+    assert [(r.seq, r.decision, r.revision) for r in machine.handleInputRows(("u",), iter(rows), None)] == [(1, "duplicate", 5), (2, "changed", 6)]
+    assert calls[2:] == ["get", "deleteTimer", "registerTimer", "update"] and kept["v"] == ("b", 6, "s", 1, 1020)
