@@ -50,6 +50,19 @@ def _ids(tok, chunks: list[str]) -> list[bytes]:
     return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
 
+def _word_ids(tok, words: list[str]) -> list[bytes]:
+    """The same of many short strings without white space but a first blank: encoded as the lines of longer texts, whose ids are cut at the line breaks."""
+    (mark,) = tok.encode("\n", add_special_tokens=False).ids
+    lines = [words[i : i + 256] for i in range(0, len(words), 256)]
+    out: list[bytes] = []
+    for own, e in zip(lines, tok.encode_batch_fast(["\n".join(x) for x in lines], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, "<u4")
+        ends = 4 * np.append(np.flatnonzero(ids == mark), len(ids))
+        raw, starts = ids.tobytes(), np.append(0, ends[:-1] + 4)
+        out += [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)] if len(ends) == len(own) else _ids(tok, own)
+    return out
+
+
 #: The byte-level pattern starts a token at a blank after a non-blank character and looks
 #: behind nowhere, so a text can be cut there. Texts with other runs of blanks, or with a
 #: special token's string, are encoded whole.
@@ -68,6 +81,9 @@ _LATIN = r"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _PLAIN = re.compile(rf"[\x00-\x7f{_LATIN}]*")
 _TOKENS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^\sA-Za-z0-9{_LATIN}]+|\s+(?!\S)|\s+", re.ASCII)
 
+#: What may stand in a line among others.
+_WORD = re.compile(r" ?\S+")
+
 
 def _learn(tok, known: dict[str, bytes], of_token: dict[str, bytes], chunks: list[str]) -> None:
     """Put the ids of all chunks into known; a token is encoded when it is first met."""
@@ -80,7 +96,10 @@ def _learn(tok, known: dict[str, bytes], of_token: dict[str, bytes], chunks: lis
             cache.clear()
             cache.update(kept)
     if fresh:
-        of_token.update(zip(fresh, _ids(tok, fresh), strict=True))
+        words = [t for t in fresh if _WORD.fullmatch(t)]
+        of_token.update(zip(words, _word_ids(tok, words), strict=True))
+        rest = [t for t in fresh if t not in of_token]
+        of_token.update(zip(rest, _ids(tok, rest), strict=True))
     known.update((c, of_token[ts[0]] if len(ts) == 1 else b"".join([of_token[t] for t in ts])) for c, ts in zip(missing, tokens, strict=True))
 
 
