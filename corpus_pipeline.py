@@ -55,7 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    return pack_documents(docs)
+    return pack_documents(docs, lean=True)
 
 
 STAGES = [

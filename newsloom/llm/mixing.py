@@ -120,6 +120,11 @@ def word_offsets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return joined.select("id", "o.source", "size", "hash", *carry, (F.col("inside") + F.col("bucket_start")).alias("start"))
 
 
+def source_numbers(spark: SparkSession, sources: Sequence[str | None]) -> DataFrame:
+    """numbered, source_no: a row a source. Given as Arrow, as rows of tuples go through Python workers of another kind, which stay on every executor."""
+    return spark.createDataFrame(pa.table({"numbered": pa.array(sources, pa.string()), "source_no": pa.array(range(len(sources)), pa.int32())}))
+
+
 def mix_spans(offsets: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED) -> tuple[DataFrame, list[tuple]]:
     """The mix as spans of documents, and (source, source_size, target) of each source.
 
@@ -154,7 +159,7 @@ def mix_spans(offsets: DataFrame, weights: Sequence[float] = WEIGHTS, share: flo
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in ((source, pa.int32()), (index, pa.int64()), (shard, pa.int64()), (slot % slots, pa.int64()), (epoch, pa.int32()))], names=["source_no", "block", "shard", "position", "epoch"])
 
     drawn = spark.range(int(quota.sum())).mapInArrow(fill, schema)
-    numbers = F.broadcast(spark.createDataFrame([(s, i) for s, _, _, i in info], "numbered string, source_no int"))  # a row a source
+    numbers = F.broadcast(source_numbers(spark, [s for s, _ in found]))
     own = offsets.where("size > 0").join(numbers, F.col("source").eqNullSafe(F.col("numbered")))
     end = F.col("start") + F.col("size")
     pieces = own.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))))

@@ -16,6 +16,7 @@ are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import zlib
@@ -38,12 +39,27 @@ CAPACITY, END_ID = 1024, 2
 CACHED = 500_000
 
 
+#: The caches of this worker's tokenizers.
+_caches: list[dict[str, bytes]] = []
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}, {}
+    made = Tokenizer.from_file(path), {}, {}
+    _caches.extend(made[1:])
+    return made
+
+
+def _free() -> None:
+    """Give back what this worker's caches and allocators hold: it stays alive for the passes of other stages."""
+    for cache in _caches:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
 
 
 def _ids(tok, chunks: list[str]) -> list[bytes]:
@@ -138,8 +154,8 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     return out
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """id, piece, start, length, ids_crc32 and, if asked for, the ids of each piece."""
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, free: bool = False) -> DataFrame:
+    """id, piece, start, length, ids_crc32 and, if asked for, the ids of each piece. free: a task leaves no caches."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
@@ -169,6 +185,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
             if with_ids:
                 columns.append(pa.array(ids, pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        if free:
+            _free()
 
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(pieces, schema)
 
@@ -268,7 +286,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
-def pack_documents(docs: DataFrame) -> DataFrame:
+def pack_documents(docs: DataFrame, lean: bool = False) -> DataFrame:
+    """lean: no other Python pass runs beside the tokenizer's, which leaves no caches in its workers."""
     import public_tokenizers
 
-    return best_two_fit(token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), free=lean)
+    return best_two_fit(checkpointed(pieces) if lean else pieces)

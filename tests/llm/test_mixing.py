@@ -78,3 +78,11 @@ def test_mixed_texts_hold_the_words_taken(small):
     for r in M.mix_documents(small).collect():
         counts[r.doc_id] += len(re.findall(M.WORD, r.text))
     assert counts == {r.doc_id: r.taken for r in M.mix_counts(small).collect() if r.taken}
+
+
+def test_source_numbers_take_no_python_worker(spark):
+    found = M.source_numbers(spark, ["a", "b", None])
+    assert found.dtypes == [("numbered", "string"), ("source_no", "int")]
+    assert [tuple(r) for r in found.collect()] == [("a", 0), ("b", 1), (None, 2)]
+    assert M.source_numbers(spark, []).count() == 0
+    assert "PythonRDD" not in found._jdf.queryExecution().toRdd().toDebugString()

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -118,3 +119,15 @@ def test_slots_over_partitions(spark):
         bins[r.sequence_id].append((r.offset, r.length))
     plan = Counter(tuple(b) for b, times in P.plan_bins(Counter(sizes), 1024) for _ in range(times))
     assert Counter(tuple(n for _, n in sorted(b)) for b in bins.values()) == plan
+
+
+def test_lean_tasks_leave_no_caches(spark, small):
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, P._tokenizer(PATH)[1:]))] * b.num_rows, pa.int64())], names=["held"])
+
+    want = Counter(tuple(r) for r in P.pack_documents(small).collect())
+    assert Counter(tuple(r) for r in P.pack_documents(small, lean=True).collect()) == want
+    for _ in range(3):  # workers take turns
+        P.token_pieces(small.repartition(16), PATH, free=True).count()
+    assert spark.range(64, numPartitions=16).mapInArrow(held, "held long").agg({"held": "max"}).first()[0] == 0
