@@ -35,8 +35,8 @@ from pyspark.sql import types as T
 from newsloom.llm.common import checkpointed, documents, small_batches, text_or_empty
 
 CAPACITY, END_ID = 1024, 2
-#: Entries of a worker's caches from chunk and from token to ids; a batch's own may be more.
-CACHED = 500_000
+#: Entries of a worker's cache from chunks and tokens to ids; a batch's own may be more.
+CACHED = 800_000
 
 
 #: The caches of this worker's tokenizers.
@@ -48,8 +48,8 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(path), {}, {}
-    _caches.extend(made[1:])
+    made = Tokenizer.from_file(path), {}
+    _caches.append(made[1])
     return made
 
 
@@ -97,26 +97,54 @@ _LATIN = r"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _PLAIN = re.compile(rf"[\x00-\x7f{_LATIN}]*")
 _TOKENS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z{_LATIN}]+| ?[0-9]+| ?[^\sA-Za-z0-9{_LATIN}]+|\s+(?!\S)|\s+", re.ASCII)
 
+#: One such token.
+_ONE = re.compile(rf" ?[A-Za-z{_LATIN}]+")
+
 #: What may stand in a line among others.
 _WORD = re.compile(r" ?\S+")
 
 
-def _learn(tok, known: dict[str, bytes], of_token: dict[str, bytes], chunks: list[str]) -> None:
-    """Put the ids of all chunks into known; a token is encoded when it is first met."""
-    missing = [c for c in chunks if c not in known]
-    tokens = [_TOKENS.findall(c) if _PLAIN.fullmatch(c) else [c] for c in missing]
-    fresh = list({t for ts in tokens for t in ts if t not in of_token})
-    for cache, wanted, more in ((known, chunks, missing), (of_token, (t for ts in tokens for t in ts), fresh)):
-        if len(cache) + len(more) > CACHED:
-            kept = {k: cache[k] for k in wanted if k in cache}
-            cache.clear()
-            cache.update(kept)
-    if fresh:
-        words = [t for t in fresh if _WORD.fullmatch(t)]
-        of_token.update(zip(words, _word_ids(tok, words), strict=True))
-        rest = [t for t in fresh if t not in of_token]
-        of_token.update(zip(rest, _ids(tok, rest), strict=True))
-    known.update((c, of_token[ts[0]] if len(ts) == 1 else b"".join([of_token[t] for t in ts])) for c, ts in zip(missing, tokens, strict=True))
+def _alphabet() -> dict[int, str]:
+    """The byte-level pattern's letter of each byte but the line break."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(256 + k) for k, b in enumerate(rest) if b != 0x0A}
+
+
+_LETTERS = _alphabet()
+
+
+def _token_ids(tok, tokens: list[str]) -> list[bytes]:
+    """The same of single tokens of the byte-level pattern without line breaks: nothing is left to cut, so the tokenizer's model takes them at once."""
+    if not tokens:
+        return []
+    tokenize = tok.model.tokenize
+    coded = "\n".join(tokens).encode().decode("latin-1").translate(_LETTERS).split("\n")
+    return [array("I", [t.id for t in tokenize(c)]).tobytes() for c in coded]
+
+
+def _chunk_ids(tok, known: dict[str, bytes], chunks: list[str]) -> list[bytes]:
+    """The ids of each chunk, which known keeps; a token is encoded when it is first met."""
+    out = list(map(known.get, chunks))
+    new = [k for k, ids in enumerate(out) if ids is None]
+    missing = [chunks[k] for k in new]
+    if len(known) + 2 * len(missing) > CACHED:
+        known.clear()
+        known.update((c, ids) for c, ids in zip(chunks, out, strict=True) if ids is not None)
+    cut = {c: _TOKENS.findall(c) if _PLAIN.fullmatch(c) else [] for c in missing if not _ONE.fullmatch(c)}
+    fresh = {t for ts in cut.values() for t in ts if t not in known}
+    fresh.update(c for c in missing if c not in cut)
+    whole = [c for c, ts in cut.items() if not ts]
+    tokens = [t for t in fresh if "\n" not in t]
+    words = [c for c in whole if _WORD.fullmatch(c)]
+    rest = [t for t in fresh if "\n" in t] + [c for c in whole if not _WORD.fullmatch(c)]
+    for strings, ids in ((tokens, _token_ids), (words, _word_ids), (rest, _ids)):
+        known.update(zip(strings, ids(tok, strings), strict=True))
+    for k, c in zip(new, missing, strict=True):
+        if ts := cut.get(c):
+            known[c] = b"".join([known[t] for t in ts])
+        out[k] = known[c]
+    return out
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
@@ -125,7 +153,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     A batch is split at blanks and dictionary-encoded in Arrow; each distinct chunk is looked
     up once, and the ids of all chunks are gathered in one go.
     """
-    tok, known, of_token = _tokenizer(path)
+    tok, known = _tokenizer(path)
     whole = [_unsafe(t) for t in texts]
     out: list[bytes | None] = [None] * len(texts)
     for i, raw in zip(np.flatnonzero(whole).tolist(), _ids(tok, [t for t, w in zip(texts, whole, strict=True) if w]), strict=True):
@@ -140,9 +168,8 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
         chunks = pc.binary_join_element_wise(none, coded.dictionary, blank).to_numpy(zero_copy_only=False).tolist()
         codes[starts[:-1]] = len(chunks) + np.arange(len(cut))  # no blank before a text's first chunk
         chunks += [t.split(" ", 1)[0] for t in cut]
-        _learn(tok, known, of_token, chunks)
-        pool = [known[c] for c in chunks]
-        length = np.array([len(x) // 4 for x in pool], np.int64)
+        pool = _chunk_ids(tok, known, chunks)
+        length = np.fromiter(map(len, pool), np.int64, len(pool)) // 4
         first = np.cumsum(length) - length
         times = length[codes]
         ends = np.cumsum(times)
