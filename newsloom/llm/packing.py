@@ -16,6 +16,7 @@ are ignored.
 
 from __future__ import annotations
 
+import codecs
 import ctypes
 import os
 import re
@@ -104,11 +105,11 @@ _ONE = re.compile(rf" ?[A-Za-z{_LATIN}]+")
 _WORD = re.compile(r" ?\S+")
 
 
-def _alphabet() -> dict[int, str]:
-    """The byte-level pattern's letter of each byte but the line break."""
+def _alphabet() -> str:
+    """The byte-level pattern's letter of each byte; the line break stays, as it parts tokens here."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(256 + k) for k, b in enumerate(rest) if b != 0x0A}
+    letters = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
+    return "".join("\n" if b == 0x0A else letters.get(b, chr(b)) for b in range(256))
 
 
 _LETTERS = _alphabet()
@@ -119,7 +120,7 @@ def _token_ids(tok, tokens: list[str]) -> list[bytes]:
     if not tokens:
         return []
     tokenize = tok.model.tokenize
-    coded = "\n".join(tokens).encode().decode("latin-1").translate(_LETTERS).split("\n")
+    coded = codecs.charmap_decode("\n".join(tokens).encode(), "strict", _LETTERS)[0].split("\n")
     return [array("I", [t.id for t in tokenize(c)]).tobytes() for c in coded]
 
 
